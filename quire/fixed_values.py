@@ -101,9 +101,9 @@ ZIP_ADDRESSES = (
 
 # Whitespace as Unicode-aware text tools define it (29 characters, in code point order).
 WHITESPACE = (
-    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0 "
-    "           "
-    "    　"
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
 )
 
 # Book markers; of each pair the first form is preferred wherever it occurs.
@@ -129,7 +129,8 @@ TRANSCRIBER_NOTE = r"(?ius)Transcriber['s]* Note[s]*:.*?(?=\n\n|\z)"
 # Contents heading with the listing below it, from the line break before the heading on.
 # {ws} is the class of WHITESPACE.
 CONTENTS_BLOCK = (
-    r"\n{ws}*+(?:Contents|Table of Contents){ws}*\n(?:.*?\n){{1,50}}?(?=\n\n[A-Z]|\nCHAPTER)"
+    r"\n{ws}*+(?iu:Contents|Table of Contents){ws}*\n(?d:(?:.*?\n){{1,50}}?)"
+    r"(?iu:(?=\n\n[A-Z]|\nCHAPTER))"
 )
 MAX_BLANK_RUN = "\n\n\n"
 MIN_LENGTH = 1000

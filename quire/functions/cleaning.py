@@ -12,15 +12,20 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from quire import fixed_values as V
-from quire.functions.text import character_class, is_blank, strip
+from quire.functions.text import bound, character_class, is_blank, strip
 
 _WS = character_class(V.WHITESPACE)
 _INLINE_WS = character_class(V.WHITESPACE.replace("\n", ""))
 _NON_WS = character_class(V.WHITESPACE, negated=True)
 
-# The block is only tried at the first line break of a whitespace run: every later break of the
-# run leads to the same heading, and trying each of them is quadratic in the run's length.
-_CONTENTS = rf"(?iud)(\G|{_NON_WS})({_INLINE_WS}*+)" + V.CONTENTS_BLOCK.format(ws=_WS)
+_CONTENTS = "()" + V.CONTENTS_BLOCK.format(ws=_WS)
+# Every line break of a whitespace run leads to the same heading. Trying each of them is
+# quadratic in the length of the run, so with very long runs only the first one is tried, which
+# is slower on ordinary text.
+_LONG_RUN = rf"{_WS}{{1000}}"
+_CONTENTS_LONG = (
+    rf"(?={_WS})(?:\G|(?<={_NON_WS}))({_INLINE_WS}*+)" + V.CONTENTS_BLOCK.format(ws=_WS)
+)
 # A whitespace run with four or more newlines, from its first newline to its last. Unrolled
 # with possessive classes: no repeated group, so a run of any length uses constant stack.
 _BLANK_RUN = rf"\n(?:{_INLINE_WS}*+\n){{3}}(?:{_WS}*\n)?"
@@ -101,7 +106,11 @@ def drop_transcriber_notes(text: Column) -> Column:
 
 
 def drop_contents_block(text: Column) -> Column:
-    return F.regexp_replace(text, _CONTENTS, "$1$2\n")
+    def replaced(t: Column) -> Column:
+        pattern = F.when(t.rlike(_LONG_RUN), _CONTENTS_LONG).otherwise(_CONTENTS)
+        return F.regexp_replace(t, pattern, F.lit("$1\n"))
+
+    return bound(text, replaced)
 
 
 def collapse_blank_runs(text: Column) -> Column:

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from quire.fixed_values import WHITESPACE
 
 _ESCAPE = "\u0001"
-_REPLACEMENT = "�"
+_REPLACEMENT = "\ufffd"
 
 
 def decode_lossy(content: Column) -> Column:
@@ -47,6 +49,17 @@ def is_blank(text: Column) -> Column:
 
 
 def character_class(characters: str, negated: bool = False) -> str:
-    """Regex class of the given characters, written with code points."""
-    body = "".join(rf"\x{{{ord(c):x}}}" for c in characters)
+    """Regex class of the given characters; neighbouring code points become ranges."""
+    ranges: list[list[int]] = []
+    for code in sorted(map(ord, characters)):
+        if ranges and code == ranges[-1][1] + 1:
+            ranges[-1][1] = code
+        else:
+            ranges.append([code, code])
+    body = "".join(rf"\x{{{low:x}}}-\x{{{high:x}}}" for low, high in ranges)
     return f"[{'^' if negated else ''}{body}]"
+
+
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` evaluated once, however often ``use`` mentions it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
+
 from pyspark.sql import SparkSession
 
 SETTINGS = {
@@ -14,6 +18,21 @@ SETTINGS = {
 }
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in Python workers (as ``--py-files`` would)."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(tempfile.mkdtemp(prefix="quire-package-"), "quire")
+    root, name = os.path.split(package)
+    context.addPyFile(shutil.make_archive(target, "zip", root, name))
+    _shipped.add(context.applicationId)
+
+
 def local_session(cores: int | str = "*", memory: str = "8g", partitions: int = 8) -> SparkSession:
     """Single-machine session for tests and measurements."""
     builder = (
@@ -28,4 +47,5 @@ def local_session(cores: int | str = "*", memory: str = "8g", partitions: int =
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    ship_package(spark)
     return spark

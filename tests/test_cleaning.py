@@ -1,4 +1,5 @@
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -106,6 +107,24 @@ def test_line_rules_on_random_text(spark):
         assert r.strip == texts[r.i].strip()
 
 
+def test_contents_block_after_short_and_long_runs(spark):
+    rng = random.Random(11)
+    pieces = ["\n", "\n", " ", "Contents", "table of contents", "x", "\n\nChapter", "\nCHAPTER", "\n\nA"]
+    texts = ["".join(rng.choice(pieces) for _ in range(rng.randint(0, 40))) for _ in range(5000)]
+    long = [("\n" * 1200 if i % 50 == 0 else "") + text for i, text in enumerate(texts)]
+    df = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(zip(texts, long))], "i int, a string, b string")
+    rows = df.select("i", C.drop_contents_block(F.col("a")).alias("a"), C.drop_contents_block(F.col("b")).alias("b"))
+    pattern = re.compile(
+        r"\n\s*(?:Contents|Table of Contents)\s*\n(?:.*?\n){1,50}?(?=\n\n[A-Z]|\nCHAPTER)", re.I
+    )
+    changed = 0
+    for r in rows.collect():
+        assert r.a == pattern.sub("\n", texts[r.i])
+        assert r.b == pattern.sub("\n", long[r.i])
+        changed += r.a != texts[r.i]
+    assert changed > 100
+
+
 def test_long_runs_need_no_stack(spark):
     text = "abc" + "\n" * 300_000 + "def"
     df = spark.createDataFrame([(text,), ("a\n" * 100_000 + "whole",)], "text string")
