@@ -91,7 +91,10 @@ def scored(ebooks: DataFrame, exact: bool = False) -> DataFrame:
 
 
 def score_histogram(ebooks: DataFrame, curated: Sequence[str] = V.CURATED_SHELVES) -> DataFrame:
-    """Books per reading-ease band among English books on a curated shelf; all bands are listed."""
+    """Books per reading-ease band among English books on a curated shelf.
+
+    All bands are listed; ``position`` is their order in a report.
+    """
     chosen = english(ebooks).filter(on_curated_shelf(F.col("shelves"), _checked(curated)))
     counts = scored(chosen).groupBy("band").agg(F.count("*").alias("n_books"))
     return _zero_filled(counts, "band", V.ALL_BANDS, "n_books")

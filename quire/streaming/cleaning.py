@@ -26,11 +26,12 @@ def read_texts_stream(spark: SparkSession, path: str, files_per_batch: int = 10_
     return decoded(files)
 
 
-def read_documents_stream(spark: SparkSession, path: str, schema, files_per_batch: int = 1_000) -> DataFrame:
+def read_documents_stream(
+    spark: SparkSession, path: str, schema, glob: str = "*.parquet", files_per_batch: int = 1_000
+) -> DataFrame:
     """New Parquet files of a document table."""
-    return (
-        spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
-    )
+    files = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
+    return files.option("pathGlobFilter", glob).parquet(path)
 
 
 def clean_available(
