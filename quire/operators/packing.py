@@ -33,12 +33,14 @@ def last_chunk(total: Column, length: int, overlap: int) -> Column:
     return F.when(rest > length // 2, full).otherwise(full - 1)
 
 
-def offsets(tokens: DataFrame, by: str = "split", key: str = "doc_id") -> DataFrame:
-    """``(by, key, n_tokens, offset, total)`` for tokenized documents."""
-    narrow = tokens.select(by, key, F.size("tokens").cast("bigint").alias("n_tokens"))
-    return running_offsets(
-        narrow.withColumn("_order", file_order(key)), [F.col("_order")], weight="n_tokens", by=by
-    ).drop("_order")
+def counted(tokens: DataFrame) -> DataFrame:
+    return tokens.withColumn("n_tokens", F.size("tokens").cast("bigint"))
+
+
+def offsets(sizes: DataFrame, by: str = "split", key: str = "doc_id") -> DataFrame:
+    """``(by, key, n_tokens, offset, total)`` for ``(by, key, n_tokens)``."""
+    narrow = sizes.select(by, key, "n_tokens", file_order(key).alias("_order"))
+    return running_offsets(narrow, [F.col("_order")], weight="n_tokens", by=by).drop("_order")
 
 
 def pack(
@@ -57,8 +59,9 @@ def pack(
     if not 0 <= overlap < max_length:
         raise ValueError(f"need 0 <= overlap < max_length, got {overlap} and {max_length}")
     stride = max_length - overlap
-    table = stage(tokens.select(by, key, "tokens"), "tokens")
-    placed = table.join(offsets(table, by, key), [by, key]).filter("n_tokens > 0")
+    table = stage(counted(tokens.select(by, key, "tokens")), "tokens")
+    starts = offsets(table, by, key).filter("n_tokens > 0")
+    placed = table.drop("n_tokens").join(starts, [by, key])
 
     start, end = F.col("offset"), F.col("offset") + F.col("n_tokens")
     first = F.when(start < max_length, F.lit(0)).otherwise(_quotient(start - max_length, stride) + 1)

@@ -53,9 +53,9 @@ def _regrouped(lists: pa.Array, flat: pa.Array) -> pa.Array:
 def _word_ids(vocabulary) -> Column:
     @F.arrow_udf(IDS)
     def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        known = pa.array(vocabulary.value, pa.string())
+        known = vocabulary.value
         for lists in batches:
-            position = pc.index_in(lists.flatten().cast(pa.string()), value_set=known)
+            position = pc.index_in(lists.flatten().cast(known.type), value_set=known)
             found = pc.add(position, pa.scalar(WordTokenizer.FIRST, pa.int32()))
             yield _regrouped(lists, pc.fill_null(found, WordTokenizer.unknown_id))
 
@@ -96,15 +96,16 @@ class WordTokenizer:
         return self.vocabulary.count() + self.FIRST
 
     def _shared_words(self):
-        """The vocabulary as a broadcast list in id order, or None if it is too large."""
+        """The vocabulary as a broadcast Arrow array in id order, or None if it is too large."""
         if self._shared is None:
             size = self.vocabulary.agg(
                 F.count("*").alias("n"), F.coalesce(F.sum(F.octet_length("token")), F.lit(0)).alias("b")
             ).first()
             if size.n > self.max_shared_words or size.b > MAX_SHARED_BYTES:
                 return None
-            tokens = [r.token for r in self.vocabulary.orderBy("id").select("token").collect()]
-            self._shared = self.vocabulary.sparkSession.sparkContext.broadcast(tokens)
+            tokens = self.vocabulary.orderBy("id").select("token").toArrow()
+            words_in_order = tokens["token"].combine_chunks()
+            self._shared = self.vocabulary.sparkSession.sparkContext.broadcast(words_in_order)
         return self._shared
 
     def transform(self, df: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:

@@ -376,7 +376,7 @@ def _chunk_digest(packed):
 
 @query
 def pack_offsets(spark, folder):
-    table = stage(_split_tokens(spark, folder), "tokens")
+    table = stage(packing.counted(_split_tokens(spark, folder)), "tokens")
     return packing.offsets(table).select("split", "doc_id", "n_tokens", "offset", "total")
 
 
