@@ -6,6 +6,7 @@ input more than once outside exclusive branches, so the chain runs once per docu
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column
@@ -22,7 +23,7 @@ _CONTENTS = "()" + V.CONTENTS_BLOCK.format(ws=_WS)
 # Every line break of a whitespace run leads to the same heading. Trying each of them is
 # quadratic in the length of the run, so with very long runs only the first one is tried, which
 # is slower on ordinary text.
-_LONG_RUN = rf"{_WS}{{1000}}"
+_LONG_RUN = rf"\n(?:{_INLINE_WS}*+\n){{3}}{_WS}{{1000}}"
 _CONTENTS_LONG = (
     rf"(?={_WS})(?:\G|(?<={_NON_WS}))({_INLINE_WS}*+)" + V.CONTENTS_BLOCK.format(ws=_WS)
 )
@@ -31,6 +32,7 @@ _CONTENTS_LONG = (
 _BLANK_RUN = rf"\n(?:{_INLINE_WS}*+\n){{3}}(?:{_WS}*\n)?"
 # From the first line whose stripped length is at least 3 to the end of the text.
 _FROM_FULL_LINE = rf"(?:\A|(?<=\n)){_INLINE_WS}*+{_NON_WS}[^\n]+{_NON_WS}(?s:.*)"
+_FRONT_WORD = "|".join(re.escape(word) for word in V.FRONT_WORDS)
 
 
 def _has_stars(text: Column) -> Column:
@@ -57,22 +59,21 @@ def has_start_marker(text: Column) -> Column:
     return _has_stars(text) & reduce(lambda a, b: a | b, [text.rlike(p) for p in V.START_MARKERS])
 
 
+def _acceptable(line: Column) -> Column:
+    return ~is_blank(line) & ~F.lower(line).rlike(_FRONT_WORD)
+
+
 def from_first_content_line(text: Column, body: Column) -> Column:
     """Drop leading boilerplate from ``body`` when ``text`` has no start marker.
 
     The content starts where the first acceptable leading line of ``text`` occurs first, which
-    can be inside an earlier line. ``body`` is ``text`` up to its end marker.
+    can be inside an earlier line. ``body`` is ``text`` up to its end marker. Mostly the very
+    first line will do, and the others are not looked at.
     """
-    lines = F.slice(F.split(text, "\n", V.FRONT_LINES + 1), 1, V.FRONT_LINES)
-
-    def acceptable(line: Column) -> Column:
-        folded = F.lower(line)
-        return reduce(
-            lambda a, word: a & ~F.contains(folded, F.lit(word)), V.FRONT_WORDS, ~is_blank(line)
-        )
-
-    first = F.get(F.filter(lines, acceptable), F.lit(0))
-    return F.substr(body, F.coalesce(F.position(first, text), F.lit(1)))
+    lines = F.split(F.substring_index(text, "\n", V.FRONT_LINES), "\n", -1)
+    first = F.get(F.filter(lines, _acceptable), F.lit(0))
+    searched = F.substr(body, F.coalesce(F.position(first, text), F.lit(1)))
+    return F.when(_acceptable(F.substring_index(text, "\n", 1)), body).otherwise(searched)
 
 
 def between_markers(text: Column) -> Column:
