@@ -53,20 +53,28 @@ def pack(
     """Pack ``(by, key, tokens)`` into ``(by, chunk_id, input_ids)``.
 
     The tokens are written once. Stream offsets come from the narrow ``(by, key, n)`` columns
-    alone; the token arrays are moved to join their offset and to assemble chunks. A chunk
-    has at most ``max_length`` tokens and all chunks of a stream are alike, so no group is hot.
+    alone, and the token arrays are moved once, to meet their offset. A chunk that lies within one
+    document is cut out there and then. Only the pieces around document borders are moved again
+    and put together; such a group has at most ``max_length`` tokens, so none is hot.
     """
     if not 0 <= overlap < max_length:
         raise ValueError(f"need 0 <= overlap < max_length, got {overlap} and {max_length}")
     stride = max_length - overlap
     table = stage(counted(tokens.select(by, key, "tokens")), "tokens")
     starts = offsets(table, by, key).filter("n_tokens > 0")
-    placed = table.drop("n_tokens").join(starts, [by, key])
 
     start, end = F.col("offset"), F.col("offset") + F.col("n_tokens")
-    first = F.when(start < max_length, F.lit(0)).otherwise(_quotient(start - max_length, stride) + 1)
+    touching = F.when(start < max_length, F.lit(0)).otherwise(_quotient(start - max_length, stride) + 1)
     last = F.least(_quotient(end - 1, stride), last_chunk(F.col("total"), max_length, overlap))
-    ranged = placed.withColumns({"_first": first.cast("bigint"), "_last": last.cast("bigint")})
+    spans = {
+        # chunks that overlap the document, and among them those that lie within it
+        "_first": touching,
+        "_last": last,
+        "_inner": _quotient(start + (stride - 1), stride),
+        "_inner_last": F.when(end < max_length, F.lit(-1)).otherwise(_quotient(end - max_length, stride)),
+    }
+    placed = table.drop("n_tokens").join(starts, [by, key])
+    placed = placed.withColumns({name: c.cast("bigint") for name, c in spans.items()})
 
     def piece(chunk: Column) -> Column:
         low = F.greatest(start, chunk * stride)
@@ -74,17 +82,26 @@ def pack(
         part = F.slice("tokens", (low - start + 1).cast("int"), (high - low).cast("int"))
         return F.struct(chunk.alias("chunk_id"), low.alias("low"), part.alias("part"))
 
-    # Pieces are built inside one expression: exploding chunk numbers beside the token
-    # array would copy the whole array once per chunk.
-    pieces = ranged.filter(F.col("_first") <= F.col("_last")).select(
-        by, F.inline(F.transform(F.sequence("_first", "_last"), piece))
+    def pieces(documents: DataFrame, chunks: Column) -> DataFrame:
+        # Built inside one expression: exploding chunk numbers beside the token array would
+        # copy the whole array once per chunk.
+        return documents.select(by, F.inline(F.transform(chunks, piece)))
+
+    inner = pieces(placed.filter("_inner <= _inner_last"), F.sequence("_inner", "_inner_last"))
+    border = pieces(
+        placed.filter("_first <= _last and (_first < _inner or _last > _inner_last)"),
+        F.filter(
+            F.sequence("_first", "_last"),
+            lambda c: (c < F.col("_inner")) | (c > F.col("_inner_last")),
+        ),
     )
     parts = F.array_sort(F.collect_list(F.struct("low", "part")))
-    return (
-        pieces.groupBy(by, "chunk_id")
+    joined = (
+        border.groupBy(by, "chunk_id")
         .agg(parts.alias("_parts"))
         .select(by, "chunk_id", F.flatten(F.col("_parts.part")).alias("input_ids"))
     )
+    return inner.select(by, "chunk_id", F.col("part").alias("input_ids")).unionByName(joined)
 
 
 def with_labels(packed: DataFrame) -> DataFrame:

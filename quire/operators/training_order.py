@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quire.fixed_values import ACCUMULATION, DEVICE_BATCH, EPOCHS, IGNORED_LABEL, SEED
 from quire.operators.ranking import seeded_rank
+from quire.staging import stage
 
 
 def epoch_plan(
@@ -20,11 +21,12 @@ def epoch_plan(
     """``(by, chunk_id, n_tokens, rank, batch_id, step_id)`` of the chunks that are trained on.
 
     Chunks are put in a seeded order and the first ``ceil(fraction * n)`` are used. ``batch``
-    chunks form a device batch and ``accumulation`` batches a step. Token arrays are not read.
+    chunks form a device batch and ``accumulation`` batches a step. The sizes are written once,
+    so that ``packed`` is not computed again for each of the two reads of the ranking.
     """
     if fraction <= 0:
         raise ValueError(f"fraction must be positive, got {fraction}")
-    narrow = packed.select(by, "chunk_id", F.size("input_ids").alias("n_tokens"))
+    narrow = stage(packed.select(by, "chunk_id", F.size("input_ids").alias("n_tokens")), "sizes")
     return (
         seeded_rank(narrow, ["chunk_id"], by, seed)
         .filter(F.col("rank") < F.ceil(F.lit(float(fraction)) * F.col("total")))

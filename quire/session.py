@@ -12,6 +12,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Join token arrays to their small offset rows by hash: no sort of wide rows.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
     "spark.sql.session.timeZone": "UTC",
     # Tokenizers hand whole documents to Python; books are large, so keep batches small.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "512",
