@@ -31,8 +31,10 @@ def _checked(curated: Sequence[str]) -> list[str]:
 
 
 def _names(df: DataFrame, column: str, names: Sequence[str]) -> DataFrame:
-    rows = [(name, i) for i, name in enumerate(names)]
-    return df.sparkSession.createDataFrame(rows, f"{column} string, position int")
+    rows = [
+        F.struct(F.lit(name).alias(column), F.lit(i).alias("position")) for i, name in enumerate(names)
+    ]
+    return df.sparkSession.range(1).select(F.inline(F.array(*rows)))
 
 
 def english(ebooks: DataFrame) -> DataFrame:

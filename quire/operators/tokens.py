@@ -103,8 +103,8 @@ class WordTokenizer:
             ).first()
             if size.n > self.max_shared_words or size.b > MAX_SHARED_BYTES:
                 return None
-            tokens = self.vocabulary.orderBy("id").select("token").toArrow()
-            words_in_order = tokens["token"].combine_chunks()
+            table = self.vocabulary.select("id", "token").toArrow().sort_by("id")
+            words_in_order = table["token"].combine_chunks()
             self._shared = self.vocabulary.sparkSession.sparkContext.broadcast(words_in_order)
         return self._shared
 

@@ -339,6 +339,7 @@ ORACLES["tokens_bytes"] = _with(_stories("documents")) + (
     "SELECT doc_id, CAST(octet_length(encode(text)) + 3 AS BIGINT) AS n_tokens, "
     "md5(hex(encode(text)) || '0A1000A') AS ids_md5 FROM stories"
 )
+ORACLES["tokens_stored_ids"] = ORACLES["tokens_bytes"]
 
 # --- packing ---
 

@@ -339,9 +339,7 @@ def tokens_special_ids(spark, folder):
     return tokens.special_ids(tokenizer, spark)
 
 
-@query
-def tokens_bytes(spark, folder):
-    df = tokens.ByteTokenizer().transform(tokens.stories(views.texts(spark, folder)))
+def _bytes_digest(df):
     digits = F.transform("tokens", lambda t: F.when(t < 16, F.lpad(F.hex(t), 2, "0")).otherwise(F.hex(t)))
     return df.select(
         "doc_id",
@@ -350,6 +348,19 @@ def tokens_bytes(spark, folder):
     )
 
 
+@query
+def tokens_bytes(spark, folder):
+    docs = tokens.stories(views.texts(spark, folder))
+    return _bytes_digest(tokens.ByteTokenizer().transform(docs))
+
+
+@query
+def tokens_stored_ids(spark, folder):
+    eos = "<|end|>"
+    tokenizer = tokens.StoredTokenizer(views.byte_tokenizer_definition(eos), eos)
+    return _bytes_digest(tokenizer.transform(tokens.stories(views.texts(spark, folder))))
+
+
 # --- packing ---
 
 
