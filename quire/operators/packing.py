@@ -15,6 +15,9 @@ from quire.operators.ranking import running_offsets
 from quire.staging import stage
 
 
+SEGMENT_CHUNKS = 8
+
+
 def file_order(key: str = "doc_id") -> Column:
     """Order of documents in the stream: by file name, as text."""
     return F.concat(F.col(key).cast("string"), F.lit(TEXT_SUFFIX))
@@ -43,6 +46,23 @@ def offsets(sizes: DataFrame, by: str = "split", key: str = "doc_id") -> DataFra
     return running_offsets(narrow, [F.col("_order")], weight="n_tokens", by=by).drop("_order")
 
 
+def segments(tokens: DataFrame, size: int) -> DataFrame:
+    """Cut token arrays into rows of at most ``size`` tokens: adds ``segment`` and ``n_tokens``.
+
+    Bounds the size of a row, so that a very long document is spread over tasks like many short
+    ones, and a batch of rows fits in memory.
+    """
+    kept = [c for c in tokens.columns if c != "tokens"]
+    sized = tokens.filter(F.size("tokens") > 0).withColumn(
+        "_last", F.floor((F.size("tokens") - 1) / size).cast("int")
+    )
+    cut = F.transform(
+        F.sequence(F.lit(0), F.col("_last")),
+        lambda i: F.struct(i.alias("segment"), F.slice("tokens", i * size + 1, F.lit(size)).alias("tokens")),
+    )
+    return counted(sized.select(*kept, F.inline(cut)))
+
+
 def pack(
     tokens: DataFrame,
     max_length: int = MAX_LENGTH,
@@ -52,28 +72,30 @@ def pack(
 ) -> DataFrame:
     """Pack ``(by, key, tokens)`` into ``(by, chunk_id, input_ids)``.
 
-    The tokens are written once. Stream offsets come from the narrow ``(by, key, n)`` columns
-    alone, and the token arrays are moved once, to meet their offset. A chunk that lies within one
-    document is cut out there and then. Only the pieces around document borders are moved again
-    and put together; such a group has at most ``max_length`` tokens, so none is hot.
+    The tokens are written once, in segments of at most ``SEGMENT_CHUNKS`` chunks. Stream offsets
+    come from the narrow columns alone, and the token arrays are moved once, to meet their offset.
+    A chunk that lies within one segment is cut out there and then. Only the pieces around
+    segment borders are moved again and put together; such a group has at most ``max_length``
+    tokens, so none is hot.
     """
     if not 0 <= overlap < max_length:
         raise ValueError(f"need 0 <= overlap < max_length, got {overlap} and {max_length}")
     stride = max_length - overlap
-    table = stage(counted(tokens.select(by, key, "tokens")), "tokens")
-    starts = offsets(table, by, key).filter("n_tokens > 0")
+    table = stage(segments(tokens.select(by, key, "tokens"), SEGMENT_CHUNKS * max_length), "tokens")
+    narrow = table.select(by, key, "segment", "n_tokens", file_order(key).alias("_order"))
+    starts = running_offsets(narrow, [F.col("_order"), F.col("segment")], weight="n_tokens", by=by)
 
     start, end = F.col("offset"), F.col("offset") + F.col("n_tokens")
     touching = F.when(start < max_length, F.lit(0)).otherwise(_quotient(start - max_length, stride) + 1)
     last = F.least(_quotient(end - 1, stride), last_chunk(F.col("total"), max_length, overlap))
     spans = {
-        # chunks that overlap the document, and among them those that lie within it
+        # chunks that overlap the segment, and among them those that lie within it
         "_first": touching,
         "_last": last,
         "_inner": _quotient(start + (stride - 1), stride),
         "_inner_last": F.when(end < max_length, F.lit(-1)).otherwise(_quotient(end - max_length, stride)),
     }
-    placed = table.drop("n_tokens").join(starts, [by, key])
+    placed = table.drop("n_tokens").join(starts.drop("_order"), [by, key, "segment"])
     placed = placed.withColumns({name: c.cast("bigint") for name, c in spans.items()})
 
     def piece(chunk: Column) -> Column:
@@ -82,10 +104,10 @@ def pack(
         part = F.slice("tokens", (low - start + 1).cast("int"), (high - low).cast("int"))
         return F.struct(chunk.alias("chunk_id"), low.alias("low"), part.alias("part"))
 
-    def pieces(documents: DataFrame, chunks: Column) -> DataFrame:
+    def pieces(rows: DataFrame, chunks: Column) -> DataFrame:
         # Built inside one expression: exploding chunk numbers beside the token array would
         # copy the whole array once per chunk.
-        return documents.select(by, F.inline(F.transform(chunks, piece)))
+        return rows.select(by, F.inline(F.transform(chunks, piece)))
 
     inner = pieces(placed.filter("_inner <= _inner_last"), F.sequence("_inner", "_inner_last"))
     border = pieces(

@@ -15,8 +15,9 @@ SETTINGS = {
     # Join token arrays to their small offset rows by hash: no sort of wide rows.
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
     "spark.sql.session.timeZone": "UTC",
-    # Tokenizers hand whole documents to Python; books are large, so keep batches small.
+    # Rows are whole documents and books are large: keep batches of rows small.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "512",
+    "spark.sql.parquet.columnarReaderBatchSize": "512",
 }
 
 

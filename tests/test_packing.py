@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from quire.operators.packing import pack, packing_report, with_labels
+from quire.operators.packing import pack, packing_report, segments, with_labels
 
 SCHEMA = "split string, doc_id string, tokens array<int>"
 
@@ -65,6 +65,23 @@ def test_equal_to_one_pass(spark, length, overlap):
         assert rebuilt == stream[: len(rebuilt)]
 
 
+@pytest.mark.parametrize("n", [500, 512, 513])
+def test_one_long_document_among_short_ones(spark, n):
+    """Longer than many segments, and around a segment border."""
+    rows = [("train", f"{i:03d}", [i] * 3) for i in range(5)] + [("train", "002x", list(range(1000, 1000 + n)))]
+    stories = sorted((d + ".txt", t) for _, d, t in rows)
+    stream = [t for _, toks in stories for t in toks]
+    assert _packed(spark, rows, 8, 3)["train"] == _sequential(stream, 8, 3)
+
+
+def test_segments(spark):
+    rows = [("train", "a", list(range(10))), ("train", "b", []), ("train", "c", list(range(4)))]
+    cut = segments(spark.createDataFrame(rows, SCHEMA), 4)
+    assert sorted((r.doc_id, r.segment, r.tokens, r.n_tokens) for r in cut.collect()) == [
+        ("a", 0, [0, 1, 2, 3], 4), ("a", 1, [4, 5, 6, 7], 4), ("a", 2, [8, 9], 2), ("c", 0, [0, 1, 2, 3], 4)
+    ]
+
+
 def test_order_is_by_file_name(spark):
     got = _packed(spark, [("train", "986", [1, 2, 3]), ("train", "10045", [4, 5, 6])], 4, 0)
     assert got["train"] == [[4, 5, 6, 1]]
