@@ -53,14 +53,13 @@ def segments(tokens: DataFrame, size: int) -> DataFrame:
     ones, and a batch of rows fits in memory.
     """
     kept = [c for c in tokens.columns if c != "tokens"]
-    sized = tokens.filter(F.size("tokens") > 0).withColumn(
-        "_last", F.floor((F.size("tokens") - 1) / size).cast("int")
-    )
+    last = F.floor((F.size("tokens") - 1) / size).cast("int")
     cut = F.transform(
-        F.sequence(F.lit(0), F.col("_last")),
+        F.sequence(F.lit(0), last),
         lambda i: F.struct(i.alias("segment"), F.slice("tokens", i * size + 1, F.lit(size)).alias("tokens")),
     )
-    return counted(sized.select(*kept, F.inline(cut)))
+    # No filter for empty arrays: Spark would run the tokenizer a second time for it.
+    return counted(tokens.select(*kept, F.inline(F.when(F.size("tokens") > 0, cut))))
 
 
 def pack(
