@@ -13,8 +13,6 @@ def spark():
     from quire.session import local_session
 
     session = local_session(cores=8, memory="6g", partitions=8)
-    if not session.conf.get("spark.checkpoint.dir", None):
-        session.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="quire-tests-"))
     yield session
     session.stop()
 

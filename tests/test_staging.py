@@ -8,31 +8,37 @@ from quire.operators.packing import segments
 from quire.operators.tokens import ByteTokenizer
 
 
-def test_tables_go_to_the_folder_the_session_names(spark, folder):
-    before = spark.conf.get("spark.checkpoint.dir")
-    spark.conf.set("spark.checkpoint.dir", folder + "/")
-    try:
-        table = staging.stage(spark.range(10).withColumn("x", F.col("id") * 2), "numbers")
-    finally:
-        spark.conf.set("spark.checkpoint.dir", before)
-    assert os.listdir(f"{folder}/quire/{spark.sparkContext.applicationId}")
-    assert sorted(r.x for r in table.collect()) == list(range(0, 20, 2))
+class _Context:
+    applicationId = "app"
+
+    def __init__(self, master, folder=None):
+        self.master, self.folder = master, folder
 
+    def getCheckpointDir(self):
+        return self.folder
 
-def test_a_cluster_must_name_a_folder():
-    class Context:
-        master = "yarn"
 
-    class Session:
-        sparkContext = Context()
+class _Session:
+    def __init__(self, setting, master, folder=None):
+        self.sparkContext = _Context(master, folder)
+        self.conf = {"spark.checkpoint.dir": setting} if setting else {}
 
-        class conf:
-            @staticmethod
-            def get(name, default=None):
-                return default
 
+def test_the_session_names_the_folder():
+    assert staging.shared_folder(_Session("hdfs:///shared/", "yarn")) == "hdfs:///shared"
+    assert staging.shared_folder(_Session(None, "yarn", "hdfs:///set")) == "hdfs:///set"
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        staging.shared_folder(Session())
+        staging.shared_folder(_Session(None, "yarn"))
+    local = staging.shared_folder(_Session(None, "local[2]"))
+    assert os.path.isdir(local) and staging.shared_folder(_Session(None, "local[2]")) == local
+
+
+def test_staged_table(spark):
+    df = spark.range(10).withColumn("x", F.col("id") * 2)
+    table = staging.stage(df, "numbers")
+    assert sorted(r.x for r in table.collect()) == list(range(0, 20, 2))
+    files = table.inputFiles()
+    assert files and all(f"/quire/{spark.sparkContext.applicationId}/numbers-" in f for f in files)
 
 
 def test_only_small_inputs_are_spread(spark):
