@@ -2,8 +2,8 @@ import pytest
 from compare import connect, difference
 
 import __spark_entry__ as entry_file
-
-QUERIES, SQL = entry_file.queries(), entry_file.oracle_sql()
+from quire.plans.oracles import ORACLES as SQL
+from quire.plans.queries import QUERIES
 TYPES = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE", "boolean": "BOOLEAN"}
 
 
