@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quire.llm import embedding_dedup, packing, sharding, simhash_dedup
+from quire.llm import decontamination, embedding_dedup, packing, sharding, simhash_dedup
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -24,12 +24,17 @@ def op4_simhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return simhash_dedup.component_rows(_table(spark, folder, "documents"))
 
 
+def op8_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontamination.contamination_rows(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
 def op9_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return embedding_dedup.near_vectors(_table(spark, folder, "embeddings"))
 
 
 QUERIES = {
     "op4_simhash_dedup": op4_simhash_dedup,
+    "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_embedding_dedup": op9_embedding_dedup,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op10_sharding": op10_sharding,
