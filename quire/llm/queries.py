@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quire.llm import decontamination, embedding_dedup, packing, sharding, simhash_dedup
+from quire.llm import decontamination, embedding_dedup, line_dedup, packing, sharding, simhash_dedup
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -20,6 +20,10 @@ def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.sharded_documents(_table(spark, folder, "documents"))
 
 
+def op2_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return line_dedup.deduped_lines(_table(spark, folder, "documents"))
+
+
 def op4_simhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return simhash_dedup.component_rows(_table(spark, folder, "documents"))
 
@@ -33,6 +37,7 @@ def op9_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_line_dedup": op2_line_dedup,
     "op4_simhash_dedup": op4_simhash_dedup,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_embedding_dedup": op9_embedding_dedup,
