@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quire.llm import decontamination, embedding_dedup, line_dedup, packing, sharding, simhash_dedup
+from quire.llm import chat_formatting, decontamination, embedding_dedup, line_dedup, packing, sharding, simhash_dedup
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -24,6 +24,10 @@ def op2_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return line_dedup.deduped_lines(_table(spark, folder, "documents"))
 
 
+def op3_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
+    return chat_formatting.formatted_conversations(_table(spark, folder, "conversations"))
+
+
 def op4_simhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return simhash_dedup.component_rows(_table(spark, folder, "documents"))
 
@@ -38,10 +42,11 @@ def op9_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op2_line_dedup": op2_line_dedup,
+    "op3_chat_formatting": op3_chat_formatting,
     "op4_simhash_dedup": op4_simhash_dedup,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_embedding_dedup": op9_embedding_dedup,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op10_sharding": op10_sharding,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op3_chat_formatting": chat_formatting.ORACLE}

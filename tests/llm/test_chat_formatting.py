@@ -1,0 +1,96 @@
+import hashlib
+import random
+import re
+
+from pyspark.sql import functions as F
+
+from quire.llm import chat_formatting as C
+from quire.llm.queries import ORACLES, QUERIES
+
+FIELDS = "conv_id bigint, seq bigint, turn bigint, op string, role string, text string"
+
+
+def fold_log(events):
+    """One conversation, event by event."""
+    turns = {}
+    for _, _, turn, op, role, text in sorted(events, key=lambda e: e[1]):
+        if op == "regenerate":
+            turns = {k: v for k, v in turns.items() if k <= turn}
+        own = turns.setdefault(turn, ["", None])
+        if role is not None:
+            own[0] = role
+        text = text or ""
+        own[1] = None if op == "delete" else text if op != "delta" else (own[1] or "") + text
+    return [(k, v[0], v[1]) for k, v in sorted(turns.items()) if v[1] is not None]
+
+
+def test_fold_against_event_by_event(spark, rows):
+    random.seed(3)
+    events = []
+    for conv in range(60):
+        for seq in range(random.randint(1, 14)):
+            op = random.choice(["message", "delta", "delta", "edit", "regenerate", "delete"])
+            events.append((conv, seq, random.randint(0, 3), op, "user", random.choice(["a", "bc", "", None, "d\n"])))
+    expected = [(c, *t) for c in range(60) for t in fold_log([e for e in events if e[0] == c])]
+    random.shuffle(events)
+    got = rows(C.fold(spark.createDataFrame(events, FIELDS)), "conv_id", "turn", "role", "text")
+    assert got == sorted(expected, key=repr)
+
+
+def test_round_trip_of_any_text(spark):
+    random.seed(4)
+    pieces = ["<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>", "<<TURN>>", "<<TEXT>>", "<</TURN>>", "\\", "<", "[", "/",
+              "s>", "INST]", "a", " ", "\n", "é", "😀", "$1", "\\<", "\r"]
+    roles = ["user", "assistant", "system", "tool", "</s>", ""]
+    data = []
+    for conv in range(300):
+        for turn in range(random.randint(1, 5)):
+            text = "".join(random.choice(pieces) for _ in range(random.randint(0, 12)))
+            data.append((conv, turn, random.choice(roles), text))
+    df = spark.createDataFrame(data, "conv_id bigint, turn bigint, role string, text string")
+    out = C.render(C.fold(C.message_events(df)))
+    read = out.select("conv_id", "formatted", C.read_back(F.col("formatted")).alias("t"), C.masked_text(F.col("formatted"), F.col("loss_spans")).alias("m"))
+    for r in read.collect():
+        mine = [(role, text) for conv, _, role, text in data if conv == r.conv_id]
+        assert [(t.role, t.text) for t in r.t] == mine
+        assert r.m == "".join(text for role, text in mine if role == "assistant")
+
+
+def test_escaped_texts_hold_no_control_string(spark):
+    texts = [C.TEST_TEXT, "<<s><</SYS>>", "\\</s>", "<<SYS>><<SYS>>", "[[INST]]"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", C.escape(F.col("t")).alias("e"))
+    for r in df.collect():
+        assert not re.search(C.CONTROL, r.e)
+
+
+def test_template(spark):
+    data = [(1, 0, "system", "be kind"), (1, 1, "user", "hi"), (1, 2, "assistant", "ok </s>"), (1, 3, "tool", "x")]
+    df = spark.createDataFrame(data, "conv_id bigint, turn bigint, role string, text string")
+    row = C.render(C.fold(C.message_events(df))).first()
+    assert row.formatted == "<<SYS>>be kind<</SYS>>[INST]hi[/INST]<s>ok <\\/s></s><<TURN>>tool<<TEXT>>x<</TURN>>"
+    assert [row.formatted[s.start : s.start + s.length] for s in row.loss_spans] == ["ok <\\/s>"]
+
+
+def test_query_against_sql(spark, small):
+    from compare import connect, difference
+
+    df = QUERIES["op3_chat_formatting"](spark, small)
+    assert difference(df, connect(small), ORACLES["op3_chat_formatting"]) is None
+
+
+def test_test_conversation_and_odd_rows(spark):
+    data = [(5, 0, None, None), (5, None, "user", "x"), (5, 1, "assistant", ""), (6, 0, "user", "same"), (6, 0, "user", "same"),
+            (7, 3, "assistant", "late"), (7, 1, "user", "long " * 50_000)]
+    df = spark.createDataFrame(data, "conv_id bigint, turn bigint, role string, text string").withColumn("op", F.lit(1)).withColumn("seq", F.lit(0))
+    got = {r.conv_id: r for r in C.formatted_conversations(df).collect()}
+    sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
+    assert got[-7].turns_sha256 == sha(f"user\n{C.TEST_TEXT}\nassistant\n{C.TEST_TEXT}\n")
+    assert (got[-7].loss_chars, got[-7].loss_sha256) == (len(C.TEST_TEXT), sha(C.TEST_TEXT))
+    assert got[5].turns_sha256 == sha("user\nx\n\n\nassistant\n\n")
+    assert got[6].n_turns == 2 and got[7].turns_sha256 == sha("user\n" + "long " * 50_000 + "\nassistant\nlate\n")
+    assert {r.conv_id for r in C.formatted_conversations(df.limit(0)).collect()} == {-7}
+
+
+def test_no_python_in_the_plan(spark, small):
+    df = QUERIES["op3_chat_formatting"](spark, small)
+    assert not re.search("Python|Pandas|Arrow", df._jdf.queryExecution().executedPlan().toString())
