@@ -5,7 +5,16 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quire.llm import chat_formatting, decontamination, embedding_dedup, line_dedup, packing, sharding, simhash_dedup
+from quire.llm import (
+    chat_formatting,
+    decontamination,
+    embedding_dedup,
+    license_scan,
+    line_dedup,
+    packing,
+    sharding,
+    simhash_dedup,
+)
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -32,6 +41,10 @@ def op4_simhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return simhash_dedup.component_rows(_table(spark, folder, "documents"))
 
 
+def op6_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return license_scan.license_rows(_table(spark, folder, "documents"))
+
+
 def op8_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontamination.contamination_rows(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
 
@@ -44,9 +57,13 @@ QUERIES = {
     "op2_line_dedup": op2_line_dedup,
     "op3_chat_formatting": op3_chat_formatting,
     "op4_simhash_dedup": op4_simhash_dedup,
+    "op6_license_scan": op6_license_scan,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_embedding_dedup": op9_embedding_dedup,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op10_sharding": op10_sharding,
 }
-ORACLES: dict[str, str] = {"op3_chat_formatting": chat_formatting.ORACLE}
+ORACLES: dict[str, str] = {
+    "op3_chat_formatting": chat_formatting.ORACLE,
+    "op6_license_scan": license_scan.ORACLE,
+}

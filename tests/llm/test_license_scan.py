@@ -1,0 +1,76 @@
+import random
+import re
+
+from compare import connect, difference
+from pyspark.sql import functions as F
+
+from quire.llm import license_scan as L
+from quire.llm.queries import ORACLES, QUERIES
+
+
+def test_query_against_sql(spark):
+    folder = "/root/testdata/sf0.01"
+    df = QUERIES["op6_license_scan"](spark, folder)
+    assert df.count() > 10
+    assert difference(df, connect(folder), ORACLES["op6_license_scan"]) is None
+
+
+def plain_shingles(text):
+    words = re.findall(r"[^\W_]+", (text or "").lower())
+    return [tuple(words[i : i + 5]) for i in range(len(words) - 4)]
+
+
+def test_against_all_windows(spark):
+    """Every document with a window that holds 0.8 of a template is found, and no other."""
+    random.seed(5)
+    draw = lambda n: [random.choice("abcdefghijklmnopqrstuvwxyz") + str(random.randrange(40)) for _ in range(n)]
+    templates = [(f"t{n}", " ".join(draw(n))) for n in (5, 6, 7, 9, 13, 16, 22, 33, 50, 70)]
+    docs = []
+    for d in range(300):
+        words = draw(random.randint(0, 60))
+        for _ in range(random.randint(0, 2)):
+            copy = random.choice(templates)[1].split()
+            for _ in range(random.randint(0, 2)):
+                copy[random.randrange(len(copy))] = "edit"
+            at = random.randint(0, len(words))
+            words = words[:at] + copy + words[at:]
+        docs.append((d, " ".join(words)))
+    expected = {}
+    for name, text in templates:
+        own = set(plain_shingles(text))
+        step = 1
+        while step < len(own):
+            step *= 2
+        for d, content in docs:
+            every = plain_shingles(content)
+            for start in range(0, len(every), step):
+                shared = len(own & set(every[start : start + 2 * step])) / len(own)
+                if shared >= 0.8:
+                    expected[d, name] = max(shared, expected.get((d, name), 0))
+    found = L.scan(spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(templates, "license string, text string"))
+    assert {(r.doc_id, r.license): r.containment for r in found.collect()} == expected
+    assert len(expected) > 100
+
+
+def test_template_blocks(spark, small, rows, monkeypatch):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    whole = rows(L.license_rows(docs))
+    monkeypatch.setattr(L, "TEMPLATE_BLOCK", 2)
+    assert rows(L.license_rows(docs)) == whole
+
+
+def test_odd_rows(spark, rows):
+    mit = L.NOTICES[0][1]
+    data = [(1, None), (2, ""), (3, "short"), (4, f"x {mit.upper()} y"), (4, f"x {mit.upper()} y"), (None, f"ß {mit}"), (6, "word " * 100_000 + mit)]
+    docs = spark.createDataFrame(data, "doc_id bigint, text string").withColumn("shingles", F.lit(1)).withColumn("license", F.lit("z"))
+    got = rows(L.license_rows(docs), "doc_id", "license", "containment", "first_word")
+    assert got == sorted([(4, "MIT", 1.0, 1), (None, "MIT", 1.0, 1), (6, "MIT", 1.0, 100_000)], key=repr)
+    assert L.license_rows(docs.limit(0)).count() == 0
+    few = spark.createDataFrame([("a", "too short"), (None, mit), ("b", None)], "license string, text string")
+    assert L.scan(docs, few).count() == 0
+
+
+def test_no_python_and_one_shuffle(spark, small):
+    plan = QUERIES["op6_license_scan"](spark, small)._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Pandas|Arrow|Cartesian|NestedLoop", plan)
+    assert len(re.findall(r"\bExchange hashpartitioning", plan)) == 1
