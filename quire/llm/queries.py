@@ -11,6 +11,7 @@ from quire.llm import (
     embedding_dedup,
     license_scan,
     line_dedup,
+    lm_scoring,
     packing,
     sharding,
     simhash_dedup,
@@ -29,6 +30,10 @@ def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.sharded_documents(_table(spark, folder, "documents"))
 
 
+def op1_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    return lm_scoring.score_documents(_table(spark, folder, "documents"))
+
+
 def op2_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return line_dedup.deduped_lines(_table(spark, folder, "documents"))
 
@@ -54,6 +59,7 @@ def op9_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_lm_scoring": op1_lm_scoring,
     "op2_line_dedup": op2_line_dedup,
     "op3_chat_formatting": op3_chat_formatting,
     "op4_simhash_dedup": op4_simhash_dedup,
