@@ -288,9 +288,9 @@ def decontaminate(
     done = scanned.filter("size(spans) = 0").select("row.*")
     dirty = stage(scanned.filter((F.size("spans") > 0) & (hit <= F.col("n_words") * max_coverage)), "hit")
     while not dirty.isEmpty():
-        cut = dirty.select(
+        cut = dirty.withColumn("left", _cut(F.col("text"), F.col("spans"))).select(
             *[
-                _cut(F.col("text"), F.col("spans")).alias(c) if c == "text" else F.col(f"row.`{c}`").alias(c)
+                F.col("left").alias(c) if c == "text" else _length(c, dirty).alias(c)
                 for c in names
             ]
         )
@@ -300,6 +300,12 @@ def decontaminate(
     return done
 
 
+def _length(column: str, dirty: DataFrame):
+    """A document's column, with ``n_chars`` as long as the text that is left."""
+    value = F.col(f"row.`{column}`")
+    return F.length("left").cast(dirty.select(value).schema[0].dataType) if column == "n_chars" else value
+
+
 @F.arrow_udf(T.StringType())
 def _cut(texts: pa.Array, spans: pa.Array) -> pa.Array:
     pairs = zip(texts.to_pylist(), spans.to_pylist())

@@ -9,6 +9,7 @@ from quire.llm import (
     chat_formatting,
     decontamination,
     embedding_dedup,
+    language_id,
     license_scan,
     line_dedup,
     lm_scoring,
@@ -50,6 +51,10 @@ def op6_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return license_scan.license_rows(_table(spark, folder, "documents"))
 
 
+def op7_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return language_id.language_rows(_table(spark, folder, "documents"))
+
+
 def op8_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontamination.contamination_rows(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
 
@@ -64,6 +69,7 @@ QUERIES = {
     "op3_chat_formatting": op3_chat_formatting,
     "op4_simhash_dedup": op4_simhash_dedup,
     "op6_license_scan": op6_license_scan,
+    "op7_language_id": op7_language_id,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_embedding_dedup": op9_embedding_dedup,
     "op5_best_fit_packing": op5_best_fit_packing,

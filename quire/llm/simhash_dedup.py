@@ -14,8 +14,8 @@ linked, and a ball has at most 65 fingerprints, so a link to its smallest is eno
 exact, and neither is quadratic in the size of a group.
 
 Defined cases: a null or empty text has fingerprint zero and is linked like any other. Rows with a
-null ``doc_id`` take the component of their fingerprint, null if no row with a ``doc_id`` has it.
-Repeated rows are returned as often as they occur. No rows give no rows.
+null ``doc_id`` are linked too; a component is null if no row of it has a ``doc_id``. Repeated rows are
+returned as often as they occur. No rows give no rows.
 """
 
 from __future__ import annotations
@@ -38,6 +38,8 @@ SHINGLE = 3
 MAX_DISTANCE = 2
 SEGMENTS = ((0, 22), (22, 21), (43, 21))
 DENSE = 64
+# Ids of documents to leave out are handed to every task up to this many (8 bytes each), and joined beyond it.
+MAX_SHARED_IDS = 2_000_000
 # Fixed value: generator polynomial of the (23,12) Golay code.
 GOLAY = 0xC75
 _BLOCK = 1 << 16
@@ -131,36 +133,67 @@ def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows, keys = fuzzy_keys(batch["fp"].to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64))
         at = pa.array(rows)
-        yield pa.RecordBatch.from_arrays([pa.array(keys), batch["fp"].take(at), batch["rep"].take(at)], ["key", "fp", "rep"])
+        yield pa.RecordBatch.from_arrays([pa.array(keys), batch["fp"].take(at)], ["key", "fp"])
 
 
 def links(distinct: DataFrame) -> DataFrame:
-    """Links ``(a, b)`` between representatives of distinct ``(fp, rep)`` that connect all near pairs."""
-    keyed = distinct.mapInArrow(_keyed, "key bigint, fp bigint, rep bigint")
+    """Links ``(a, b)`` between distinct fingerprints ``(fp)`` that connect all near pairs."""
+    keyed = distinct.select("fp").mapInArrow(_keyed, "key bigint, fp bigint")
     counted = keyed.withColumn("n", F.count("*").over(Window.partitionBy("key"))).filter("n > 1")
     shared = stage(counted, "fuzzy-keys")
     few = shared.filter(F.col("n") <= DENSE)
-    other = few.select("key", F.col("fp").alias("fp2"), F.col("rep").alias("rep2"))
-    differ = F.bit_count(F.col("fp").bitwiseXOR(F.col("fp2")))
-    pairs = few.join(other, "key").filter((F.col("rep") > F.col("rep2")) & (differ <= MAX_DISTANCE))
-    verified = pairs.select(F.col("rep").alias("a"), F.col("rep2").alias("b"))
+    other = few.select("key", F.col("fp").alias("other"))
+    differ = F.bit_count(F.col("fp").bitwiseXOR(F.col("other")))
+    pairs = few.join(other, "key").filter((F.col("fp") > F.col("other")) & (differ <= MAX_DISTANCE))
+    verified = pairs.select(F.col("fp").alias("a"), F.col("other").alias("b"))
     masks = F.array(F.lit(0).cast("bigint"), *[F.lit(_signed(1 << i)).cast("bigint") for i in range(64)])
-    dense = shared.filter(F.col("n") > DENSE).select("fp", "rep").distinct()
-    balls = dense.select("rep", F.explode(F.transform(masks, lambda m: F.col("fp").bitwiseXOR(m))).alias("ball"))
-    nearest = balls.withColumn("low", F.min("rep").over(Window.partitionBy("ball")))
-    stars = nearest.filter("rep > low").select(F.col("rep").alias("a"), F.col("low").alias("b"))
+    dense = shared.filter(F.col("n") > DENSE).select("fp").distinct()
+    balls = dense.select("fp", F.explode(F.transform(masks, lambda m: F.col("fp").bitwiseXOR(m))).alias("ball"))
+    nearest = balls.withColumn("low", F.min("fp").over(Window.partitionBy("ball")))
+    stars = nearest.filter("fp > low").select(F.col("fp").alias("a"), F.col("low").alias("b"))
     return verified.unionByName(stars).distinct()
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """``(doc_id, fp, component_id)``, a row per document."""
+    """``(doc_id, fp, group, component_id)``, a row per document; ``group`` tells components apart."""
     marked = stage(fingerprints(docs), "fingerprints")
     distinct = stage(marked.groupBy("fp").agg(F.min("doc_id").alias("rep")), "distinct-fingerprints")
-    known = distinct.filter("rep is not null")
-    found = components(links(known))
-    labels = distinct.join(found.select(F.col("id").alias("rep"), "component"), "rep", "left")
-    labels = labels.select("fp", F.coalesce("component", "rep").alias("component_id"))
-    return marked.join(labels, "fp").select("doc_id", "fp", "component_id")
+    found = components(links(distinct)).withColumnRenamed("id", "fp")
+    grouped = distinct.join(found, "fp", "left").select("fp", "rep", F.coalesce("component", "fp").alias("group"))
+    grouped = stage(grouped, "grouped-fingerprints")
+    smallest = grouped.groupBy("group").agg(F.min("rep").alias("component_id"))
+    labels = grouped.select("fp", "group").join(smallest, "group")
+    return marked.join(labels, "fp").select("doc_id", "fp", "group", "component_id")
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """``docs`` with one document of each component: the one with the smallest ``doc_id``.
+
+    Rows with equal ``doc_id`` are copies of one document, of which one stays. Rows without
+    ``doc_id`` stay if no row with one is in their component, one for each component.
+    """
+    marked = stage(near_duplicates(docs), "near-duplicates")
+    own = F.col("doc_id") == F.col("component_id")
+    gone = marked.filter(~own).select("doc_id").distinct()
+    again = stage(marked.filter(own).groupBy("doc_id").count().filter("count > 1").select("doc_id"), "repeated-ids")
+    listed = stage(gone.unionByName(again).distinct(), "listed-ids")
+    few = listed.count() <= MAX_SHARED_IDS
+    named = docs.filter(F.col("doc_id").isNotNull())
+    once = named.join(F.broadcast(listed) if few else listed, "doc_id", "left_anti")
+    kept_again = again.join(gone, "doc_id", "left_anti")
+    repeated = named.join(F.broadcast(kept_again) if few else kept_again, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    nameless = docs.filter(F.col("doc_id").isNull()).select(F.col("text").cast("string").alias("text"), row.alias("row"))
+    schema = nameless.select("row", F.lit(0).cast("bigint").alias("fp")).schema
+    unknown = marked.filter("component_id is null").select("fp", "group").distinct()
+    apart = nameless.mapInArrow(_rows_with_fingerprint, schema).join(unknown, "fp").dropDuplicates(["group"])
+    return once.select(*docs.columns).unionByName(repeated.select(*docs.columns)).unionByName(apart.select("row.*"))
+
+
+def _rows_with_fingerprint(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        values = [_signed(fingerprint(t.as_py())) for t in batch["text"]]
+        yield pa.RecordBatch.from_arrays([batch["row"], pa.array(values, pa.int64())], ["row", "fp"])
 
 
 def component_rows(docs: DataFrame) -> DataFrame:

@@ -72,18 +72,14 @@ def test_components_against_all_pairs(spark, rows, union_find, monkeypatch, dens
     for _ in range(25):
         base = random.getrandbits(64)
         values += [base ^ sum(1 << b for b in random.sample(range(64), random.randint(0, 4))) for _ in range(30)]
-    known = {}
-    for i, v in enumerate(values):
-        known.setdefault(v, i)
-    found = union_find()
-    items = list(known.items())
-    for i, (v, a) in enumerate(items):
-        for w, b in items[:i]:
-            if bin(v ^ w).count("1") <= 2:
-                found.join(a, b)
-    distinct = spark.createDataFrame([(S._signed(v), a) for v, a in items], "fp bigint, rep bigint")
+    items, found = sorted({S._signed(v) for v in values}), union_find()
+    for i, v in enumerate(items):
+        for w in items[:i]:
+            if bin((v ^ w) & (1 << 64) - 1).count("1") <= 2:
+                found.join(v, w)
+    distinct = spark.createDataFrame([(v,) for v in items], "fp bigint")
     got = {r.id: r.component for r in S.components(S.links(distinct)).collect()}
-    assert {a: got.get(a, a) for _, a in items} == {a: found.find(a) for _, a in items}
+    assert {v: got.get(v, v) for v in items} == {v: found.find(v) for v in items}
 
 
 def test_documents(spark, small, union_find):
