@@ -40,8 +40,8 @@ from quire.staging import stage
 
 FOLDS, HELD_OUT = 5, 1
 CUTOFF = 2
-CHUNK_TOKENS = 4_000_000
-BUCKET_TOKENS = 2_000_000
+CHUNK_TOKENS = 2_500_000
+BUCKET_TOKENS = 1_500_000
 END = b"\n"  # no word holds a line end
 _ROWS = 256
 _LONGS, _INTS = pa.list_(pa.int64()), pa.list_(pa.int32())
@@ -130,8 +130,13 @@ def _mixed(history: np.ndarray, word: np.ndarray) -> np.ndarray:
     return (state ^ state >> np.uint64(31)).view(np.int64)
 
 
-def _bucket(hashes: np.ndarray, buckets: int) -> np.ndarray:
-    return ((hashes.view(np.uint64) >> np.uint64(33)) % np.uint64(buckets)).astype(np.int32)
+def _places(hashes: np.ndarray) -> np.ndarray:
+    """The upper 31 bits of each hash, by which it is dealt."""
+    return (hashes.view(np.uint64) >> np.uint64(33)).astype(np.int32)
+
+
+def _bucket(places: np.ndarray, buckets: int) -> np.ndarray:
+    return places % np.int32(buckets)
 
 
 @dataclass
@@ -153,11 +158,12 @@ class ChunkWords:
     """Distinct words of one chunk, in the order in which buckets get and return them."""
 
     def __init__(self, row: dict, buckets: Buckets):
-        self.buckets, self.hashes, self.sizes = buckets, row["hashes"], row["sizes"]
-        self.stream, self.n_words = row["stream"].astype(np.int64), len(row["hashes"])
+        self.buckets, self.hashes, self.sizes = buckets, row.get("hashes"), row["sizes"]
+        self.places = _places(self.hashes) if "hashes" in row else row["places"]
+        self.stream, self.n_words = row["stream"], len(self.places)
         self.ends = np.cumsum(self.sizes)
         self.trained = np.repeat(row["trained"], self.sizes)
-        self.word_bucket = _bucket(self.hashes, buckets.words)
+        self.word_bucket = _bucket(self.places, buckets.words)
         self.word_order = np.argsort(self.word_bucket, kind="stable")
 
     def sent(self, chunk: int) -> Iterator[tuple]:
@@ -167,26 +173,27 @@ class ChunkWords:
 
 
 class ChunkPairs(ChunkWords):
-    """The same, with its distinct bigrams."""
+    """The same, with its distinct bigrams: ``history`` and ``follower`` are local word ids."""
 
     def __init__(self, row: dict, buckets: Buckets):
         super().__init__(row, buckets)
         self.state = np.roll(self.stream, 1)
         self.state[self.ends - self.sizes] = 0  # every text starts from the end token
-        self.codes, self.pair_of = np.unique(self.state * self.n_words + self.stream, return_inverse=True)
-        self.histories, followers = self.hashes[self.codes // self.n_words], self.hashes[self.codes % self.n_words]
-        self.pairs = _mixed(self.histories, followers)
-        by_history = _bucket(self.histories, buckets.histories) * buckets.followers
-        self.pair_bucket = by_history + _bucket(followers, buckets.followers)
+        codes = self.state * np.int64(self.n_words) + self.stream
+        codes, self.pair_of = np.unique(codes, return_inverse=True)
+        self.history, self.follower = ((f(codes, self.n_words)).astype(np.int32) for f in (np.floor_divide, np.mod))
+        by_history = _bucket(self.places, buckets.histories)[self.history] * np.int32(buckets.followers)
+        self.pair_bucket = by_history + _bucket(self.places, buckets.followers)[self.follower]
         self.pair_order = np.argsort(self.pair_bucket, kind="stable")
 
     def sent(self, chunk: int) -> Iterator[tuple]:
-        counts = np.bincount(self.pair_of[self.trained], minlength=len(self.codes)).astype(np.int32)
+        counts = np.bincount(self.pair_of[self.trained], minlength=len(self.history)).astype(np.int32)
         for bucket, at in _by_bucket(self.pair_bucket, self.pair_order):
-            own = self.histories[at]  # pairs are in order of their history
+            own = self.history[at]  # pairs are in order of their history
             first = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
             runs = np.diff(np.append(first, len(own))).astype(np.int32)
-            yield chunk, bucket, self.pairs[at], counts[at], own[first], runs
+            keys = _mixed(self.hashes[own], self.hashes[self.follower[at]])
+            yield chunk, bucket, keys, counts[at], self.hashes[own[first]], runs
 
 
 def _by_bucket(buckets: np.ndarray, order: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
@@ -199,7 +206,9 @@ def _by_bucket(buckets: np.ndarray, order: np.ndarray) -> Iterator[tuple[int, np
 def _chunk_row(batch, i: int) -> dict:
     """Row ``i`` with its lists as arrays."""
     row = {"chunk": batch["chunk"][i].as_py()}
-    for name in ("doc_ids", "trained", "sizes", "stream", "hashes"):
+    for name in ("doc_ids", "trained", "sizes", "stream", "hashes", "places"):
+        if name not in batch.schema.names:
+            continue
         values = batch[name][i].values
         row[name] = values.to_pylist() if name == "doc_ids" else values.to_numpy(zero_copy_only=False)
     return row
@@ -323,9 +332,9 @@ def _scorer(buckets: Buckets, smoothing: Smoothing):
         row = _chunk_row(chunks, 0)
         own = ChunkPairs(row, buckets)
         counts, masses, kept = (gathered(words, c, own.word_order) for c in ("totals", "masses", "kept"))
-        pair_counts = gathered(pairs, "totals", own.pair_order)
+        pair_counts = gathered(pairs, "pair_totals", own.pair_order)
         automaton = BackoffAutomaton(counts, masses, kept, smoothing)
-        arcs = automaton.arcs(own.codes // own.n_words, own.codes % own.n_words, pair_counts)
+        arcs = automaton.arcs(own.history, own.follower, pair_counts)
         weights = automaton.read(own.state, own.stream, arcs[own.pair_of])
         starts = own.ends - own.sizes
         columns = [
@@ -377,10 +386,18 @@ def score_documents(docs: DataFrame) -> DataFrame:
     once, twice = pairs.agg(F.coalesce(F.sum("once"), F.lit(0)), F.coalesce(F.sum("twice"), F.lit(0))).first()
     known = words.agg(F.coalesce(F.sum("known"), F.lit(0))).first()[0]
     smoothing = Smoothing(int(trained), int(known), int(once), int(twice))
-    back = words.filter("chunk >= 0").select("chunk", F.lit(0).alias("kind"), "bucket", "totals", "masses", "kept")
-    none = F.array().cast("array<bigint>")
-    back = back.unionByName(
-        pairs.select("chunk", F.lit(1).alias("kind"), "bucket", F.col("totals").cast("array<bigint>"), none.alias("masses"), none.alias("kept"))
+    back = words.filter("chunk >= 0").select(
+        "chunk", F.lit(0).alias("kind"), "bucket", "totals", "masses", "kept", F.lit(None).cast("array<int>").alias("pair_totals")
     )
-    scored = chunks.groupBy("chunk").cogroup(back.groupBy("chunk")).applyInArrow(_scorer(buckets, smoothing), SCORES)
+    none = F.lit(None).cast("array<bigint>")
+    back = back.unionByName(
+        pairs.select(
+            "chunk", F.lit(1).alias("kind"), "bucket", none.alias("totals"), none.alias("masses"), none.alias("kept"),
+            F.col("totals").alias("pair_totals"),
+        )
+    )
+    # Scoring needs where words were dealt to, not their hashes.
+    places = F.transform("hashes", lambda h: F.shiftrightunsigned(h, 33).cast("int")).alias("places")
+    read = chunks.select("chunk", "doc_ids", "trained", "sizes", "stream", places)
+    scored = read.groupBy("chunk").cogroup(back.groupBy("chunk")).applyInArrow(_scorer(buckets, smoothing), SCORES)
     return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(int(trained)).cast("bigint").alias("train_tokens"), "base_score", "score")
