@@ -7,6 +7,8 @@ chunk is kept when it is longer than half a chunk.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,10 +18,12 @@ from quire.staging import stage
 
 
 SEGMENT_CHUNKS = 8
+# Segment offsets are handed to every task up to this many, and joined by shuffling beyond it.
+MAX_SHARED_SEGMENTS = 500_000
 
 
 def file_order(key: str = "doc_id") -> Column:
-    """Order of documents in the stream: by file name, as text."""
+    """Order of documents in the stream: by file name, as text; a missing name comes first."""
     return F.concat(F.col(key).cast("string"), F.lit(TEXT_SUFFIX))
 
 
@@ -68,61 +72,56 @@ def pack(
     overlap: int = OVERLAP,
     by: str = "split",
     key: str = "doc_id",
+    then_by: Sequence[str] = (),
 ) -> DataFrame:
     """Pack ``(by, key, tokens)`` into ``(by, chunk_id, input_ids)``.
 
+    Every row is a document of its own: keys may repeat or be missing. Rows of one key follow each
+    other in the order of ``then_by``, else of the written table.
+
     The tokens are written once, in segments of at most ``SEGMENT_CHUNKS`` chunks. Stream offsets
-    come from the narrow columns alone, and the token arrays are moved once, to meet their offset.
-    A chunk that lies within one segment is cut out there and then. Only the pieces around
-    segment borders are moved again and put together; such a group has at most ``max_length``
-    tokens, so none is hot.
+    come from the narrow columns alone and are written too. Where there are few, they go to the
+    segments; else the token arrays are moved once, to meet them. All pieces of chunks are cut in one pass. A
+    chunk that lies within one segment is ready then. Only the pieces around segment borders are
+    moved and put together; such a group has at most ``max_length`` tokens, so none is hot.
     """
     if not 0 <= overlap < max_length:
         raise ValueError(f"need 0 <= overlap < max_length, got {overlap} and {max_length}")
     stride = max_length - overlap
-    table = stage(segments(tokens.select(by, key, "tokens"), SEGMENT_CHUNKS * max_length), "tokens")
-    narrow = table.select(by, key, "segment", "n_tokens", file_order(key).alias("_order"))
-    starts = running_offsets(narrow, [F.col("_order"), F.col("segment")], weight="n_tokens", by=by)
+    rows = tokens.select(by, key, *then_by, F.monotonically_increasing_id().alias("_row"), "tokens")
+    table = stage(segments(rows, SEGMENT_CHUNKS * max_length), "tokens")
+    narrow = table.select(by, "_row", "segment", "n_tokens", file_order(key).alias("_order"), *then_by)
+    order = [F.col(c) for c in ("_order", *then_by, "_row", "segment")]
+    starts = running_offsets(narrow, order, weight="n_tokens", by=by)
+    starts = stage(starts.select("_row", "segment", "n_tokens", "offset", "total"), "offsets")
 
     start, end = F.col("offset"), F.col("offset") + F.col("n_tokens")
     touching = F.when(start < max_length, F.lit(0)).otherwise(_quotient(start - max_length, stride) + 1)
     last = F.least(_quotient(end - 1, stride), last_chunk(F.col("total"), max_length, overlap))
-    spans = {
-        # chunks that overlap the segment, and among them those that lie within it
-        "_first": touching,
-        "_last": last,
-        "_inner": _quotient(start + (stride - 1), stride),
-        "_inner_last": F.when(end < max_length, F.lit(-1)).otherwise(_quotient(end - max_length, stride)),
-    }
-    placed = table.drop("n_tokens").join(starts.drop("_order"), [by, key, "segment"])
-    placed = placed.withColumns({name: c.cast("bigint") for name, c in spans.items()})
+    few = starts.count() <= MAX_SHARED_SEGMENTS
+    placed = table.drop("n_tokens").join(F.broadcast(starts) if few else starts, ["_row", "segment"])
+    placed = placed.withColumns({"_first": touching.cast("bigint"), "_last": last.cast("bigint")})
 
     def piece(chunk: Column) -> Column:
         low = F.greatest(start, chunk * stride)
         high = F.least(end, chunk * stride + max_length)
         part = F.slice("tokens", (low - start + 1).cast("int"), (high - low).cast("int"))
-        return F.struct(chunk.alias("chunk_id"), low.alias("low"), part.alias("part"))
-
-    def pieces(rows: DataFrame, chunks: Column) -> DataFrame:
-        # Built inside one expression: exploding chunk numbers beside the token array would
-        # copy the whole array once per chunk.
-        return rows.select(by, F.inline(F.transform(chunks, piece)))
-
-    inner = pieces(placed.filter("_inner <= _inner_last"), F.sequence("_inner", "_inner_last"))
-    border = pieces(
-        placed.filter("_first <= _last and (_first < _inner or _last > _inner_last)"),
-        F.filter(
-            F.sequence("_first", "_last"),
-            lambda c: (c < F.col("_inner")) | (c > F.col("_inner_last")),
-        ),
-    )
+        # Whole: no other segment has a token of this chunk.
+        whole = (start <= chunk * stride) & (F.least(chunk * stride + max_length, F.col("total")) <= end)
+        return F.struct(chunk.alias("chunk_id"), low.alias("low"), part.alias("part"), whole.alias("whole"))
+
+    # Built inside one expression: exploding chunk numbers beside the token array would copy the
+    # whole array once per chunk.
+    chunks = F.when(F.col("_first") <= F.col("_last"), F.transform(F.sequence("_first", "_last"), piece))
+    pieces = stage(placed.select(by, F.inline(chunks)), "pieces")
     parts = F.array_sort(F.collect_list(F.struct("low", "part")))
     joined = (
-        border.groupBy(by, "chunk_id")
+        pieces.filter("not whole")
+        .groupBy(by, "chunk_id")
         .agg(parts.alias("_parts"))
         .select(by, "chunk_id", F.flatten(F.col("_parts.part")).alias("input_ids"))
     )
-    return inner.select(by, "chunk_id", F.col("part").alias("input_ids")).unionByName(joined)
+    return pieces.filter("whole").select(by, "chunk_id", F.col("part").alias("input_ids")).unionByName(joined)
 
 
 def with_labels(packed: DataFrame) -> DataFrame:

@@ -54,8 +54,9 @@ def running_offsets(
 ) -> DataFrame:
     """``df`` with ``offset``, the total weight of all earlier rows, and ``total``.
 
-    ``order`` has to be unique within ``by``. Rows are range-partitioned in order and written
-    once, because range bounds are sampled and must not be drawn again. Sums per range, of which
+    Ties in ``order`` are broken arbitrarily; a null ``by`` is a group like any other. Rows are
+    range-partitioned in order and written once, because range bounds are sampled and must not be
+    drawn again. Sums per range, of which
     there are few, give the start of each range; the running sum is taken within a range. Pass
     narrow columns only: wide ones would be shuffled for nothing.
     """
@@ -74,11 +75,19 @@ def running_offsets(
         .agg(F.sum(amount).alias("_sum"))
         .withColumn("_start", F.sum("_sum").over(whole.orderBy("_range").rowsBetween(*before)))
         .withColumn("total", F.sum("_sum").over(whole))
-        .select(*group, "_range", F.coalesce("_start", F.lit(0)).alias("_start"), "total")
+        .select(
+            *[F.col(g).alias("_by") for g in group],
+            F.col("_range").alias("_in"),
+            F.coalesce("_start", F.lit(0)).alias("_start"),
+            "total",
+        )
     )
+    same = F.col("_range") == F.col("_in")
+    if by:
+        same = same & F.col(by).eqNullSafe(F.col("_by"))
     within = Window.partitionBy(*group, "_range").orderBy(*order).rowsBetween(*before)
     return (
         ranged.withColumn("_run", F.coalesce(F.sum(amount).over(within), F.lit(0)))
-        .join(starts, [*group, "_range"])
+        .join(starts, same)
         .select(*df.columns, (F.col("_start") + F.col("_run")).alias("offset"), "total")
     )

@@ -7,6 +7,7 @@ tokenizer. Every document is followed by the end-of-text token. No ids are added
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -22,11 +23,13 @@ from quire.functions.text import is_blank, strip
 from quire.staging import stage
 
 WORD_PATTERN = r"[\p{L}\p{N}]+|[^\s\p{L}\p{N}]"
-# A vocabulary is handed to every task only up to this size; a larger one is joined.
-MAX_SHARED_WORDS = 1_000_000
-MAX_SHARED_BYTES = 64 << 20
-SALTS = 32
+# The most frequent words are handed to every task, at most so many of at most so many bytes; the
+# rest of the vocabulary is joined.
+SHARED_WORDS = 200_000
+SHARED_WORD_BYTES = 64
+MAX_DEFINITION_BYTES = 64 << 20
 IDS = T.ArrayType(T.IntegerType())
+_ENCODED = T.StructType().add("ids", IDS).add("rare", T.ArrayType(T.StructType().add("at", T.IntegerType()).add("token", T.StringType())))
 
 
 def stories(df: DataFrame, text: str = "text") -> DataFrame:
@@ -50,18 +53,53 @@ def _regrouped(lists: pa.Array, flat: pa.Array) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(bounds), flat)
 
 
-def _word_ids(vocabulary) -> Column:
-    @F.arrow_udf(IDS)
+_LOOKUPS: dict[str, dict[str, int]] = {}
+
+
+def _lookup(name: str, words_and_ids) -> dict[str, int]:
+    """One dictionary per worker process: that of the last vocabulary used."""
+    if name not in _LOOKUPS:
+        _LOOKUPS.clear()
+        _LOOKUPS[name] = dict(zip(*words_and_ids.value))
+    return _LOOKUPS[name]
+
+
+def _word_ids(name: str, words_and_ids) -> Column:
+    """Ids of the shared words, and place and text of all others, whose id is null."""
+
+    @F.arrow_udf(_ENCODED)
     def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        known = vocabulary.value
+        known = _lookup(name, words_and_ids)
         for lists in batches:
-            position = pc.index_in(lists.flatten().cast(known.type), value_set=known)
-            found = pc.add(position, pa.scalar(WordTokenizer.FIRST, pa.int32()))
-            yield _regrouped(lists, pc.fill_null(found, WordTokenizer.unknown_id))
+            flat = lists.flatten().dictionary_encode()
+            found = [known.get(w) for w in flat.dictionary.to_pylist()]
+            numbers = pa.array(found, pa.int32()).take(flat.indices)
+            encoded = _regrouped(lists, numbers)
+            lengths = encoded.value_lengths().to_numpy()
+            missing = np.flatnonzero(numbers.is_null().to_numpy(zero_copy_only=False))
+            rows = np.repeat(np.arange(len(lengths)), lengths)
+            counts = np.bincount(rows[missing], minlength=len(lengths))
+            bounds = pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32))
+            at = (missing - np.repeat(np.cumsum(lengths) - lengths, lengths)[missing]).astype(np.int32)
+            words = flat.dictionary.take(flat.indices.take(pa.array(missing))).cast(pa.string())
+            rare = pa.StructArray.from_arrays([pa.array(at), words], ["at", "token"])
+            yield pa.StructArray.from_arrays([encoded, pa.ListArray.from_arrays(bounds, rare)], ["ids", "rare"])
 
     return ids
 
 
+@F.arrow_udf(IDS)
+def _filled(ids: pa.Array, found: pa.Array) -> pa.Array:
+    """Put ``(at, id)`` pairs into lists of ids; what is missing after that is unknown."""
+    lengths = pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False)
+    flat = pc.fill_null(ids.flatten(), WordTokenizer.unknown_id).to_numpy(zero_copy_only=False).copy()
+    pairs, starts = found.flatten(), np.cumsum(lengths) - lengths
+    counts = pc.fill_null(pc.list_value_length(found), 0).to_numpy(zero_copy_only=False)
+    at = np.repeat(starts, counts) + pairs.field("at").to_numpy(zero_copy_only=False)
+    flat[at] = pairs.field("id").to_numpy(zero_copy_only=False)
+    return _regrouped(ids, pa.array(flat, pa.int32()))
+
+
 @dataclass
 class WordTokenizer:
     """Words, numbers and single symbols, numbered by falling frequency.
@@ -76,7 +114,7 @@ class WordTokenizer:
     bos_id = None
 
     vocabulary: DataFrame
-    max_shared_words: int = MAX_SHARED_WORDS
+    shared_words: int = SHARED_WORDS
     _shared: object = field(default=None, repr=False)
 
     @classmethod
@@ -95,53 +133,38 @@ class WordTokenizer:
     def vocab_size(self) -> int:
         return self.vocabulary.count() + self.FIRST
 
-    def _shared_words(self):
-        """The vocabulary as a broadcast Arrow array in id order, or None if it is too large."""
+    @property
+    def _is_shared(self) -> Column:
+        frequent = F.col("id") < self.FIRST + self.shared_words
+        return frequent & (F.octet_length("token") <= SHARED_WORD_BYTES)
+
+    def _sent_words(self):
+        """The frequent words and their ids, broadcast: a bounded number of bounded length."""
         if self._shared is None:
-            size = self.vocabulary.agg(
-                F.count("*").alias("n"), F.coalesce(F.sum(F.octet_length("token")), F.lit(0)).alias("b")
-            ).first()
-            if size.n > self.max_shared_words or size.b > MAX_SHARED_BYTES:
-                return None
-            table = self.vocabulary.select("id", "token").toArrow().sort_by("id")
-            words_in_order = table["token"].combine_chunks()
-            self._shared = self.vocabulary.sparkSession.sparkContext.broadcast(words_in_order)
+            table = self.vocabulary.filter(self._is_shared).select("token", "id").toArrow()
+            content = table["token"].to_pylist(), table["id"].to_pylist()
+            self._shared = uuid.uuid4().hex, self.vocabulary.sparkSession.sparkContext.broadcast(content)
         return self._shared
 
     def transform(self, df: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-        """Replace ``text`` by ``tokens``."""
-        shared = self._shared_words()
-        if shared is not None:
-            ids = _word_ids(shared)(words(F.col(text)))
-        else:
-            df, ids = self._joined(df, text, key), F.coalesce("_ids", F.array().cast("array<int>"))
-        kept = [c for c in df.columns if c not in (text, "_ids")]
-        return df.select(*kept, F.concat(ids, F.array(F.lit(self.eos_id))).alias("tokens"))
-
-    def _joined(self, df: DataFrame, text: str, key: str) -> DataFrame:
-        """Look words up by a join: for vocabularies too large to hand to every task.
-
-        A word is joined once per document, with all its positions. Frequent words are in nearly
-        all documents, so the key is salted by document.
+        """Replace ``text`` by ``tokens``. Every row is a document of its own; keys do not matter.
+
+        Frequent words, which are nearly all occurrences, get their id where they are. Occurrences
+        of other words are joined to the rest of the vocabulary and brought back to their row. None of
+        these words is frequent, so no join key is hot. The result is the same for any ``shared_words``.
         """
-        salt = F.pmod(F.xxhash64(key), F.lit(SALTS)).cast("int")
-        occurrences = (
-            df.select(key, F.posexplode(words(F.col(text))).alias("_pos", "token"))
-            .groupBy(key, "token")
-            .agg(F.collect_list("_pos").alias("_at"))
-            .withColumn("_salt", salt)
-        )
-        known = self.vocabulary.select(
-            "token", "id", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt")
-        )
-        ids = (
-            occurrences.join(known, ["token", "_salt"], "left")
-            .select(key, F.coalesce("id", F.lit(self.unknown_id)).alias("id"), F.explode("_at").alias("_pos"))
-            .groupBy(key)
-            .agg(F.array_sort(F.collect_list(F.struct("_pos", "id"))).alias("_pairs"))
-            .select(key, F.col("_pairs.id").alias("_ids"))
-        )
-        return df.join(ids, key, "left")
+        kept = [c for c in df.columns if c != text]
+        encoded = df.select(*kept, F.explode(F.array(_word_ids(*self._sent_words())(words(F.col(text))))).alias("_w"))
+        end = F.array(F.lit(self.eos_id))
+        others = self.vocabulary.filter(~self._is_shared).select("token", "id")
+        if others.isEmpty():
+            ids = F.transform("_w.ids", lambda i: F.coalesce(i, F.lit(self.unknown_id)))
+            return encoded.select(*kept, F.concat(ids, end).alias("tokens"))
+        rows = stage(encoded.withColumn("_row", F.monotonically_increasing_id()), "encoded")
+        rare = rows.select("_row", F.inline("_w.rare"))
+        found = rare.join(others, "token").groupBy("_row").agg(F.collect_list(F.struct("at", "id")).alias("_found"))
+        filled = rows.join(found, "_row", "left").select(*kept, _filled(F.col("_w.ids"), F.col("_found")).alias("_ids"))
+        return filled.select(*kept, F.concat("_ids", end).alias("tokens"))
 
 
 @F.arrow_udf(IDS)
@@ -192,7 +215,7 @@ class StoredTokenizer:
     """
 
     def __init__(self, serialized: str, eos: str, pad: str | None = None, bos: str | None = None):
-        if len(serialized) > MAX_SHARED_BYTES:
+        if len(serialized.encode()) > MAX_DEFINITION_BYTES:
             raise ValueError("tokenizer definition is too large to hand to every task")
         model = _load(serialized)
         self.serialized, self.eos = serialized, eos

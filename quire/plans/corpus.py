@@ -11,7 +11,7 @@ from quire.operators.cleaning import accepted, gate
 from quire.operators.packing import pack
 from quire.operators.splitting import exact_split
 from quire.operators.tokens import WordTokenizer, stories
-from quire.staging import spread, stage
+from quire.staging import stage
 
 
 @dataclass(frozen=True)
@@ -25,7 +25,7 @@ class CorpusSettings:
 
 def clean_and_split(documents: DataFrame, settings: CorpusSettings) -> DataFrame:
     """``(doc_id, text, split)`` of the documents that pass the gate. Cleaning runs once."""
-    texts = spread(documents.select("doc_id", "text"))
+    texts = documents.select("doc_id", "text")
     cleaned = stage(stories(accepted(gate(texts, settings.min_length))), "cleaned")
     return exact_split(cleaned, ratio=settings.train_ratio, seed=settings.seed)
 

@@ -339,7 +339,6 @@ ORACLES["tokens_bytes"] = _with(_stories("documents")) + (
     "SELECT doc_id, CAST(octet_length(encode(text)) + 3 AS BIGINT) AS n_tokens, "
     "md5(hex(encode(text)) || '0A1000A') AS ids_md5 FROM stories"
 )
-ORACLES["tokens_stored_ids"] = ORACLES["tokens_bytes"]
 
 # --- packing ---
 
@@ -375,6 +374,19 @@ ORACLES["pack_offsets"] = _with(*_STREAM) + (
 )
 ORACLES["pack_chunks"] = _with(*_STREAM, _chunks(256, 32)) + _CHUNK_COLUMNS
 ORACLES["pack_chunks_large"] = _with(*_STREAM, _chunks(1024, 128)) + _CHUNK_COLUMNS
+ORACLES["pack_repeated_keys"] = _with(
+    """keyed AS (SELECT doc_id AS number, CASE WHEN doc_id % 13 <> 0 THEN CAST(doc_id % 40 AS VARCHAR) END AS name, text
+  FROM documents)""",
+    f"""stories AS (SELECT number AS doc_id, name, trim(text, {_STRIP}) AS text FROM keyed
+  WHERE trim(text, {_STRIP}) <> '')""",
+    _vocabulary("stories"),
+    _IDS,
+    """placed AS (
+  SELECT 'all' AS split, ids.id, row_number() OVER (
+    ORDER BY name || '.txt' NULLS FIRST, md5(text), ids.doc_id, i) - 1 AS pos
+  FROM ids JOIN stories USING (doc_id))""",
+    _chunks(256, 32),
+) + _CHUNK_COLUMNS
 ORACLES["pack_report"] = _with(*_STREAM, _chunks(256, 32)) + (
     "SELECT split, n_docs, n_chunks, n_tokens FROM "
     "(SELECT split, count(*) AS n_docs FROM parts GROUP BY split) JOIN "

@@ -314,7 +314,7 @@ def tokens_vocabulary(spark, folder):
 
 
 def _word_ids(spark, folder, **options):
-    docs = tokens.stories(views.texts(spark, folder))
+    docs = stage(tokens.stories(views.texts(spark, folder)), "stories")
     return tokens.WordTokenizer.fit(docs, **options).transform(docs)
 
 
@@ -330,7 +330,7 @@ def tokens_word_ids(spark, folder):
 
 @query
 def tokens_word_ids_joined(spark, folder):
-    return _ids_digest(_word_ids(spark, folder, max_shared_words=0))
+    return _ids_digest(_word_ids(spark, folder, shared_words=100))
 
 
 @query
@@ -354,18 +354,12 @@ def tokens_bytes(spark, folder):
     return _bytes_digest(tokens.ByteTokenizer().transform(docs))
 
 
-@query
-def tokens_stored_ids(spark, folder):
-    eos = "<|end|>"
-    tokenizer = tokens.StoredTokenizer(views.byte_tokenizer_definition(eos), eos)
-    return _bytes_digest(tokenizer.transform(tokens.stories(views.texts(spark, folder))))
-
-
 # --- packing ---
 
 
 def _split_tokens(spark, folder):
-    split = splitting.exact_split(tokens.stories(views.texts(spark, folder)), ratio=TRAIN_RATIO, seed=SEED)
+    stories = stage(tokens.stories(views.texts(spark, folder)), "stories")
+    split = splitting.exact_split(stories, ratio=TRAIN_RATIO, seed=SEED)
     return tokens.WordTokenizer.fit(split).transform(split)
 
 
@@ -401,6 +395,14 @@ def pack_chunks_large(spark, folder):
     return _chunk_digest(_packed(spark, folder, 1024, 128))
 
 
+@query
+def pack_repeated_keys(spark, folder):
+    stories = stage(tokens.stories(views.repeated_keys(spark, folder)), "stories")
+    split = stories.withColumns({"split": F.lit("all"), "tie": F.md5("text")})
+    tokenizer = tokens.WordTokenizer.fit(split, shared_words=100)
+    return _chunk_digest(packing.pack(tokenizer.transform(split), LENGTH, OVERLAP, then_by=["tie"]))
+
+
 @query
 def pack_report(spark, folder):
     table = stage(_split_tokens(spark, folder), "tokens")
@@ -451,5 +453,6 @@ def export_collate(spark, folder):
 @query
 def corpus_packed(spark, folder):
     """English documents, cleaned, gated, split, tokenized and packed."""
-    english = catalog.english(views.documents(spark, folder, "doc_id", "text", "lang"))
+    documents = views.documents(spark, folder, "doc_id", "text", "lang")
+    english = catalog.english(documents).repartition(spark.sparkContext.defaultParallelism)
     return _chunk_digest(build_corpus(english, CORPUS))

@@ -14,8 +14,6 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.staging import spread
-
 CURATED = [f"src{i}" for i in range(8)] + ["src98", "src99"]
 MARKER = " the "
 PATTERNS = 9
@@ -40,7 +38,16 @@ def documents(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
 
 
 def texts(spark: SparkSession, folder: str) -> DataFrame:
-    return spread(documents(spark, folder, "doc_id", "text"))
+    """The given file may have a single split; these rows are dealt to all cores."""
+    rows = documents(spark, folder, "doc_id", "text")
+    return rows.repartition(spark.sparkContext.defaultParallelism)
+
+
+def repeated_keys(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents whose key repeats, and is missing for one in thirteen."""
+    d = texts(spark, folder)
+    key = F.when(F.col("doc_id") % 13 != 0, (F.col("doc_id") % 40).cast("string"))
+    return d.select(key.alias("doc_id"), "text")
 
 
 def ebooks(spark: SparkSession, folder: str) -> DataFrame:
@@ -167,21 +174,3 @@ def _zipped(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def archives(spark: SparkSession, folder: str) -> DataFrame:
     """Every document as a ZIP payload; one in ten is damaged."""
     return texts(spark, folder).mapInPandas(_zipped, "book_id string, priority int, content binary")
-
-
-def byte_tokenizer_definition(eos: str) -> str:
-    """A stored tokenizer with one token per byte, numbered by byte, and ``eos`` as number 256.
-
-    Byte-level tokenizers write bytes as printable characters: bytes that print stand for
-    themselves, the others take the code points from 256 on.
-    """
-    from tokenizers import AddedToken, Tokenizer, decoders, models, pre_tokenizers
-
-    prints = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
-    others = [b for b in range(256) if b not in prints]
-    names = {b: chr(b) for b in prints} | {b: chr(256 + i) for i, b in enumerate(others)}
-    model = Tokenizer(models.BPE(vocab={names[b]: b for b in range(256)}, merges=[]))
-    model.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False)
-    model.decoder = decoders.ByteLevel()
-    model.add_special_tokens([AddedToken(eos, normalized=False)])
-    return model.to_str()

@@ -43,10 +43,12 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores on an input with fewer splits than cores, such as one small file.
 
-    Larger inputs are returned as they are: their documents are never shuffled for this.
+def retire(spark: SparkSession) -> None:
+    """Remove all written intermediate tables of this application.
+
+    Results that still read them must have been written before.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    folder = f"{shared_folder(spark)}/quire/{spark.sparkContext.applicationId}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -105,3 +105,31 @@ def test_no_single_task_and_no_cross_join(spark):
     plan = pack(df, 8, 2)._jdf.queryExecution().executedPlan().toString()
     for word in ("SinglePartition", "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert word not in plan
+
+
+def test_repeated_and_missing_keys(spark):
+    rows = [("train", "a", [1, 2, 3]), ("train", "a", [4, 5, 6]), ("train", None, [7, 8, 9]), (None, "b", [1, 2, 3, 4])]
+    got = _packed(spark, rows, 4, 0)
+    assert got[None] == [[1, 2, 3, 4]]
+    stream = [t for c in got["train"] for t in c]  # nine tokens, of which one is left over
+    assert stream in ([7, 8, 9, 1, 2, 3, 4, 5], [7, 8, 9, 4, 5, 6, 1, 2])
+
+
+def test_order_of_repeated_keys(spark):
+    rows = [("train", "a", [4, 5, 6], "y"), ("train", "a", [1, 2, 3], "x"), ("train", "a", [7, 8, 9], None)]
+    df = spark.createDataFrame(rows, SCHEMA + ", tie string")
+    chunks = pack(df, 4, 0, then_by=["tie"]).orderBy("chunk_id").collect()
+    assert [c.input_ids for c in chunks] == [[7, 8, 9, 1], [2, 3, 4, 5]]
+
+
+@pytest.mark.parametrize("few", [0, 10**6])
+def test_tokens_are_joined_once_and_summed_once(spark, monkeypatch, few):
+    from quire.operators import packing
+
+    monkeypatch.setattr(packing, "MAX_SHARED_SEGMENTS", few)
+    df = spark.createDataFrame([("train", str(i), [i] * 50) for i in range(50)], SCHEMA)
+    packed = pack(df, 8, 2)
+    plan = packed._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Window" not in plan
+    stream = [i for i in sorted(map(str, range(50)), key=lambda d: d + ".txt") for _ in range(50)]
+    assert [c.input_ids for c in packed.orderBy("chunk_id").collect()] == _sequential([int(i) for i in stream], 8, 2)

@@ -41,11 +41,13 @@ def test_staged_table(spark):
     assert files and all(f"/quire/{spark.sparkContext.applicationId}/numbers-" in f for f in files)
 
 
-def test_only_small_inputs_are_spread(spark):
-    cores = spark.sparkContext.defaultParallelism
-    assert staging.spread(spark.range(10, numPartitions=2)).rdd.getNumPartitions() == cores
-    large = spark.range(10, numPartitions=cores + 1)
-    assert staging.spread(large) is large
+def test_retire_removes_what_was_written(spark):
+    table = staging.stage(spark.range(5), "gone")
+    assert table.count() == 5
+    path = table.inputFiles()[0]
+    staging.retire(spark)
+    assert not os.path.exists(path.removeprefix("file://"))
+
 
 
 def test_tokenizer_runs_once(spark):

@@ -27,13 +27,29 @@ def test_word_vocabulary_and_ids(docs):
     assert got["3"] == [ids[w][0] for w in ["\U0001F600", "the", "end"]] + [0]
 
 
-def test_unknown_words_and_the_joined_way(docs, spark):
-    known = T.WordTokenizer.fit(docs.filter("doc_id = '0'"))
-    joined = T.WordTokenizer(known.vocabulary, max_shared_words=0)
-    shared, other = _ids(known.transform(docs)), _ids(joined.transform(docs))
-    assert shared == other
-    assert shared["1"] == [1, 1, 1, 0]
-    assert joined._shared is None and known._shared is not None
+@pytest.mark.parametrize("n", [0, 1, 3, 100])
+def test_same_ids_for_any_number_of_shared_words(docs, spark, n):
+    known = T.WordTokenizer.fit(docs.filter("doc_id in ('0', '3')"))
+    other = T.WordTokenizer(known.vocabulary, shared_words=n)
+    assert _ids(known.transform(docs)) == _ids(other.transform(docs))
+    assert _ids(other.transform(docs))["1"] == [1, 1, 1, 0]
+
+
+@pytest.mark.parametrize("n", [0, 100])
+def test_repeated_and_missing_keys_keep_their_words(spark, n):
+    rows = [("a", "x y"), ("a", "y z"), (None, "x"), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id string, text string")
+    tokenizer = T.WordTokenizer(T.WordTokenizer.fit(docs).vocabulary, shared_words=n)
+    got = sorted(((r.doc_id, r.tokens) for r in tokenizer.transform(docs).collect()), key=repr)
+    assert got == sorted([("a", [2, 3, 0]), ("a", [3, 4, 0]), (None, [2, 0]), (None, [0])], key=repr)
+
+
+def test_long_words_are_joined(spark):
+    long = "w" * 100
+    docs = spark.createDataFrame([("a", f"{long} b {long}")], "doc_id string, text string")
+    tokenizer = T.WordTokenizer.fit(docs)
+    assert _ids(tokenizer.transform(docs))["a"] == [2, 3, 2, 0]
+    assert _ids(T.WordTokenizer(tokenizer.vocabulary).transform(docs))["a"] == [2, 3, 2, 0]
 
 
 def test_bytes(docs):
