@@ -34,7 +34,7 @@ SEGMENTS_AT_ONCE = 1024
 SAMPLE = 300
 SNIPPETS, SNIPPET = 3, 160
 MAX_LANGUAGES = 200
-STEPS, BATCH, WINDOW, RATE = 350, 192, 64, 0.02
+STEPS, BATCH, WINDOW, RATE = 200, 96, 64, 0.02
 SEED = 11
 _ASCII_LETTER = re.compile("[A-Za-z]")
 # Bytes that are part of letters: lower-case ASCII and all bytes of other characters.
