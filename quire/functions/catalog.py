@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column
@@ -32,12 +31,3 @@ def score_band(value: Column) -> Column:
     first = F.when(value.isNull(), V.NO_SCORE_BAND)
     bands = reduce(lambda case, band: case.when(value <= band[1], band[0]), V.SCORE_BANDS, first)
     return bands.otherwise(V.TOP_BAND)
-
-
-def on_curated_shelf(shelves: Column, curated: Sequence[str]) -> Column:
-    return F.coalesce(F.arrays_overlap(shelves, F.array(*map(F.lit, curated))), F.lit(False))
-
-
-def curated_shelves(shelves: Column, curated: Sequence[str]) -> Column:
-    """The curated ones among the shelves, each once."""
-    return F.array_intersect(shelves, F.array(*map(F.lit, curated)))

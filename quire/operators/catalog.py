@@ -1,7 +1,7 @@
 """Catalog questions: categories, reading-ease histogram, qualified books.
 
-``ebooks`` is ``(book_id, lang, shelves, marc908)``. The curated categories are a short list of
-names, passed as literals; they are checked against ``MAX_CURATED`` before they go into a plan.
+``ebooks`` is ``(book_id, lang, shelves, marc908)``. The curated categories are a list of names, or a
+table with a column ``shelf`` of any size; they are joined, and Spark decides from their size how.
 """
 
 from __future__ import annotations
@@ -13,28 +13,24 @@ from pyspark.sql import functions as F
 
 from quire import fixed_values as V
 from quire.functions.catalog import (
-    curated_shelves,
     is_english,
-    on_curated_shelf,
     score,
     score_band,
 )
 
-MAX_CURATED = 10_000
+Curated = Sequence[str] | DataFrame
 
 
-def _checked(curated: Sequence[str]) -> list[str]:
-    names = list(dict.fromkeys(curated))
-    if not 0 < len(names) <= MAX_CURATED:
-        raise ValueError(f"expected 1 to {MAX_CURATED} curated shelves, got {len(names)}")
-    return names
+def _shelves(df: DataFrame, curated: Curated) -> DataFrame:
+    """Distinct curated ``(shelf, position)``."""
+    if isinstance(curated, DataFrame):
+        return curated.select("shelf").distinct().withColumn("position", F.lit(None).cast("int"))
+    return _names(df, "shelf", list(dict.fromkeys(curated)))
 
 
 def _names(df: DataFrame, column: str, names: Sequence[str]) -> DataFrame:
-    rows = [
-        F.struct(F.lit(name).alias(column), F.lit(i).alias("position")) for i, name in enumerate(names)
-    ]
-    return df.sparkSession.range(1).select(F.inline(F.array(*rows)))
+    rows = [(name, i) for i, name in enumerate(names)]
+    return df.sparkSession.createDataFrame(rows, f"{column} string, position int")
 
 
 def english(ebooks: DataFrame) -> DataFrame:
@@ -65,24 +61,35 @@ def distinct_shelves(ebooks: DataFrame) -> DataFrame:
     return shelf_counts(ebooks).agg(F.count("*").alias("n_shelves"))
 
 
-def _zero_filled(counts: DataFrame, column: str, names: Sequence[str], value: str) -> DataFrame:
+def _zero_filled(counts: DataFrame, column: str, wanted: DataFrame, value: str) -> DataFrame:
     """Every name with its count. Both sides have one row per name."""
-    wanted = _names(counts, column, names)
     return wanted.join(counts, column, "left").select(
         column, "position", F.coalesce(value, F.lit(0)).alias(value)
     )
 
 
-def books_per_shelf(ebooks: DataFrame, curated: Sequence[str] = V.CURATED_SHELVES) -> DataFrame:
+def on_curated_shelves(ebooks: DataFrame, curated: Curated) -> DataFrame:
+    """Entries on a curated shelf, with only the curated ones among their shelves, each once."""
+    kept = [c for c in ebooks.columns if c != "shelves"]
+    rows = ebooks.withColumn("_row", F.monotonically_increasing_id())
+    each = rows.select("_row", *kept, F.posexplode(F.array_distinct("shelves")).alias("_at", "shelf"))
+    found = each.join(_shelves(ebooks, curated).select("shelf"), "shelf")
+    # An entry has few shelves, so this brings no group together that is large.
+    shelves = F.array_sort(F.collect_list(F.struct("_at", "shelf")))["shelf"].alias("shelves")
+    return found.groupBy("_row", *kept).agg(shelves).select(*ebooks.columns)
+
+
+def books_per_shelf(ebooks: DataFrame, curated: Curated = V.CURATED_SHELVES) -> DataFrame:
     """Distinct English books per curated shelf, also for shelves without any."""
-    names = _checked(curated)
+    wanted = _shelves(ebooks, curated)
     counts = (
         english(ebooks)
-        .select("book_id", F.explode(curated_shelves(F.col("shelves"), names)).alias("shelf"))
+        .select("book_id", F.explode("shelves").alias("shelf"))
+        .join(wanted.select("shelf"), "shelf")
         .groupBy("shelf")
         .agg(F.count_distinct("book_id").alias("n_books"))
     )
-    return _zero_filled(counts, "shelf", names, "n_books").drop("position")
+    return _zero_filled(counts, "shelf", wanted, "n_books").drop("position")
 
 
 def scored(ebooks: DataFrame, exact: bool = False) -> DataFrame:
@@ -92,19 +99,19 @@ def scored(ebooks: DataFrame, exact: bool = False) -> DataFrame:
     )
 
 
-def score_histogram(ebooks: DataFrame, curated: Sequence[str] = V.CURATED_SHELVES) -> DataFrame:
+def score_histogram(ebooks: DataFrame, curated: Curated = V.CURATED_SHELVES) -> DataFrame:
     """Books per reading-ease band among English books on a curated shelf.
 
     All bands are listed; ``position`` is their order in a report.
     """
-    chosen = english(ebooks).filter(on_curated_shelf(F.col("shelves"), _checked(curated)))
+    chosen = on_curated_shelves(english(ebooks), curated)
     counts = scored(chosen).groupBy("band").agg(F.count("*").alias("n_books"))
-    return _zero_filled(counts, "band", V.ALL_BANDS, "n_books")
+    return _zero_filled(counts, "band", _names(ebooks, "band", V.ALL_BANDS), "n_books")
 
 
 def qualified(
     ebooks: DataFrame,
-    curated: Sequence[str] = V.CURATED_SHELVES,
+    curated: Curated = V.CURATED_SHELVES,
     min_score: float = V.MIN_SCORE,
     exact: bool = False,
 ) -> DataFrame:
@@ -112,11 +119,8 @@ def qualified(
 
     Returns ``(book_id, shelves, score, band)`` with only the curated shelves.
     """
-    chosen = english(ebooks).withColumn(
-        "shelves", curated_shelves(F.col("shelves"), _checked(curated))
-    )
     return (
-        scored(chosen.filter(F.size("shelves") > 0), exact)
+        scored(on_curated_shelves(english(ebooks), curated), exact)
         .filter(F.col("score") > min_score)
         .select("book_id", "shelves", "score", "band")
     )
@@ -128,7 +132,7 @@ def qualified_per_band(books: DataFrame) -> DataFrame:
 
 
 def qualified_per_shelf(
-    books: DataFrame, curated: Sequence[str] = V.CURATED_SHELVES
+    books: DataFrame, curated: Curated = V.CURATED_SHELVES
 ) -> DataFrame:
     """Distinct qualified books per curated shelf, also for shelves without any."""
     counts = (
@@ -136,7 +140,7 @@ def qualified_per_shelf(
         .groupBy("shelf")
         .agg(F.count_distinct("book_id").alias("n_books"))
     )
-    return _zero_filled(counts, "shelf", _checked(curated), "n_books").drop("position")
+    return _zero_filled(counts, "shelf", _shelves(books, curated), "n_books").drop("position")
 
 
 def qualified_ids(books: DataFrame) -> DataFrame:
@@ -149,12 +153,14 @@ def union_of_bands(books: DataFrame, bands: Sequence[str]) -> DataFrame:
 
 
 def top_ids(books: DataFrame, k: int = V.IDS_PER_BAND) -> DataFrame:
-    """The first ``k`` ids of every band in numeric order.
+    """The first ``k`` ids of every band in numeric order; ids that are no numbers come last, as texts.
 
     Spark cuts each group to ``k`` rows before the shuffle, so a band with most of the
     books is no bottleneck.
     """
-    order = Window.partitionBy("band").orderBy(F.col("book_id").cast("bigint"), "book_id")
+    order = Window.partitionBy("band").orderBy(
+        F.col("book_id").try_cast("bigint").asc_nulls_last(), "book_id"
+    )
     return (
         books.select("band", "book_id")
         .withColumn("position", F.row_number().over(order))

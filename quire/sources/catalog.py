@@ -19,17 +19,25 @@ CATALOG_SCHEMA = (
 )
 
 
-def _first_values(elements: Column) -> Column:
-    """The first value of every description below the elements, in document order."""
+def _described(elements: Column) -> Column:
+    """The value elements of every description below the elements, in document order."""
     descriptions = F.flatten(F.transform(elements, lambda e: e["rdf:Description"]))
-    return F.transform(descriptions, lambda d: F.get(d["rdf:value"], F.lit(0))["_VALUE"])
+    return F.transform(descriptions, lambda d: d["rdf:value"])
+
+
+def _first_values(elements: Column) -> Column:
+    """The first value of every description that has one; empty ones are null."""
+    present = F.filter(_described(elements), lambda v: F.size(v) > 0)
+    return F.transform(present, lambda v: F.get(v, F.lit(0))["_VALUE"])
 
 
 def read_catalog(spark: SparkSession, path: str, glob: str = V.CATALOG_FILE_GLOB) -> DataFrame:
     """One row per catalog entry: ``(book_id, lang, shelves, marc908)``.
 
     Folders are searched recursively. A document that is not well-formed gives no row at all.
-    ``lang`` is the first language, ``shelves`` keeps repeated values and drops empty ones.
+    ``lang`` is the first language value, null where it is empty; ``shelves`` keeps repeated values
+    and drops empty ones. Values are taken as they stand, surrounding spaces included; one of white
+    space only is empty.
     Land the result as Parquet (see ``quire.sinks``): every later question then reads columns
     instead of parsing XML again.
     """
@@ -37,6 +45,7 @@ def read_catalog(spark: SparkSession, path: str, glob: str = V.CATALOG_FILE_GLOB
         spark.read.format("xml")
         .option("rowTag", V.CATALOG_ROOT_TAG)
         .option("mode", "DROPMALFORMED")
+        .option("ignoreSurroundingSpaces", "false")
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", glob)
         .schema(CATALOG_SCHEMA)
@@ -46,7 +55,7 @@ def read_catalog(spark: SparkSession, path: str, glob: str = V.CATALOG_FILE_GLOB
         file_key(F.col("_metadata.file_name")).alias("book_id"),
         F.explode("`pgterms:ebook`").alias("e"),
     )
-    languages = F.filter(_first_values(F.col("e")["dcterms:language"]), lambda v: v.isNotNull())
+    languages = _first_values(F.col("e")["dcterms:language"])
     shelves = F.filter(
         _first_values(F.col("e")["pgterms:bookshelf"]), lambda v: v.isNotNull() & (v != "")
     )

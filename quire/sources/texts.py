@@ -8,37 +8,45 @@ import zlib
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.fixed_values import TEXT_FILE_GLOB, TEXT_SUFFIX
 from quire.functions.catalog import file_key
 from quire.functions.text import decode_lossy, universal_newlines
 from quire.operators.tokens import stories
+from quire.staging import stage
 
 BINARY_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
 
+def _key() -> Column:
+    return file_key(F.element_at(F.split("path", "/"), -1), r"^(.+)\.txt$")
+
+
+def _text() -> Column:
+    return universal_newlines(decode_lossy(F.col("content")))
+
+
 def decoded(files: DataFrame) -> DataFrame:
     """``(doc_id, text)`` of a binary file table; also works on a stream."""
-    return files.select(
-        file_key(F.element_at(F.split("path", "/"), -1), r"^(.+)\.txt$").alias("doc_id"),
-        universal_newlines(decode_lossy(F.col("content"))).alias("text"),
-    )
+    return files.select(_key().alias("doc_id"), _text().alias("text"))
 
 
 def read_texts(spark: SparkSession, path: str) -> DataFrame:
     """One row per ``*.txt`` file directly in a folder.
 
-    Invalid UTF-8 is left out and all line ends become LF. Unreadable files are skipped.
+    Invalid UTF-8 is left out and all line ends become LF. A file that can not be read has a null
+    text, which the gate reports as failed. Files are read once and their texts written; the listing
+    is then compared with what was read.
     """
-    files = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", TEXT_FILE_GLOB)
-        .option("ignoreCorruptFiles", "true")
-        .load(path)
-    )
-    return decoded(files)
+    source = spark.read.format("binaryFile").option("pathGlobFilter", TEXT_FILE_GLOB)
+    listed = source.load(path).select("path")
+    files = source.option("ignoreCorruptFiles", "true").load(path)
+    read = stage(files.select(F.col("path").alias("_path"), _key().alias("doc_id"), _text().alias("text")), "texts")
+    lost = listed.join(read.select(F.col("_path").alias("path")), "path", "left_anti")
+    missing = lost.select(_key().alias("doc_id"), F.lit(None).cast("string").alias("text"))
+    return read.select("doc_id", "text").unionByName(missing)
 
 
 def read_stories(spark: SparkSession, path: str) -> DataFrame:

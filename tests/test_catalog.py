@@ -54,6 +54,28 @@ def test_reading_documents(spark, folder):
     ]
 
 
+def test_values_are_taken_as_they_stand(spark, folder):
+    _write(folder, "pg1.rdf", _ebook(["", "en"], [" Fantasy "], [" "]))
+    _write(folder, "pg2.rdf", _ebook([" en "]))
+    empty = "<dcterms:language><rdf:Description/></dcterms:language>"
+    _write(folder, "pg3.rdf", f"<pgterms:ebook>{empty}{_described('dcterms:language', 'en')}</pgterms:ebook>")
+    rows = {r.book_id: (r.lang or None, r.shelves, r.marc908) for r in read_catalog(spark, folder).collect()}
+    assert rows == {"1": (None, [" Fantasy "], None), "2": (" en ", [], None), "3": ("en", [], None)}
+
+
+def test_curated_shelves_as_a_table(spark, ebooks):
+    table = spark.createDataFrame([("Fantasy",), ("Folklore",), ("Fantasy",), ("None",)], "shelf string")
+    names = ["Fantasy", "Folklore", "None"]
+    for by in (K.books_per_shelf, K.score_histogram, K.qualified):
+        rows = [sorted(map(repr, (r.asDict() for r in by(ebooks, c).collect()))) for c in (table, names)]
+        assert rows[0] == rows[1]
+
+
+def test_ids_that_are_no_numbers_come_last(spark):
+    books = spark.createDataFrame([("b", i) for i in ("readme", "10", "9", "a", None)], "band string, book_id string")
+    assert [r.book_id for r in K.top_ids(books, 4).orderBy("position").collect()] == ["9", "10", None, "a"]
+
+
 def test_no_documents(spark, folder):
     assert read_catalog(spark, folder).count() == 0
 
@@ -150,6 +172,7 @@ def test_top_ids_are_cut_before_the_shuffle(ebooks):
     assert "WindowGroupLimit" in top._jdf.queryExecution().executedPlan().toString()
 
 
-def test_curated_list_is_bounded(ebooks):
-    with pytest.raises(ValueError):
-        K.books_per_shelf(ebooks, [])
+def test_any_number_of_curated_shelves(ebooks):
+    assert K.books_per_shelf(ebooks, []).count() == 0
+    many = [f"s{i}" for i in range(20_000)] + ["Fantasy"]
+    assert {r.shelf: r.n_books for r in K.books_per_shelf(ebooks, many).collect() if r.n_books} == {"Fantasy": 5}
\ No newline at end of file

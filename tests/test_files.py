@@ -31,6 +31,14 @@ def test_reading_texts(spark, folder):
     assert {r.doc_id for r in read_stories(spark, folder).collect()} == {"10", "a.b"}
 
 
+def test_unreadable_files_are_reported(spark, folder):
+    _put(folder, "1.txt", b"x" * 2000)
+    _put(folder, "2.txt", b"y" * 2000)
+    _put(folder, ".2.txt.crc", b"crc\x00\x00\x00\x02\x00\x00\x00\x00")  # does not match
+    got = {r.doc_id: (r.status, r.message) for r in gate(read_texts(spark, folder)).collect()}
+    assert got == {"1": ("success", None), "2": ("failed", "unreadable text")}
+
+
 def test_stream_goes_on_where_it_stopped(spark, folder):
     source, out, progress = (f"{folder}/{n}" for n in ("in", "out", "progress"))
     _put(source, "1.txt", b"x" * 1200)
