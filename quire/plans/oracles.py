@@ -96,10 +96,11 @@ ORACLES["catalog_key_from_path"] = r"""
 SELECT page_id, CASE WHEN regexp_matches(name, '^[0-9]+\?page') THEN regexp_extract(name, '^([0-9]+)', 1)
                      ELSE regexp_replace(name, '^(.+)\.[^.]*$', '\1') END AS file_key
 FROM (SELECT page_id, string_split(url, '/')[-1] AS name FROM pages)"""
-ORACLES["catalog_xml_read"] = _with(EBOOKS) + (
-    "SELECT lang, array_to_string(shelves, '|') AS shelves, marc908, count(*) AS n_books "
-    "FROM ebooks GROUP BY ALL"
-)
+ORACLES["catalog_xml_read"] = _with(EBOOKS) + """
+SELECT book_id AS entry, CASE CAST(book_id AS BIGINT) % 17 WHEN 0 THEN NULL WHEN 1 THEN ' ' || lang ELSE lang END AS lang,
+  CASE WHEN CAST(book_id AS BIGINT) % 19 = 0 THEN array_to_string(shelves, ' |') || ' '
+    ELSE array_to_string(shelves, '|') END AS shelves,
+  coalesce(marc908, '') AS marc908 FROM ebooks"""
 
 # --- acquisition ---
 
@@ -112,6 +113,10 @@ _ID_LIST = _with(ID_LIST) + (
 )
 ORACLES["acquire_id_list"] = _ID_LIST
 ORACLES["acquire_id_file"] = _ID_LIST
+ORACLES["acquire_ids_written"] = _ID_LIST
+ORACLES["acquire_documents_written"] = (
+    "SELECT doc_id, length(text) AS n_chars, md5(text) AS text_md5 FROM documents"
+)
 _ADDRESSES = ", ".join(
     f"({i}, '{'text' if i < len(TEXT_ADDRESSES) else 'zip'}', {_s(a)})"
     for i, a in enumerate(TEXT_ADDRESSES + ZIP_ADDRESSES)
@@ -259,6 +264,22 @@ ORACLES["clean_fallback_start"] = _with(RAW, _front("raw", "c")) + (
 ORACLES["clean_gate"] = (
     _GATED_RAW + "SELECT doc_id, status, n_chars, message, md5(text) AS text_md5 FROM gated"
 )
+_FILES = """files AS (SELECT CAST(doc_id AS VARCHAR) AS doc_id, CASE doc_id % 9
+  WHEN 2 THEN text || '(' || chr(10) WHEN 3 THEN ' ' || chr(10) || chr(9) || ' ' WHEN 4 THEN NULL
+  ELSE text END AS text FROM documents)"""
+ORACLES["clean_files"] = _with(
+    _FILES,
+    *_chain("files"),
+    """readable AS (
+  SELECT doc_id, CASE WHEN f.text IS NOT NULL THEN c.text END AS text FROM cleaned c JOIN files f USING (doc_id))""",
+) + """
+SELECT doc_id, CASE WHEN text IS NULL THEN 'failed' WHEN length(text) < 300 THEN 'skipped' ELSE 'success' END AS status,
+  length(text) AS n_chars, CASE WHEN text IS NULL THEN 'unreadable text'
+    WHEN length(text) < 300 THEN 'too short (' || length(text) || ' chars)' END AS message, md5(text) AS text_md5
+FROM readable"""
+ORACLES["clean_stories"] = _with(
+    _FILES, f"stripped AS (SELECT doc_id, trim(text, {_STRIP}) AS text FROM files WHERE trim(text, {_STRIP}) <> '')"
+) + "SELECT doc_id, length(text) AS n_chars, md5(text) AS text_md5 FROM stripped"
 ORACLES["clean_report"] = _GATED_RAW + (
     "SELECT status, count(*) AS n_docs, CAST(sum(n_chars) FILTER (status = 'success') AS BIGINT) AS n_chars "
     "FROM gated GROUP BY status"
@@ -292,7 +313,7 @@ ORACLES["split_attached"] = _with(_split("documents")) + (
     "FROM parts GROUP BY split, lang"
 )
 ORACLES["split_written"] = _with(_split("documents")) + (
-    "SELECT split, count(*) AS n_docs, CAST(sum(length(text)) AS BIGINT) AS n_chars FROM parts GROUP BY split"
+    "SELECT split, doc_id, length(text) AS n_chars, md5(text) AS text_md5 FROM parts"
 )
 
 # --- tokens ---
@@ -393,10 +414,11 @@ ORACLES["pack_report"] = _with(*_STREAM, _chunks(256, 32)) + (
     "(SELECT split, count(*) AS n_chunks, CAST(sum(n_tokens) AS BIGINT) AS n_tokens FROM chunks GROUP BY split) "
     "USING (split)"
 )
-ORACLES["pack_written"] = _with(*_STREAM, _chunks(256, 32)) + (
-    "SELECT CASE split WHEN 'val' THEN 'validation' ELSE split END AS split, count(*) AS n_chunks, "
-    "count(*) AS n_labelled FROM chunks GROUP BY 1"
+_WRITTEN = _with(*_STREAM, _chunks(256, 32)) + "SELECT CASE split WHEN 'val' THEN 'validation' ELSE split END AS split, "
+ORACLES["pack_written"] = _WRITTEN + (
+    "chunk_id, n_tokens, first_id, last_id, ids_md5, ids_md5 AS labels_md5 FROM chunks"
 )
+ORACLES["pack_counts"] = _WRITTEN + "count(*) AS n_chunks FROM chunks GROUP BY 1"
 
 # --- training order ---
 

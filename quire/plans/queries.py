@@ -18,7 +18,7 @@ from quire.sinks import tables
 from quire.sources.catalog import read_catalog
 from quire.sources.ids import numeric_order, parse_ids, read_ids
 from quire.sources.packed import read_packed, split_counts
-from quire.sources.texts import zip_members
+from quire.sources.texts import decoded, zip_members
 from quire.staging import fresh_path, stage
 from quire.streaming.cleaning import clean_available, read_documents_stream
 
@@ -127,12 +127,11 @@ def catalog_key_from_path(spark, folder):
 def catalog_xml_read(spark, folder):
     path = fresh_path(spark, "catalog")
     views.catalog_documents(spark, folder).write.partitionBy("part").text(path)
+    # A key per entry, as one written file holds many: the number that the entry's note ends with.
     shelves = F.array_join("shelves", "|").alias("shelves")
-    return (
-        read_catalog(spark, path, "*")
-        .groupBy("lang", shelves, "marc908")
-        .agg(F.count("*").alias("n_books"))
-    )
+    entries = read_catalog(spark, path, "*")
+    number = F.regexp_extract("marc908", r"#(\d+)$", 1).alias("entry")
+    return entries.select(number, "lang", shelves, F.regexp_replace("marc908", r" ?#\d+$", "").alias("marc908"))
 
 
 # --- acquisition ---
@@ -150,6 +149,20 @@ def acquire_id_file(spark, folder):
     return read_ids(spark, path)
 
 
+@query
+def acquire_ids_written(spark, folder):
+    path = fresh_path(spark, "id-sink")
+    tables.write_ids(parse_ids(views.id_lines(spark, folder)), path)
+    return spark.read.text(path).select(F.col("value").alias("book_id"))
+
+
+@query
+def acquire_documents_written(spark, folder):
+    path = fresh_path(spark, "raw")
+    tables.write_documents(views.documents(spark, folder, "doc_id", "text"), path)
+    return spark.read.parquet(path).select("doc_id", *_digest(F.col("text")))
+
+
 def _ids(spark, folder, table="documents"):
     ids = spark.read.parquet(f"{folder}/{table}.parquet")
     return ids.select(F.col("doc_id").cast("string").alias("book_id"))
@@ -233,6 +246,19 @@ def clean_gate(spark, folder):
     return gated.select("doc_id", "status", "n_chars", "message", F.md5("text").alias("text_md5"))
 
 
+@query
+def clean_files(spark, folder):
+    """Decoded binary files, stripped of blank ones, with the gate; some can not be read."""
+    gated = gating.gate(decoded(views.files(spark, folder)), min_length=300)
+    return gated.select("doc_id", "status", "n_chars", "message", F.md5("text").alias("text_md5"))
+
+
+@query
+def clean_stories(spark, folder):
+    stories = tokens.stories(decoded(views.files(spark, folder)))
+    return stories.select("doc_id", *_digest(F.col("text")))
+
+
 @query
 def clean_report(spark, folder):
     return gating.report(gating.gate(views.raw(spark, folder)))
@@ -288,10 +314,7 @@ def split_attached(spark, folder):
 def split_written(spark, folder):
     path = fresh_path(spark, "split")
     tables.write_split(splitting.exact_split(views.documents(spark, folder, "doc_id", "text")), path)
-    written = spark.read.parquet(path)
-    return written.groupBy("split").agg(
-        F.count("*").alias("n_docs"), F.sum(F.length("text")).alias("n_chars")
-    )
+    return spark.read.parquet(path).select("split", "doc_id", *_digest(F.col("text")))
 
 
 # --- tokens ---
@@ -367,7 +390,7 @@ def _packed(spark, folder, length=LENGTH, overlap=OVERLAP):
     return packing.pack(_split_tokens(spark, folder), length, overlap)
 
 
-def _chunk_digest(packed):
+def _chunk_digest(packed, *more):
     ids = F.col("input_ids")
     return packed.select(
         "split",
@@ -376,6 +399,7 @@ def _chunk_digest(packed):
         F.get(ids, F.lit(0)).alias("first_id"),
         F.element_at(ids, -1).alias("last_id"),
         _joined(ids).alias("ids_md5"),
+        *more,
     )
 
 
@@ -416,8 +440,14 @@ def pack_written(spark, folder):
     both = tables.bundle(packed.filter("split = 'train'"), packed.filter("split = 'val'"))
     tables.write_packed(both, path)
     written = read_packed(spark, path)
-    same = F.count_if(F.col("input_ids") == F.col("labels")).alias("n_labelled")
-    return split_counts(written).join(written.groupBy("split").agg(same), "split")
+    return _chunk_digest(written, _joined(F.col("labels")).alias("labels_md5"))
+
+
+@query
+def pack_counts(spark, folder):
+    path = fresh_path(spark, "packed")
+    tables.write_packed(_packed(spark, folder), path, labels=False)
+    return split_counts(read_packed(spark, path))
 
 
 # --- training order ---

@@ -128,6 +128,21 @@ def raw(spark: SparkSession, folder: str) -> DataFrame:
     return texts(spark, folder).select("doc_id", wrapped.alias("text"))
 
 
+def files(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents as a table of binary files: bad bytes, all line ends, blank and unreadable ones."""
+    d = texts(spark, folder)
+    line = F.lit("\n").cast("binary")
+    bad = F.concat(F.unhex(F.lit("FF")), F.col("text").cast("binary"), F.unhex(F.lit("C328")), line)
+    content = (
+        F.when(F.col("doc_id") % 9 == 0, F.replace("text", F.lit("\n"), F.lit("\r\n")).cast("binary"))
+        .when(F.col("doc_id") % 9 == 1, F.replace("text", F.lit("\n"), F.lit("\r")).cast("binary"))
+        .when(F.col("doc_id") % 9 == 2, bad)
+        .when(F.col("doc_id") % 9 == 3, F.lit(" \n\t ").cast("binary"))
+        .when(F.col("doc_id") % 9 != 4, F.col("text").cast("binary"))
+    )
+    return d.select(F.concat(F.lit("/in/"), F.col("doc_id").cast("string"), F.lit(".txt")).alias("path"), content.alias("content"))
+
+
 def catalog_documents(spark: SparkSession, folder: str) -> DataFrame:
     """RDF/XML documents as text, each with up to 50 books: ``(part, value)``."""
 
@@ -137,10 +152,14 @@ def catalog_documents(spark: SparkSession, folder: str) -> DataFrame:
     def described(tag: str, value: Column) -> Column:
         return element(tag, element("rdf:Description", element("rdf:value", value)))
 
+    number = F.col("book_id").cast("bigint")
+    # Odd entries: an empty first language, a padded one, a padded category.
+    language = F.when(number % 17 == 0, F.lit("")).when(number % 17 == 1, F.concat(F.lit(" "), "lang")).otherwise(F.col("lang"))
     book = F.concat(
-        described("dcterms:language", F.col("lang")),
-        F.array_join(F.transform("shelves", lambda s: described("pgterms:bookshelf", s)), ""),
-        F.coalesce(element("pgterms:marc908", F.col("marc908")), F.lit("")),
+        described("dcterms:language", language),
+        F.when(number % 17 == 0, described("dcterms:language", F.lit("en"))).otherwise(F.lit("")),
+        F.array_join(F.transform("shelves", lambda s: described("pgterms:bookshelf", F.when(number % 19 == 0, F.concat(s, F.lit(" "))).otherwise(s))), ""),
+        element("pgterms:marc908", F.concat(F.coalesce(F.concat("marc908", F.lit(" ")), F.lit("")), F.lit("#"), "book_id")),
     )
     root = (
         '<rdf:RDF xmlns:rdf="http://www.w3.org/1999/02/22-rdf-syntax-ns#"'
