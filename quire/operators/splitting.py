@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quire.fixed_values import SEED, TRAIN_RATIO
-from quire.operators.ranking import CELL_DIGITS, MAX_CELLS, shuffle_key
+from quire.operators.ranking import CELL_DIGITS, shuffle_key
 
 TRAIN = "train"
 VALIDATION = "val"
@@ -39,7 +39,6 @@ def _cut(keys: DataFrame, key: str, ratio: float, seed: int) -> Column:
             .agg(F.count("*").alias("n"))
             .collect()
         )
-        assert len(counts) <= MAX_CELLS
         if wanted is None:
             wanted = train_size(sum(r.n for r in counts), ratio)
         if wanted == 0 and not prefix:
@@ -64,7 +63,8 @@ def exact_split(
 
     Only the key column is read to find the cut; documents are labelled where they are, without
     a shuffle. The result does not depend on the partitioning of ``df``. Store costly
-    inputs first, since the key column is computed up to three times.
+    inputs first, since the key column is computed up to three times. Keys may repeat as long as
+    all rows of one lie on the same side; a key that the cut would divide raises ValueError.
     """
     if not 0 < ratio < 1:
         raise ValueError(f"ratio must lie between 0 and 1, got {ratio}")
