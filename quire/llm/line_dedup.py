@@ -1,18 +1,21 @@
 """Fuzzy line dedup: one occurrence per connected group of near-equal lines stays.
 
 1. Lines of at least ``MIN_WORDS`` words are normalised (lower case, words only) and get an id (a
-   64-bit hash of the normalised words) and a 64-bit SimHash of their words. Lines with equal
+   64-bit hash of the normalised words) and a 64-bit SimHash of their word pairs (single words would make all
+   lines of a language alike). Lines with equal
    words are one node with a count.
-2. The SimHash is cut into five blocks; two lines at most three bits apart have two blocks in
-   common, which gives ten keys of about 26 bits. Lines of a key at most ``MAX_DISTANCE`` bits
-   apart are candidates, and are linked if their word edit similarity is 0.8 or more.
+2. The SimHash is cut into four blocks of 16 bits; two lines at most two bits apart have two blocks in
+   common, which gives six keys of 32 bits (``BLOCKS`` and ``EQUAL``; more, shorter keys would guarantee
+   more bits, but with very many lines chance would fill them). Lines that share a key and are at most
+   ``MAX_DISTANCE`` bits apart are candidates, and are linked if their word edit similarity is 0.8 or
+   more (words as 16-bit hashes).
 3. Groups are connected components. Of each group with more than one occurrence the first stays,
    by ``(doc_id, hash of the text, line number)``; the others are removed from their documents.
 
-A key shared by many lines is not expanded into pairs. All its lines are first compared with its
-smallest line. Lines that ended in the same component need no further comparison; those outside the
-key's largest component are then compared with the lines of other components. No link between
-components is lost.
+A key shared by many lines is not expanded into pairs. Every line is first compared with the commonest
+line that it shares a key with (the original, as a rule). Lines that ended in the same component need no further comparison; those
+outside their key's largest component are then compared with the key's lines in other components. No
+link between components is lost.
 
 Defined cases: null texts stay null, empty ones empty; shorter lines stay. Rows with equal
 ``doc_id`` and text are one document and are treated alike. Other columns pass unchanged. A 64-bit
@@ -22,7 +25,7 @@ line id can collide once in about ``2**64 / n`` pairs.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import combinations
+from itertools import chain, combinations
 
 import numpy as np
 import pyarrow as pa
@@ -36,9 +39,9 @@ from quire.staging import stage
 
 MIN_WORDS = 5
 SIMILARITY = 0.8
+BLOCKS, EQUAL = (16, 16, 16, 16), 2
 MAX_DISTANCE = 8
-BLOCKS = ((0, 13), (13, 13), (26, 13), (39, 13), (52, 12))
-# Candidate lines are handed to every task up to this number (8 bytes each), and joined beyond it.
+# Line ids and numbers are handed to every task up to this many (8 bytes each); beyond it rows are shuffled to them.
 MAX_SHARED_LINES = 2_000_000
 
 _WORD_BYTES = bytes(b if b >= 0x80 or b == 0x0A or chr(b).isalnum() else 0x20 for b in range(256)).lower()
@@ -64,17 +67,34 @@ class _Hashes(dict):
 _HASHES = _Hashes()
 
 
-def simhashes(lines: list[list[bytes]]) -> np.ndarray:
-    """SimHash of the words of each line (none is empty), as signed numbers."""
-    sizes = np.fromiter(map(len, lines), np.int64, len(lines))
-    hashes = np.fromiter((_HASHES[w] for line in lines for w in line), np.uint64, sizes.sum())
-    starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-    out = np.zeros(len(lines), np.uint64)
-    octets = hashes.view(np.uint8).reshape(-1, 8)
-    for octet in range(8):
-        bits = np.unpackbits(octets[:, octet, None], axis=1, bitorder="little").astype(np.int32)
-        majority = 2 * np.add.reduceat(bits, starts, axis=0) > sizes[:, None]
-        out |= np.packbits(majority, axis=1, bitorder="little")[:, 0].astype(np.uint64) << np.uint64(8 * octet)
+def word_hashes(lines: list[list[bytes]]) -> np.ndarray:
+    return np.fromiter(map(_HASHES.__getitem__, chain.from_iterable(lines)), np.uint64, sum(map(len, lines)))
+
+
+def word_pairs(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Hashes of neighbouring words; a line of ``n`` words has ``n - 1``."""
+    pairs = hashes[:-1] * np.uint64(0x9E3779B97F4A7C15) + hashes[1:]
+    pairs = (pairs ^ pairs >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9)
+    return np.delete(pairs ^ pairs >> np.uint64(32), np.cumsum(sizes)[:-1] - 1)
+
+
+def simhashes(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """SimHash of the hashes of each line (none is empty), as signed numbers.
+
+    Eight bits are counted at a time, one in each byte of a word of 64; a byte counts to 255, so
+    longer lines are counted in parts.
+    """
+    starts = np.cumsum(sizes) - sizes
+    parts = -(-sizes // 255)
+    owner = np.repeat(np.arange(len(sizes)), parts)
+    within = np.arange(len(owner)) - np.repeat(np.cumsum(parts) - parts, parts)
+    part_starts, line_starts = starts[owner] + 255 * within, np.cumsum(parts) - parts
+    out = np.zeros(len(sizes), np.uint64)
+    for bit in range(8):
+        lanes = np.add.reduceat(hashes >> np.uint64(bit) & np.uint64(0x0101010101010101), part_starts)
+        counts = np.add.reduceat(lanes.view(np.uint8).reshape(-1, 8).astype(np.int64), line_starts, axis=0)
+        majority = (2 * counts > sizes[:, None]).astype(np.uint64)
+        out |= (majority << (np.arange(8, dtype=np.uint64) * np.uint64(8) + np.uint64(bit))).sum(axis=1, dtype=np.uint64)
     return out.view(np.int64)
 
 
@@ -101,20 +121,21 @@ def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             found = list(_candidate_lines(batch["text"].to_pylist()))
             if found:
                 numbers, places, lines = zip(*found)
-                at = pa.array(numbers, pa.int64())
+                at, hashes = pa.array(numbers, pa.int64()), word_hashes(lines)
+                sizes = np.fromiter(map(len, lines), np.int64, len(lines))
                 columns = [
                     batch["doc_id"].take(at), batch["text_hash"].take(at), pa.array(places, pa.int32()),
-                    pa.array([_line_id(w) for w in lines], pa.int64()), pa.array(simhashes(lines)),
+                    pa.array([_line_id(w) for w in lines], pa.int64()), pa.array(simhashes(word_pairs(hashes, sizes), sizes - 1)),
+                    _short_words(hashes, sizes),
                 ]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_hash", "at", "line", "sim"])
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_hash", "at", "line", "sim", "words"])
 
 
-def _worded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for whole in batches:
-        for low in range(0, whole.num_rows, _ROWS):
-            lines = [words for _, _, words in _candidate_lines(whole.slice(low, _ROWS)["text"].to_pylist())]
-            columns = [pa.array([_line_id(w) for w in lines], pa.int64()), pa.array([b" ".join(w) for w in lines], pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["line", "words"])
+def _short_words(hashes: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """The words of each line as 16-bit numbers, in one binary value."""
+    offsets = np.concatenate([[0], np.cumsum(2 * sizes)]).astype(np.int32)
+    content = hashes.astype("<u2").tobytes()
+    return pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(content)])
 
 
 def edit_distance(a: list, b: list) -> int:
@@ -149,45 +170,52 @@ def similar(a: list, b: list, least: float = SIMILARITY) -> bool:
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         kept = [
-            similar(a.split(), b.split()) for a, b in zip(batch["words_a"].to_pylist(), batch["words_b"].to_pylist())
+            similar(np.frombuffer(a, "<u2").tolist(), np.frombuffer(b, "<u2").tolist())
+            for a, b in zip(batch["words_a"].to_pylist(), batch["words_b"].to_pylist())
         ]
         yield pa.RecordBatch.from_arrays([batch["a"], batch["b"]], ["a", "b"]).filter(pa.array(kept, pa.bool_()))
 
 
 def block_keys(sim: Column) -> Column:
-    """Keys of every pair of blocks."""
-    cut = [F.shiftrightunsigned(sim, shift).bitwiseAND(F.lit((1 << width) - 1)) for shift, width in BLOCKS]
-    pairs = enumerate(combinations(cut, 2))
-    return F.array(*[F.lit(i << 32).cast("bigint") + F.shiftleft(a, 13) + b for i, (a, b) in pairs])
+    """A key for every choice of ``EQUAL`` blocks: the choice and the bits of its blocks."""
+    keys, starts = [], [sum(BLOCKS[:i]) for i in range(len(BLOCKS))]
+    for number, chosen in enumerate(combinations(range(len(BLOCKS)), EQUAL)):
+        key = F.lit(number).cast("bigint")
+        for i in chosen:
+            bits = F.shiftrightunsigned(sim, starts[i]).bitwiseAND(F.lit((1 << BLOCKS[i]) - 1))
+            key = F.shiftleft(key, BLOCKS[i]).bitwiseOR(bits)
+        keys.append(key)
+    return F.array(*keys)
 
 
-def _near() -> Column:
-    return F.bit_count(F.col("sim").bitwiseXOR(F.col("sim2"))) <= MAX_DISTANCE
+def _near(a: str, b: str) -> Column:
+    return F.bit_count(F.col(a).bitwiseXOR(F.col(b))) <= MAX_DISTANCE
 
 
-def _links(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+def _links(pairs: DataFrame, lines: DataFrame) -> DataFrame:
     """Candidate pairs ``(a, b)`` whose lines are similar enough."""
     pairs = stage(pairs.distinct(), "line-pairs")
     ids = stage(pairs.select(F.explode(F.array("a", "b")).alias("line")).distinct(), "candidate-lines")
     needed = F.broadcast(ids) if ids.count() <= MAX_SHARED_LINES else ids
-    worded = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(_worded, "line bigint, words binary")
-    words = stage(worded.join(needed, "line", "left_semi").dropDuplicates(["line"]), "candidate-words")
+    words = lines.select("line", "words").join(needed, "line", "left_semi").dropDuplicates(["line"])
+    words = stage(words, "candidate-words")
     first = words.select(F.col("line").alias("a"), F.col("words").alias("words_a"))
     second = words.select(F.col("line").alias("b"), F.col("words").alias("words_b"))
     joined = pairs.join(first, "a").join(second, "b").select("a", "b", "words_a", "words_b")
     return stage(joined.mapInArrow(_verified, "a bigint, b bigint"), "line-links")
 
 
-def line_groups(lines: DataFrame, docs: DataFrame) -> DataFrame:
+def line_groups(lines: DataFrame) -> DataFrame:
     """``(id, component)`` of lines that are linked to another one."""
-    distinct = lines.groupBy("line").agg(F.first("sim").alias("sim"))
+    distinct = stage(lines.groupBy("line").agg(F.first("sim").alias("sim"), F.count("*").alias("n")), "distinct-lines")
     keyed = distinct.select("line", "sim", F.explode(block_keys(F.col("sim"))).alias("key"))
-    by_key = Window.partitionBy("key")
-    shared = keyed.withColumns({"n": F.count("*").over(by_key), "center": F.min(F.struct("line", "sim")).over(by_key)})
-    shared = stage(shared.filter("n > 1").select("key", "line", "sim", "center"), "line-keys")
-    to_center = shared.select("line", "sim", F.col("center.line").alias("low"), F.col("center.sim").alias("sim2"))
-    stars = to_center.filter((F.col("line") != F.col("low")) & _near())
-    links = _links(stars.select(F.col("line").alias("a"), F.col("low").alias("b")), docs)
+    shared = keyed.withColumn("_n", F.count("*").over(Window.partitionBy("key"))).filter("_n > 1").drop("_n")
+    shared = stage(shared.join(distinct.select("line", "n"), "line"), "line-keys")
+    commonest = F.max(F.struct("n", "line", "sim")).alias("top")
+    center = stage(shared.groupBy("key").agg(commonest), "key-centers")
+    close = shared.join(center, "key").filter((F.col("line") != F.col("top.line")) & _near("sim", "top.sim"))
+    nearest = close.groupBy("line").agg(F.max("top").alias("top"))
+    links = _links(nearest.select(F.col("line").alias("a"), F.col("top.line").alias("b")), lines)
     known = components(links, "line-components")
     grouped = shared.join(known.withColumnRenamed("id", "line"), "line", "left")
     grouped = stage(grouped.select("key", "line", "sim", F.coalesce("component", "line").alias("group")), "grouped-keys")
@@ -196,8 +224,8 @@ def line_groups(lines: DataFrame, docs: DataFrame) -> DataFrame:
     mixed = stage(grouped.join(main.drop("groups"), "key"), "mixed-keys")
     apart = mixed.filter("group != main").select("key", F.col("line").alias("a"), "sim", F.col("group").alias("group1"))
     every = mixed.select("key", F.col("line").alias("b"), F.col("sim").alias("sim2"), F.col("group").alias("group2"))
-    across = apart.join(every, "key").filter((F.col("group1") != F.col("group2")) & _near())
-    more = _links(across.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")), docs)
+    across = apart.join(every, "key").filter((F.col("group1") != F.col("group2")) & _near("sim", "sim2"))
+    more = _links(across.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")), lines)
     return components(links.unionByName(more), "line-components")
 
 
@@ -208,8 +236,8 @@ def removed_lines(docs: DataFrame) -> DataFrame:
         F.xxhash64(F.col("text").cast("string")).alias("text_hash"),
         F.col("text").cast("string").alias("text"),
     )
-    lines = stage(narrow.mapInArrow(_hashed, "doc_id bigint, text_hash bigint, at int, line bigint, sim bigint"), "lines")
-    groups = line_groups(lines, docs)
+    lines = stage(narrow.mapInArrow(_hashed, "doc_id bigint, text_hash bigint, at int, line bigint, sim bigint, words binary"), "lines")
+    groups = line_groups(lines)
     counts = lines.groupBy("line").agg(F.count("*").alias("n"))
     labelled = counts.join(groups.withColumnRenamed("id", "line"), "line", "left")
     labelled = labelled.select("line", "n", F.coalesce("component", "line").alias("group"))
@@ -238,7 +266,9 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     rows = rows.withColumns({"doc_id": F.col("row.doc_id").cast("bigint"), "text_hash": F.xxhash64(text)})
     gone = removed_lines(docs).select(F.col("doc_id").alias("id2"), F.col("text_hash").alias("hash2"), "removed")
     same = (F.col("text_hash") == F.col("hash2")) & F.col("doc_id").eqNullSafe(F.col("id2"))
-    found = rows.join(gone, same, "left")
+    gone = stage(gone, "removed-lines")
+    few = gone.agg(F.coalesce(F.sum(F.size("removed") + 2), F.lit(0))).first()[0] <= MAX_SHARED_LINES
+    found = rows.join(F.broadcast(gone) if few else gone, same, "left")
     touched = F.when(F.col("removed").isNotNull(), text)
     left = found.withColumn("left", _without_lines(touched, F.col("removed")))
     n_lines = F.when(text.isNull(), 0).otherwise(F.length(text) - F.length(F.replace(text, F.lit("\n"))) + 1)

@@ -31,25 +31,42 @@ def test_similar():
     assert L.similar(a, a[:8]) and not L.similar(a, a[:7])
 
 
+def sims_of(lines):
+    sizes = np.array([len(line) for line in lines])
+    return L.simhashes(L.word_hashes(lines), sizes).view(np.uint64).tolist()
+
+
+def pair_sims_of(lines):
+    sizes = np.array([len(line) for line in lines])
+    pairs = L.word_pairs(L.word_hashes(lines), sizes)
+    return L.simhashes(pairs, sizes - 1).view(np.uint64).tolist()
+
+
+def test_word_pairs():
+    lines = [[b"a", b"b", b"c"], [b"b", b"c"], [b"c", b"b"]]
+    pairs = L.word_pairs(L.word_hashes(lines), np.array([3, 2, 2]))
+    assert len(pairs) == 4 and pairs[1] == pairs[2] != pairs[3]
+
 def test_simhash_is_the_majority():
     random.seed(1)
     lines = [[random.choice([b"a", b"b", b"cd", b"e"]) for _ in range(random.randint(1, 9))] for _ in range(50)]
-    for line, value in zip(lines, L.simhashes(lines).view(np.uint64).tolist()):
+    lines += [[random.choice([b"a", b"b", b"cd", b"e"]) for _ in range(n)] for n in (254, 255, 256, 700)]
+    for line, value in zip(lines, sims_of(lines)):
         hashes = [L._HASHES[w] for w in line]
         assert value == sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
 
 
-def test_lines_within_three_bits_share_a_key(spark):
+def test_lines_within_two_bits_share_a_key(spark):
     random.seed(2)
     base = random.getrandbits(64)
-    near = [base] + [base ^ sum(1 << b for b in random.sample(range(64), 3)) for _ in range(500)]
+    near = [base] + [base ^ sum(1 << b for b in random.sample(range(64), 2)) for _ in range(500)]
     df = spark.createDataFrame([(L._signed(x),) for x in near], "sim bigint").select(L.block_keys(F.col("sim")).alias("k"))
     keys = [set(r.k) for r in df.collect()]
-    assert len(keys[0]) == 10 and all(keys[0] & k for k in keys)
+    assert len(keys[0]) == 6 and all(keys[0] & k for k in keys)
 
 
 def brute(docs, union_find):
-    """Texts after dedup, by all pairs of distinct lines that share a key and are near."""
+    """Texts after dedup, by all pairs of distinct lines that share a key."""
     lines, places = {}, {}
     for doc_id, text in docs:
         for at, words in enumerate(L.line_words(text)) if text else ():
@@ -57,8 +74,9 @@ def brute(docs, union_find):
                 lines[tuple(words)] = None
                 places.setdefault(tuple(words), []).append((doc_id, at))
     every = list(lines)
-    sims = L.simhashes([list(w) for w in every]).view(np.uint64).tolist()
-    cut = [[x >> s & ((1 << w) - 1) for s, w in L.BLOCKS] for x in sims]
+    sims = pair_sims_of(every) if every else []
+    starts = [sum(L.BLOCKS[:i]) for i in range(len(L.BLOCKS))]
+    cut = [[x >> s & ((1 << w) - 1) for s, w in zip(starts, L.BLOCKS)] for x in sims]
     found = union_find()
     for i, a in enumerate(every):
         found.find(i)
