@@ -324,3 +324,27 @@ def contamination_rows(docs: DataFrame, items: DataFrame) -> DataFrame:
         F.sha2(F.array_join(named, ","), 256).alias("items_sha256"),
         (n_hit > 0).alias("contaminated"),
     )
+
+
+_SQL_WORDS = (
+    "regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    "'[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+)
+ORACLE = f"""
+WITH items AS (SELECT item_id, {_SQL_WORDS} AS w FROM benchmark WHERE text IS NOT NULL AND item_id IS NOT NULL),
+windows AS (
+  SELECT DISTINCT item_id, w[i:i + least(len(w), 10) - 1] AS g
+  FROM items, unnest(generate_series(1, len(w) - least(len(w), 10) + 1)) AS u(i) WHERE len(w) > 0),
+texts AS (SELECT doc_id, coalesce({_SQL_WORDS}, []) AS w FROM documents),
+sizes AS (SELECT DISTINCT len(g) AS k FROM windows),
+places AS (
+  SELECT doc_id, i, k, w[i:i + k - 1] AS g FROM texts, sizes, unnest(generate_series(1, len(w) - k + 1)) AS u(i)),
+found AS (SELECT doc_id, i, k, item_id FROM places JOIN windows USING (g)),
+hit AS (SELECT doc_id, count(DISTINCT p) AS n FROM found, unnest(generate_series(i, i + k - 1)) AS u(p) GROUP BY doc_id),
+named AS (
+  SELECT doc_id, count(*) AS n, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids
+  FROM (SELECT DISTINCT doc_id, item_id FROM found) GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, coalesce(hit.n, 0) AS n_hit, coalesce(named.n, 0) AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(hit.n, 0) > 0 AS contaminated
+FROM texts LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)
+"""

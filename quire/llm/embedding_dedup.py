@@ -254,3 +254,17 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     alone = rows.filter("not usable").select("vec_id", F.lit(0).cast("bigint").alias("n_links"), F.col("vec_id").alias("component_id"))
     every = linked.unionByName(alone)
     return every.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))
+
+
+ORACLE = """
+WITH RECURSIVE vectors AS (SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings),
+good AS (SELECT * FROM vectors WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(e) > 0
+  AND list_dot_product(e, e) > 0 AND isfinite(list_dot_product(e, e))),
+links AS (
+  SELECT a.vec_id AS i, b.vec_id AS j FROM good a JOIN good b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE list_dot_product(a.e, b.e) / sqrt(list_dot_product(a.e, a.e) * list_dot_product(b.e, b.e)) >= 0.93),
+reach(i, j) AS (SELECT vec_id, vec_id FROM vectors UNION SELECT r.i, l.j FROM reach r JOIN links l ON r.j = l.i),
+counts AS (SELECT i, count(*) AS n FROM links GROUP BY i)
+SELECT r.i AS vec_id, coalesce(any_value(c.n), 0) AS n_links, min(r.j) AS component_id, r.i = min(r.j) AS kept
+FROM reach r LEFT JOIN counts c ON c.i = r.i GROUP BY r.i
+"""

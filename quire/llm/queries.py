@@ -78,4 +78,6 @@ QUERIES = {
 ORACLES: dict[str, str] = {
     "op3_chat_formatting": chat_formatting.ORACLE,
     "op6_license_scan": license_scan.ORACLE,
+    "op8_benchmark_decontamination": decontamination.ORACLE,
+    "op9_embedding_dedup": embedding_dedup.ORACLE,
 }
