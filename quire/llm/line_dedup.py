@@ -270,7 +270,9 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     few = gone.agg(F.coalesce(F.sum(F.size("removed") + 2), F.lit(0))).first()[0] <= MAX_SHARED_LINES
     found = rows.join(F.broadcast(gone) if few else gone, same, "left")
     touched = F.when(F.col("removed").isNotNull(), text)
-    left = found.withColumn("left", _without_lines(touched, F.col("removed")))
+    # A generator keeps later filters on the text from running the function again.
+    cut = F.explode(F.array(_without_lines(touched, F.col("removed"))))
+    left = found.select("row", "removed", cut.alias("left"))
     n_lines = F.when(text.isNull(), 0).otherwise(F.length(text) - F.length(F.replace(text, F.lit("\n"))) + 1)
     return left.select(
         "row",

@@ -17,9 +17,11 @@ from quire.llm import (
     sharding,
     simhash_dedup,
 )
+from quire.llm.batches import keep_batches_small
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    keep_batches_small(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
