@@ -1,7 +1,7 @@
 """Fuzzy line dedup: one occurrence per connected group of near-equal lines stays.
 
-1. Lines of at least ``MIN_WORDS`` words are normalised (lower case, words only) and get an id (a
-   64-bit hash of the normalised words). Lines with equal words are one node with a count.
+1. Lines with a word are normalised (lower case, words only; letters of scripts without spaces are words of their
+   own) and get an id (a 64-bit hash of the normalised words). Lines with equal words are one node with a count.
 2. Two lines are linked if their word edit similarity is 0.8 or more (words as 16-bit hashes). The
    search is complete. With ``n`` words in the longer line, at most ``k = n // 5`` edits are allowed, and each
    changes at most three word triples, so the lines have ``n - 2 - 3 k`` or more triples in common. Of two lists sorted
@@ -16,13 +16,14 @@ line that it shares a key with (the original, as a rule). Lines that ended in th
 outside their key's largest component are then compared with the key's lines in other components. No
 link between components is lost.
 
-Defined cases: null texts stay null, empty ones empty; shorter lines stay. Rows with equal
+Defined cases: null texts stay null, empty ones empty; lines without words stay. Rows with equal
 ``doc_id`` and text are one document and are treated alike. Other columns pass unchanged. A 64-bit
 line id can collide once in about ``2**64 / n`` pairs.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from itertools import chain, combinations
 
@@ -36,7 +37,8 @@ from pyspark.sql import types as T
 from quire.llm.components import components
 from quire.staging import stage
 
-MIN_WORDS = 5
+# Equal lines of any length are linked, if there is a word in them.
+MIN_WORDS = 1
 SIMILARITY = 0.8
 # SimHash blocks as tests compare them; the search does not use them, since they miss most lines at 0.8.
 BLOCKS, EQUAL = (16, 16, 16, 16), 2
@@ -45,12 +47,17 @@ MAX_DISTANCE = 8
 MAX_SHARED_LINES = 2_000_000
 
 _WORD_BYTES = bytes(b if b >= 0x80 or b == 0x0A or chr(b).isalnum() else 0x20 for b in range(256)).lower()
+# Letters of scripts without spaces (Thai, Lao, Burmese, Khmer, kana, Han), each a word of its own, and marks beyond ASCII.
+_UNSPACED = re.compile("([\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff])")
+_WIDE_MARKS = re.compile("[\u2000-\u206f\u3000-\u3004\u3008-\u3020\u3030\u30a0\u30fb\ufe10-\ufe1f\ufe30-\ufe6f\uff01-\uff0f\uff1a-\uff20\uff3b-\uff40\uff5b-\uff65]")
 _ROWS = 256
 _MAX_WORDS = 300_000
 
 
 def line_words(text: str) -> list[list[bytes]]:
     """Normalised words of every line."""
+    if not text.isascii() and _UNSPACED.search(text):
+        text = _UNSPACED.sub(r" \1 ", _WIDE_MARKS.sub(" ", text))
     return [line.split() for line in text.lower().encode().translate(_WORD_BYTES).split(b"\n")]
 
 

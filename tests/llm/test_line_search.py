@@ -71,3 +71,13 @@ def test_given_documents(spark, small, union_find):
     df = spark.read.parquet(f"{small}/documents.parquet").filter("doc_id < 120")
     docs = [(r.doc_id, r.text) for r in df.collect()]
     assert {r.doc_id: r.text for r in L.deduped_lines(df).collect()} == by_all_pairs(docs, union_find)
+
+
+def test_short_and_unspaced_lines(spark):
+    line = "这是一个很长的句子没有空格但是经常被复制。"
+    docs = [
+        (1, f"All rights reserved.\n\n---\n{line}\none own text"),
+        (2, f"all rights reserved\n\n---\n{line.replace('很', '非')[:-1]}\nanother"),
+    ]
+    got = {r.doc_id: r.text for r in L.deduped_lines(spark.createDataFrame(docs, "doc_id bigint, text string")).collect()}
+    assert got == {1: docs[0][1], 2: "\n---\nanother"}
