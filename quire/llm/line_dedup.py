@@ -24,7 +24,8 @@ line id can collide once in about ``2**64 / n`` pairs.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 from itertools import chain, combinations
 
 import numpy as np
@@ -54,11 +55,16 @@ _ROWS = 256
 _MAX_WORDS = 300_000
 
 
+def spaced(text: str) -> str:
+    """The text with blanks around every letter of a script without spaces."""
+    if text.isascii() or not _UNSPACED.search(text):
+        return text
+    return _UNSPACED.sub(r" \1 ", _WIDE_MARKS.sub(" ", text))
+
+
 def line_words(text: str) -> list[list[bytes]]:
     """Normalised words of every line."""
-    if not text.isascii() and _UNSPACED.search(text):
-        text = _UNSPACED.sub(r" \1 ", _WIDE_MARKS.sub(" ", text))
-    return [line.split() for line in text.lower().encode().translate(_WORD_BYTES).split(b"\n")]
+    return [line.split() for line in spaced(text).lower().encode().translate(_WORD_BYTES).split(b"\n")]
 
 
 class _Hashes(dict):
@@ -273,8 +279,21 @@ def _near(odd_a: str, size_a: str, odd_b: str, size_b: str) -> Column:
     return (5 * shorter >= 4 * longer) & (differ <= 2 * F.floor(longer / 5))
 
 
-def _links(pairs: DataFrame, distinct: DataFrame) -> DataFrame:
-    """Candidate pairs ``(a, b)`` whose lines are similar enough."""
+@dataclass(frozen=True)
+class Search:
+    """How similar items are found: keys that they share, and what they have to fulfil before and after words are read."""
+
+    keyed: Callable
+    described: Callable
+    near: Callable
+    verified: Callable
+
+
+LINES = Search(_keyed, _described, _near, _verified)
+
+
+def _links(pairs: DataFrame, distinct: DataFrame, search: Search) -> DataFrame:
+    """Candidate pairs ``(a, b)`` that are similar enough."""
     pairs = stage(pairs.distinct(), "line-pairs")
     ids = stage(pairs.select(F.explode(F.array("a", "b")).alias("line")).distinct(), "candidate-lines")
     needed = F.broadcast(ids) if ids.count() <= MAX_SHARED_LINES else ids
@@ -282,21 +301,26 @@ def _links(pairs: DataFrame, distinct: DataFrame) -> DataFrame:
     first = words.select(F.col("line").alias("a"), F.col("words").alias("words_a"))
     second = words.select(F.col("line").alias("b"), F.col("words").alias("words_b"))
     joined = pairs.join(first, "a").join(second, "b").select("a", "b", "words_a", "words_b")
-    return stage(joined.mapInArrow(_verified, "a bigint, b bigint"), "line-links")
+    return stage(joined.mapInArrow(search.verified, "a bigint, b bigint"), "line-links")
 
 
 def line_groups(lines: DataFrame) -> DataFrame:
     """``(id, component)`` of lines that are linked to another one."""
     distinct = stage(lines.groupBy("line").agg(F.first("words").alias("words"), F.count("*").alias("n")), "distinct-lines")
-    keyed = distinct.select("line", "words").mapInArrow(_keyed, "key bigint, line bigint")
+    return similar_groups(distinct, LINES)
+
+
+def similar_groups(distinct: DataFrame, search: Search) -> DataFrame:
+    """``(id, component)`` of the rows ``(line, words, n)`` that are linked to another one."""
+    keyed = distinct.select("line", "words").mapInArrow(search.keyed, "key bigint, line bigint")
     met = keyed.withColumn("_n", F.count("*").over(Window.partitionBy("key"))).filter("_n > 1").drop("_n")
-    described = distinct.select("line", "n", "words").mapInArrow(_described, "line bigint, n bigint, odd bigint, size int")
+    described = distinct.select("line", "n", "words").mapInArrow(search.described, "line bigint, n bigint, odd bigint, size int")
     shared = stage(stage(met, "met-keys").join(described, "line"), "line-keys")
     commonest = F.max(F.struct("n", "line", "odd", "size")).alias("top")
     center = stage(shared.groupBy("key").agg(commonest), "key-centers")
-    near_top = _near("odd", "size", "top.odd", "top.size")
+    near_top = search.near("odd", "size", "top.odd", "top.size")
     close = shared.join(center, "key").filter((F.col("line") != F.col("top.line")) & near_top)
-    links = _links(close.select(F.col("line").alias("a"), F.col("top.line").alias("b")), distinct)
+    links = _links(close.select(F.col("line").alias("a"), F.col("top.line").alias("b")), distinct, search)
     known = components(links, "line-components")
     grouped = shared.join(known.withColumnRenamed("id", "line"), "line", "left")
     grouped = stage(grouped.select("key", "line", "odd", "size", F.coalesce("component", "line").alias("group")), "grouped-keys")
@@ -305,8 +329,8 @@ def line_groups(lines: DataFrame) -> DataFrame:
     mixed = stage(grouped.join(main.drop("groups"), "key"), "mixed-keys")
     apart = mixed.filter("group != main").select("key", F.col("line").alias("a"), "odd", "size", F.col("group").alias("group1"))
     every = mixed.select("key", F.col("line").alias("b"), F.col("odd").alias("odd2"), F.col("size").alias("size2"), F.col("group").alias("group2"))
-    across = apart.join(every, "key").filter((F.col("group1") != F.col("group2")) & _near("odd", "size", "odd2", "size2"))
-    more = _links(across.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")), distinct)
+    across = apart.join(every, "key").filter((F.col("group1") != F.col("group2")) & search.near("odd", "size", "odd2", "size2"))
+    more = _links(across.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")), distinct, search)
     return components(links.unionByName(more), "line-components")
 
 
