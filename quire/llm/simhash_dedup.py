@@ -38,8 +38,6 @@ SHINGLE = 3
 MAX_DISTANCE = 2
 SEGMENTS = ((0, 22), (22, 21), (43, 21))
 DENSE = 64
-# Ids of documents to leave out are handed to every task up to this many (8 bytes each), and joined beyond it.
-MAX_SHARED_IDS = 2_000_000
 # Fixed value: generator polynomial of the (23,12) Golay code.
 GOLAY = 0xC75
 _BLOCK = 1 << 16
@@ -166,36 +164,6 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return marked.join(labels, "fp").select("doc_id", "fp", "group", "component_id")
 
 
-def one_of_each(docs: DataFrame) -> DataFrame:
-    """``docs`` with one document of each component: the one with the smallest ``doc_id``.
-
-    Rows with equal ``doc_id`` are copies of one document, of which one stays. Rows without
-    ``doc_id`` stay if no row with one is in their component, one for each component.
-    """
-    marked = stage(near_duplicates(docs), "near-duplicates")
-    own = F.col("doc_id") == F.col("component_id")
-    gone = marked.filter(~own).select("doc_id").distinct()
-    again = stage(marked.filter(own).groupBy("doc_id").count().filter("count > 1").select("doc_id"), "repeated-ids")
-    listed = stage(gone.unionByName(again).distinct(), "listed-ids")
-    few = listed.count() <= MAX_SHARED_IDS
-    named = docs.filter(F.col("doc_id").isNotNull())
-    once = named.join(F.broadcast(listed) if few else listed, "doc_id", "left_anti")
-    kept_again = again.join(gone, "doc_id", "left_anti")
-    repeated = named.join(F.broadcast(kept_again) if few else kept_again, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    nameless = docs.filter(F.col("doc_id").isNull()).select(F.col("text").cast("string").alias("text"), row.alias("row"))
-    schema = nameless.select("row", F.lit(0).cast("bigint").alias("fp")).schema
-    unknown = marked.filter("component_id is null").select("fp", "group").distinct()
-    apart = nameless.mapInArrow(_rows_with_fingerprint, schema).join(unknown, "fp").dropDuplicates(["group"])
-    return once.select(*docs.columns).unionByName(repeated.select(*docs.columns)).unionByName(apart.select("row.*"))
-
-
-def _rows_with_fingerprint(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        values = [_signed(fingerprint(t.as_py())) for t in batch["text"]]
-        yield pa.RecordBatch.from_arrays([batch["row"], pa.array(values, pa.int64())], ["row", "fp"])
-
-
 def component_rows(docs: DataFrame) -> DataFrame:
     """Rows of ``near_duplicates`` with the fingerprint as 16 hex digits."""
     hexed = F.lower(F.lpad(F.hex("fp"), 16, "0"))
