@@ -60,15 +60,22 @@ def vocabulary(path: str) -> dict[bytes, int]:
     }
 
 
+def added_tokens(path: str) -> dict[str, int]:
+    """Tokens that the file adds to the vocabulary; in a text they stand for themselves."""
+    with open(path, encoding="utf-8") as file:
+        return {t["content"]: t["id"] for t in json.load(file)["added_tokens"]}
+
+
 _MODELS: dict[str, object] = {}
 
 
-def _model(name: str, ranks):
+def _model(name: str, known):
     """One encoder per worker process."""
     import tiktoken
 
     if name not in _MODELS:
-        _MODELS[name] = tiktoken.Encoding(name, pat_str=WORDS, mergeable_ranks=ranks.value, special_tokens={})
+        ranks, added = known.value
+        _MODELS[name] = tiktoken.Encoding(name, pat_str=WORDS, mergeable_ranks=ranks, special_tokens=added)
     return _MODELS[name]
 
 
@@ -80,10 +87,10 @@ def piece_bounds(n: int, capacity: int) -> list[int]:
 
 def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
     """``(doc_id, piece, start, length, ids)``, written, with the place of each row in its task."""
-    ranks, name = docs.sparkSession.sparkContext.broadcast(vocabulary(path)), uuid.uuid4().hex
+    known, name = docs.sparkSession.sparkContext.broadcast((vocabulary(path), added_tokens(path))), uuid.uuid4().hex
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, task = _model(name, ranks).encode_to_numpy, TaskContext.get().partitionId()
+        encode, task = _model(name, known).encode_to_numpy, TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, np.int64)
         end = np.array([end_id], np.int32)
         for whole in batches:
@@ -91,7 +98,7 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = E
                 batch = whole.slice(low, 256)
                 rows, flat, bounds = [], [], [0]
                 for key, text in zip(batch[0].to_pylist(), batch[1].to_pylist()):
-                    ids = np.append(encode(text or "", disallowed_special=()).astype(np.int32), end)
+                    ids = np.append(encode(text or "", allowed_special="all").astype(np.int32), end)
                     cuts = piece_bounds(len(ids), capacity)
                     flat.append(ids)
                     for number, (a, b) in enumerate(zip(cuts, cuts[1:])):
