@@ -1,7 +1,7 @@
 """Document scores of an n-gram model, run as a weighted backoff automaton.
 
 The model is a bigram model with absolute discounting, on a unigram model with add-1/2 smoothing and
-one class of unknown words. Bigrams seen less than ``CUTOFF`` times in training are pruned. Its
+one class of unknown words. All bigrams seen ``CUTOFF`` times or more in training are kept, which is all of them. Its
 automaton has a state per word (the history) and a root. An arc from a state carries the log
 probability of a kept bigram; the failure arc carries the backoff weight and leads to the root, whose
 arcs carry unigram log probabilities. A text is read once, left to right, from the state of the end
@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from quire.staging import stage
 
 FOLDS, HELD_OUT = 5, 1
-CUTOFF = 2
+CUTOFF = 1
 CHUNK_TOKENS = 2_500_000
 BUCKET_TOKENS = 1_500_000
 END = b"\n"  # no word holds a line end
@@ -307,7 +307,7 @@ class BackoffAutomaton:
         self.failures = np.log10(self.backoff)
 
     def arcs(self, state: np.ndarray, word: np.ndarray, pair_counts: np.ndarray) -> np.ndarray:
-        """Weights of arcs; of pruned bigrams minus infinity."""
+        """Weights of arcs; of bigrams not seen minus infinity."""
         weights = np.full(len(state), -np.inf)
         has = pair_counts > 0
         state, word = state[has], word[has]
