@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from quire.llm import (
+    alignment,
     chat_formatting,
+    collocations,
     decontamination,
     embedding_dedup,
     language_id,
@@ -16,6 +18,7 @@ from quire.llm import (
     packing,
     sharding,
     simhash_dedup,
+    token_quality,
 )
 from quire.llm.batches import keep_batches_small
 
@@ -65,6 +68,20 @@ def op9_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return embedding_dedup.near_vectors(_table(spark, folder, "embeddings"))
 
 
+def op11_tokenizer_fertility(spark: SparkSession, folder: str) -> DataFrame:
+    paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return token_quality.quality_rows(_table(spark, folder, "documents"), *paths)
+
+
+def op12_cross_tokenizer_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return alignment.alignment_rows(_table(spark, folder, "documents"), *paths)
+
+
+def op13_phrase_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(_table(spark, folder, "documents"))
+
+
 QUERIES = {
     "op1_lm_scoring": op1_lm_scoring,
     "op2_line_dedup": op2_line_dedup,
@@ -76,10 +93,14 @@ QUERIES = {
     "op9_embedding_dedup": op9_embedding_dedup,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op10_sharding": op10_sharding,
+    "op11_tokenizer_fertility": op11_tokenizer_fertility,
+    "op12_cross_tokenizer_alignment": op12_cross_tokenizer_alignment,
+    "op13_phrase_collocations": op13_phrase_collocations,
 }
 ORACLES: dict[str, str] = {
     "op3_chat_formatting": chat_formatting.ORACLE,
     "op6_license_scan": license_scan.ORACLE,
     "op8_benchmark_decontamination": decontamination.ORACLE,
     "op9_embedding_dedup": embedding_dedup.ORACLE,
+    "op13_phrase_collocations": collocations.ORACLE,
 }
