@@ -18,17 +18,18 @@ def plain_encoder(ranks: dict[bytes, int]):
     """A function from a text to its ids; special tokens in a text are plain text."""
     import tiktoken
 
-    encode = tiktoken.Encoding(uuid.uuid4().hex, pat_str=WORDS, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+    model = tiktoken.Encoding(uuid.uuid4().hex, pat_str=WORDS, mergeable_ranks=ranks, special_tokens={})
+    encode = lambda part: model.encode_to_numpy(part, disallowed_special=()).astype(np.int64)
 
     def ids(text: str) -> np.ndarray:
         if len(text) < _LONG_RUN:
-            return np.array(encode(text), np.int64)
+            return encode(text)
         # A run before other text is one word but for its last blank, and at the end it is one word.
         parts, low = [], 0
         for run in _BLANKS.finditer(text):
             end = run.end() - (run.end() < len(text))
             parts += [encode(text[low : run.start()]), encode(text[run.start() : end])]
             low = end
-        return np.array([i for part in [*parts, encode(text[low:])] for i in part], np.int64)
+        return np.concatenate([*parts, encode(text[low:])])
 
     return ids

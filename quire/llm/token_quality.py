@@ -22,8 +22,8 @@ repeat or are null; other columns are ignored; no rows give no rows. A text has
 
 from __future__ import annotations
 
-import re
 import uuid
+from bisect import bisect
 from collections import Counter
 from collections.abc import Iterator
 
@@ -55,9 +55,9 @@ SCRIPTS = (
     (0x2000, "other"), (0x3040, "kana"), (0x3100, "other"), (0x3400, "han"), (0xA000, "other"), (0xAC00, "hangul"),
     (0xD7A4, "other"), (0xF900, "han"), (0xFB00, "other"), (0x20000, "han"), (0x32000, "other"),
 )
-_STARTS = np.array([start for start, _ in SCRIPTS])
+_STARTS = [start for start, _ in SCRIPTS]
 _NAMES = [name for _, name in SCRIPTS]
-_ASCII_LETTERS = re.compile(rb"[A-Za-z]")
+_BLANK, _SYMBOL = list(b" \t\n\x0b\x0c\r"), list(SYMBOLS.encode())
 _MEASURES = ("chars_per_token", "fallback_share", "entropy_share")
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 MEASURED = (
@@ -66,44 +66,61 @@ MEASURED = (
 )
 
 
-def script_of(text: str) -> str:
-    """The script of most letters; of equal ones the first by name."""
+def _byte_counts(content: bytes) -> np.ndarray:
+    return np.bincount(np.frombuffer(content, np.uint8), minlength=256)
+
+
+def script_of(text: str, seen: np.ndarray | None = None) -> str:
+    """The script of most letters; of equal ones the first by name. ``seen`` counts the text's bytes."""
+    seen = _byte_counts(text.encode()) if seen is None else seen
     counts: Counter = Counter()
-    wide = [c for c in text if c > "\x7f"]
-    if ascii_letters := len(_ASCII_LETTERS.findall(text.encode())):
+    if ascii_letters := int(seen[65:91].sum() + seen[97:123].sum()):
         counts["latin"] = ascii_letters
-    letters = [ord(c) for c in wide if c.isalpha()]
-    for block, n in zip(*np.unique(np.searchsorted(_STARTS, letters, side="right") - 1, return_counts=True)):
-        counts[_NAMES[block]] += int(n)
+    if not text.isascii():
+        codes, times = np.unique(np.frombuffer(text.encode("utf-32-le"), "<u4"), return_counts=True)
+        for code, n in zip(codes.tolist(), times.tolist()):
+            if code > 127 and chr(code).isalpha():
+                counts[_NAMES[bisect(_STARTS, code) - 1]] += n
     return min(counts, key=lambda s: (-counts[s], s)) if counts else NO_SCRIPT
 
 
+class _Numbers(dict):
+    def __missing__(self, word: bytes) -> int:
+        number = self[word] = len(self)
+        return number
+
+
 def repeated_words(words: list[bytes]) -> int:
     """Words within a window of three that occurs twice or more."""
     if len(words) < 4:
         return 0
-    numbers: dict[bytes, int] = {}
-    ids = np.array([numbers.setdefault(w, len(numbers)) for w in words], np.int64)
-    # Pairs are numbered first, so that a window is one number of at most 62 bits.
-    _, pairs = np.unique(ids[:-1] << 31 | ids[1:], return_inverse=True)
-    _, window, times = np.unique(pairs[:-1] << 31 | ids[2:], return_inverse=True, return_counts=True)
-    found = np.flatnonzero(times[window] > 1)
+    numbers = _Numbers()
+    ids = np.array(list(map(numbers.__getitem__, words)), np.int64)
+    first, bits = ids[:-2], 21
+    if len(numbers) >> 21:
+        # Too many words for one number per window: pairs are numbered first.
+        first, bits = np.unique(ids[:-2] << 31 | ids[1:-1], return_inverse=True)[1], 31
+        windows = first << bits | ids[2:]
+    else:
+        windows = first << 2 * bits | ids[1:-1] << bits | ids[2:]
+    ordered = np.sort(windows)
+    again = ordered[1:][ordered[1:] == ordered[:-1]]
+    if not len(again):
+        return 0
+    at = np.minimum(np.searchsorted(again, windows), len(again) - 1)
+    found = np.flatnonzero(again[at] == windows)
     covered = np.zeros(len(ids), bool)
     for shift in range(3):
         covered[found + shift] = True
     return int(covered.sum())
 
 
-def base_counts(text: str | None) -> tuple[int, int, int, int, int]:
-    """``n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words``."""
-    if not text:
-        return 0, 0, 0, 0, 0
-    content = text.encode()
+def base_counts(text: str, content: bytes, seen: np.ndarray) -> tuple[int, int, int, int, int]:
+    """``n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words``; ``seen`` counts the bytes of ``content``."""
     words = content.split()
-    chars = len(text) - sum(text.count(c) for c in " \t\n\x0b\x0c\r")
-    lines = [line for line in content.split(b"\n") if line.split(None, 1)]
-    symbols = sum(content.count(c.encode()) for c in SYMBOLS)
-    return len(words), chars, symbols, len(lines) - len(set(lines)), repeated_words(words)
+    lines = [line for line in content.split(b"\n") if line.strip()]
+    chars = len(text) - int(seen[_BLANK].sum())
+    return len(words), chars, int(seen[_SYMBOL].sum()), len(lines) - len(set(lines)), repeated_words(words)
 
 
 def entropy_share(ids: np.ndarray) -> float | None:
@@ -125,12 +142,14 @@ class Meter:
 
     def measure(self, text: str | None) -> tuple:
         """The columns of ``MEASURED`` after ``lang``."""
-        base = base_counts(text)
         if not text:
-            return *base, NO_SCRIPT, 0, 0, None, None, None
+            return *[0] * len(COUNTS), NO_SCRIPT, 0, 0, None, None, None
+        content = text.encode()
+        seen = _byte_counts(content)
+        base = base_counts(text, content, seen)
         ids, pieces = self.bytes_ids(text), self.piece_ids(text)
         fallback = float(self.is_byte[pieces].mean()) if len(pieces) else None
-        return *base, script_of(text), len(ids), len(pieces), len(text) / len(ids), fallback, entropy_share(ids)
+        return *base, script_of(text, seen), len(ids), len(pieces), len(text) / len(ids), fallback, entropy_share(ids)
 
 
 _METERS: dict[str, Meter] = {}

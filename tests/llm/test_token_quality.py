@@ -7,7 +7,7 @@ import public_tokenizers
 import pytest
 
 from quire.llm.packing import vocabulary
-from quire.llm.token_quality import STEP, judged, measured, quality_rows, script_of
+from quire.llm.token_quality import STEP, judged, measured, quality_rows, repeated_words, script_of
 
 A, B = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
 WORD = re.compile(r"[^ \t-\r]+")
@@ -95,7 +95,7 @@ def test_bands_reject_junk_and_keep_prose(spark, small):
     draw = random.Random(2)
     junk = [
         (-1, " ".join("%064x" % draw.getrandbits(256) for _ in range(80)), "en"),
-        (-2, "".join(chr(draw.randrange(0x2500, 0x25FF)) + draw.choice("ab ") for _ in range(900)), None),
+        (-2, "".join(chr(draw.randrange(0x2500, 0x25FF)) + draw.choice("ab ") for _ in range(900)), "en"),
         (-3, " ".join(f"aa{i} bb{i}" for i in range(5)) + " z" * 3, "en"),
     ]
     rows = quality_rows(clean.unionByName(spark.createDataFrame(junk, clean.schema)), A, B).collect()
@@ -106,6 +106,11 @@ def test_bands_reject_junk_and_keep_prose(spark, small):
     assert sum(r.kept for r in passed) == len(passed)
 
 
+def test_many_words():
+    words = [b"%d" % i for i in range((1 << 21) + 5)]
+    assert repeated_words(words) == 0 and repeated_words(words + words[7:10]) == 6
+
+
 def test_a_long_text_is_not_less_even(spark, small):
     texts = [r.text for r in spark.read.parquet(f"{small}/documents.parquet").filter("lang = 'en' and n_chars > 800").collect()]
     rows = [(i, t, "en") for i, t in enumerate(texts)] + [(-1, "\n".join(texts * 8), "en")]
