@@ -1,12 +1,11 @@
 """Tokenizers: each turns a text column into an array of token ids.
 
-``WordTokenizer`` and ``ByteTokenizer`` are built in; ``StoredTokenizer`` runs any serialized
-tokenizer. Every document is followed by the end-of-text token. No ids are added or cut.
+``WordTokenizer`` and ``ByteTokenizer`` are here; ``quire.operators.subwords`` has byte-level subwords of a
+given vocabulary. Every document is followed by the end-of-text token. No ids are added or cut.
 """
 
 from __future__ import annotations
 
-import hashlib
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -27,7 +26,6 @@ WORD_PATTERN = r"[\p{L}\p{N}]+|[^\s\p{L}\p{N}]"
 # rest of the vocabulary is joined.
 SHARED_WORDS = 200_000
 SHARED_WORD_BYTES = 64
-MAX_DEFINITION_BYTES = 64 << 20
 IDS = T.ArrayType(T.IntegerType())
 _ENCODED = T.StructType().add("ids", IDS).add("rare", T.ArrayType(T.StructType().add("at", T.IntegerType()).add("token", T.StringType())))
 
@@ -196,53 +194,6 @@ class ByteTokenizer:
         return df.select(*kept, F.concat(_byte_values(F.col(text)), end).alias("tokens"))
 
 
-_LOADED: dict[str, object] = {}
-
-
-def _load(serialized: str):
-    from tokenizers import Tokenizer
-
-    digest = hashlib.md5(serialized.encode()).hexdigest()
-    if digest not in _LOADED:
-        _LOADED[digest] = Tokenizer.from_str(serialized)
-    return _LOADED[digest]
-
-
-class StoredTokenizer:
-    """Any tokenizer in the ``tokenizers`` JSON format, given as a string.
-
-    ``eos`` must be a token of it. ``pad`` falls back to ``eos``.
-    """
-
-    def __init__(self, serialized: str, eos: str, pad: str | None = None, bos: str | None = None):
-        if len(serialized.encode()) > MAX_DEFINITION_BYTES:
-            raise ValueError("tokenizer definition is too large to hand to every task")
-        model = _load(serialized)
-        self.serialized, self.eos = serialized, eos
-        self.eos_id = model.token_to_id(eos)
-        if self.eos_id is None:
-            raise ValueError(f"{eos!r} is not a token of this tokenizer")
-        self.pad_id = self.eos_id if pad is None else model.token_to_id(pad)
-        self.bos_id = None if bos is None else model.token_to_id(bos)
-        self.vocab_size = model.get_vocab_size()
-
-    def transform(self, df: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-        definition = df.sparkSession.sparkContext.broadcast(self.serialized)
-
-        @F.arrow_udf(IDS)
-        def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-            import os
-
-            os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core per task
-            model = _load(definition.value)
-            for texts in batches:
-                encoded = model.encode_batch(texts.to_pylist(), add_special_tokens=False)
-                yield pa.array([e.ids for e in encoded], pa.list_(pa.int32()))
-
-        kept = [c for c in df.columns if c != text]
-        return df.select(*kept, encode(frame(F.col(text), self.eos)).alias("tokens"))
-
-
 def special_ids(tokenizer, spark) -> DataFrame:
     """Vocabulary size and the ids of the special tokens."""
     row = (tokenizer.vocab_size, tokenizer.bos_id, tokenizer.eos_id, tokenizer.pad_id)

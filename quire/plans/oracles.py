@@ -101,6 +101,7 @@ SELECT book_id AS entry, CASE CAST(book_id AS BIGINT) % 17 WHEN 0 THEN NULL WHEN
   CASE WHEN CAST(book_id AS BIGINT) % 19 = 0 THEN array_to_string(shelves, ' |') || ' '
     ELSE array_to_string(shelves, '|') END AS shelves,
   coalesce(marc908, '') AS marc908 FROM ebooks"""
+ORACLES["catalog_xml_nested"] = ORACLES["catalog_xml_read"]
 
 # --- acquisition ---
 
@@ -312,6 +313,14 @@ ORACLES["split_attached"] = _with(_split("documents")) + (
     "SELECT split, lang, count(*) AS n_docs, CAST(sum(n_chars) AS BIGINT) AS n_chars "
     "FROM parts GROUP BY split, lang"
 )
+_REPEATED_SPLIT = """WITH keyed AS (
+  SELECT CASE WHEN doc_id % 13 <> 0 THEN CAST(doc_id % 40 AS VARCHAR) END AS doc_id, text FROM documents),
+placed AS (SELECT *, count(*) OVER () AS total,
+  row_number() OVER (ORDER BY md5(concat_ws(':', '42', doc_id)), md5('42:' || text)) AS place FROM keyed)
+SELECT doc_id, CASE WHEN place <= floor(total * CAST(0.9 AS DOUBLE)) THEN 'train' ELSE 'val' END AS split,
+  length(text) AS n_chars, md5(text) AS text_md5 FROM placed"""
+ORACLES["split_repeated_keys"] = _REPEATED_SPLIT
+ORACLES["split_attached_repeated"] = _REPEATED_SPLIT
 ORACLES["split_written"] = _with(_split("documents")) + (
     "SELECT split, doc_id, length(text) AS n_chars, md5(text) AS text_md5 FROM parts"
 )

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from quire.fixed_values import SEED, TRAIN_RATIO
 from quire.functions import cleaning as C
 from quire.functions.catalog import file_key
-from quire.operators import acquisition, catalog, packing, splitting, tokens, training_order
+from quire.operators import acquisition, catalog, packing, splitting, subwords, tokens, training_order
 from quire.operators import cleaning as gating
 from quire.plans import views
 from quire.plans.corpus import CorpusSettings, build_corpus
@@ -123,10 +123,9 @@ def catalog_key_from_path(spark, folder):
     return pages.select("page_id", file_key(name, r"^(\d+)\?page").alias("file_key"))
 
 
-@query
-def catalog_xml_read(spark, folder):
+def _catalog_read(spark, folder, nested):
     path = fresh_path(spark, "catalog")
-    views.catalog_documents(spark, folder).write.partitionBy("part").text(path)
+    views.catalog_documents(spark, folder, nested).write.partitionBy("part").text(path)
     # A key per entry, as one written file holds many: the number that the entry's note ends with.
     shelves = F.array_join("shelves", "|").alias("shelves")
     entries = read_catalog(spark, path, "*")
@@ -134,6 +133,16 @@ def catalog_xml_read(spark, folder):
     return entries.select(number, "lang", shelves, F.regexp_replace("marc908", r" ?#\d+$", "").alias("marc908"))
 
 
+@query
+def catalog_xml_read(spark, folder):
+    return _catalog_read(spark, folder, nested=False)
+
+
+@query
+def catalog_xml_nested(spark, folder):
+    return _catalog_read(spark, folder, nested=True)
+
+
 # --- acquisition ---
 
 
@@ -310,6 +319,23 @@ def split_attached(spark, folder):
     )
 
 
+def _repeated_split(spark, folder):
+    return splitting.exact_split(views.repeated_keys(spark, folder), then_by=["text"])
+
+
+@query
+def split_repeated_keys(spark, folder):
+    """Keys that repeat and are missing: no row is lost and the size is exact."""
+    return _repeated_split(spark, folder).select("doc_id", "split", *_digest(F.col("text")))
+
+
+@query
+def split_attached_repeated(spark, folder):
+    assignment = stage(_repeated_split(spark, folder).select("doc_id", "split"), "assignment")
+    docs = splitting.attach_split(views.repeated_keys(spark, folder), assignment, then_by=["text"])
+    return docs.select("doc_id", "split", *_digest(F.col("text")))
+
+
 @query
 def split_written(spark, folder):
     path = fresh_path(spark, "split")
@@ -377,6 +403,25 @@ def tokens_bytes(spark, folder):
     return _bytes_digest(tokens.ByteTokenizer().transform(docs))
 
 
+def _subwords() -> subwords.SubwordTokenizer:
+    import public_tokenizers  # only these queries need the vocabulary file
+
+    return subwords.SubwordTokenizer(public_tokenizers.path("byte_bpe_50k.json"), eos="<|endoftext|>")
+
+
+@query
+def tokens_subword_ids(spark, folder):
+    return _ids_digest(_subwords().transform(tokens.stories(views.texts(spark, folder))))
+
+
+@query
+def tokens_subword_counts(spark, folder):
+    """How often, and in how many documents, each token of the vocabulary occurs."""
+    tokenizer = _subwords()
+    docs = stage(tokenizer.transform(tokens.stories(views.texts(spark, folder))), "tokens")
+    return subwords.token_counts(docs, tokenizer.vocabulary(spark)).withColumn("token", F.hex("token"))
+
+
 # --- packing ---
 
 

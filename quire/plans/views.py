@@ -143,8 +143,11 @@ def files(spark: SparkSession, folder: str) -> DataFrame:
     return d.select(F.concat(F.lit("/in/"), F.col("doc_id").cast("string"), F.lit(".txt")).alias("path"), content.alias("content"))
 
 
-def catalog_documents(spark: SparkSession, folder: str) -> DataFrame:
-    """RDF/XML documents as text, each with up to 50 books: ``(part, value)``."""
+def catalog_documents(spark: SparkSession, folder: str, nested: bool = False) -> DataFrame:
+    """RDF/XML documents as text, each with up to 50 books: ``(part, value)``.
+
+    ``nested`` puts the languages of odd entries two elements deeper.
+    """
 
     def element(tag: str, value: Column) -> Column:
         return F.concat(F.lit(f"<{tag}>"), value, F.lit(f"</{tag}>"))
@@ -155,8 +158,9 @@ def catalog_documents(spark: SparkSession, folder: str) -> DataFrame:
     number = F.col("book_id").cast("bigint")
     # Odd entries: an empty first language, a padded one, a padded category.
     language = F.when(number % 17 == 0, F.lit("")).when(number % 17 == 1, F.concat(F.lit(" "), "lang")).otherwise(F.col("lang"))
+    deeper = element("dcterms:hasFormat", element("pgterms:file", described("dcterms:language", language)))
     book = F.concat(
-        described("dcterms:language", language),
+        F.when(F.lit(nested) & (number % 2 == 1), deeper).otherwise(described("dcterms:language", language)),
         F.when(number % 17 == 0, described("dcterms:language", F.lit("en"))).otherwise(F.lit("")),
         F.array_join(F.transform("shelves", lambda s: described("pgterms:bookshelf", F.when(number % 19 == 0, F.concat(s, F.lit(" "))).otherwise(s))), ""),
         element("pgterms:marc908", F.concat(F.coalesce(F.concat("marc908", F.lit(" ")), F.lit("")), F.lit("#"), "book_id")),

@@ -63,6 +63,17 @@ def test_values_are_taken_as_they_stand(spark, folder):
     assert rows == {"1": (None, [" Fantasy "], None), "2": (" en ", [], None), "3": ("en", [], None)}
 
 
+def test_languages_at_any_depth(spark, folder):
+    inside = lambda lang: f"<dcterms:hasFormat><pgterms:file a='1'>{_described('dcterms:language', lang)}</pgterms:file></dcterms:hasFormat>"
+    entry = lambda *parts: "<pgterms:ebook rdf:about='x'>" + "".join(parts) + "</pgterms:ebook >"
+    direct = lambda lang: _described("dcterms:language", lang)
+    _write(folder, "pg1.rdf", entry(inside("en")), entry(inside("fr"), direct("en")), entry(direct("de"), inside("en")))
+    _write(folder, "pg2.rdf", "<!-- <pgterms:ebook></pgterms:ebook> --><pgterms:ebook/>", entry("<a/>", inside("a &amp; b"), "<!-- x -->"))
+    _write(folder, "pg3.rdf", entry(inside("en")), entry(inside("en")), cut=-30)
+    rows = sorted((r.book_id, r.lang or "") for r in read_catalog(spark, folder).collect())
+    assert rows == [("1", "de"), ("1", "en"), ("1", "fr"), ("2", ""), ("2", "a & b")]
+
+
 def test_curated_shelves_as_a_table(spark, ebooks):
     table = spark.createDataFrame([("Fantasy",), ("Folklore",), ("Fantasy",), ("None",)], "shelf string")
     names = ["Fantasy", "Folklore", "None"]

@@ -13,10 +13,11 @@ def engine(small):
 
 
 def test_every_query_has_sql():
-    assert set(QUERIES) == set(SQL)
+    # Merges are beyond SQL: tests/test_subwords.py compares with another encoder.
+    assert set(QUERIES) - set(SQL) == {"tokens_subword_ids", "tokens_subword_counts"} and set(SQL) <= set(QUERIES)
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(SQL))
 def test_same_as_sql(spark, engine, small, name):
     df = QUERIES[name](spark, small)
     types = {n: TYPES[t] for n, t in df.dtypes}

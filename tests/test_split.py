@@ -42,11 +42,48 @@ def test_looks_closer_into_a_large_cell(spark, monkeypatch):
     assert {r.doc_id for r in rows if r.split == "train"} == _expected(range(2000), 0.5, 42)
 
 
-def test_repeated_keys_are_refused(spark, monkeypatch):
-    monkeypatch.setattr(splitting, "_SMALL_CELL", 5)
-    df = spark.createDataFrame([("same",)] * 50, "doc_id string")
-    with pytest.raises(ValueError, match="not unique"):
-        exact_split(df, ratio=0.5)
+def _order(row, seed, then_by=True):
+    md5 = lambda *parts: hashlib.md5(":".join([str(seed), *[p for p in parts if p is not None]]).encode()).hexdigest()
+    return md5(row[0]) + (md5(row[1]) if then_by else "")
+
+
+REPEATED = [(k, f"t{i % 7}") for i in range(200) for k in [None, "a", "b", "hot", "hot", "hot", str(i)][i % 7 :][:1]]
+
+
+@pytest.mark.parametrize("then_by", [("text",), ()])
+@pytest.mark.parametrize("small_cell", [10_000, 3])
+def test_repeated_and_missing_keys(spark, monkeypatch, then_by, small_cell):
+    monkeypatch.setattr(splitting, "_SMALL_CELL", small_cell)
+    df = spark.createDataFrame(REPEATED, "doc_id string, text string").repartition(5)
+    for seed in range(2):
+        for ratio in (0.02, 0.5, 0.8):
+            split = exact_split(df, ratio=ratio, seed=seed, then_by=then_by)
+            rows = split.collect()
+            train = sorted((r.doc_id, r.text) for r in rows if r.split == "train" and r.doc_id is not None)
+            assert len(rows) == len(REPEATED)
+            assert sum(r.split == "train" for r in rows) == int(len(REPEATED) * ratio)
+            wanted = sorted(REPEATED, key=lambda row: _order(row, seed, bool(then_by)))[: int(len(REPEATED) * ratio)]
+            if then_by:
+                assert train == sorted(r for r in wanted if r[0] is not None)
+            else:
+                assert [k for k, _ in train] == sorted(k for k, _ in wanted if k is not None)
+
+
+def test_one_key_only(spark):
+    df = spark.createDataFrame([("same", "x")] * 50 + [("same", "y")] * 50, "doc_id string, text string").repartition(7)
+    for then_by in ((), ("text",)):
+        assert {r.split: r.n_docs for r in split_sizes(exact_split(df, ratio=0.3, then_by=then_by)).collect()} == {"train": 30, "val": 70}
+
+
+def test_attach_repeated_and_missing_keys(spark):
+    df = spark.createDataFrame(REPEATED, "doc_id string, text string").repartition(5)
+    for ratio in (0.1, 0.5, 0.9):
+        split = exact_split(df, ratio=ratio, then_by=["text"])
+        stored = split.select("doc_id", "split")
+        got = attach_split(df, stored, then_by=["text"]).collect()
+        assert sorted(map(repr, got)) == sorted(map(repr, split.collect()))
+    one = spark.createDataFrame([("q", "train")], "doc_id string, split string")
+    assert attach_split(df, one).collect() == []
 
 
 @pytest.mark.parametrize("ratio", [0, 1, -0.1, 1.5])

@@ -1,0 +1,93 @@
+import json
+import random
+
+import pytest
+
+from quire.operators import subwords as S
+from quire.operators.tokens import special_ids
+
+public_tokenizers = pytest.importorskip("public_tokenizers")
+PATH, EOS = public_tokenizers.path("byte_bpe_50k.json"), "<|endoftext|>"
+
+
+@pytest.fixture(scope="module")
+def library():
+    """The library's own encoder of the same file."""
+    return pytest.importorskip("tokenizers").Tokenizer.from_file(PATH)
+
+
+def _frame(spark, texts):
+    return spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string").repartition(3)
+
+
+def _check(spark, library, texts):
+    got = {r.doc_id: r.tokens for r in S.SubwordTokenizer(PATH, EOS).transform(_frame(spark, texts)).collect()}
+    for i, text in enumerate(texts):
+        assert got[i] == library.encode(f"{text or ''}\n{EOS}\n", add_special_tokens=False).ids, text
+
+
+def test_given_documents(spark, small, library):
+    _check(spark, library, [r.text for r in spark.read.parquet(f"{small}/documents.parquet").collect()])
+
+
+def test_odd_texts(spark, library):
+    draw = random.Random(7)
+    letters = "abé漢字ก'　 \x85\x1c \t\n\r12٣.,!-_😀s​ll" + "  "
+    texts = ["".join(draw.choice(letters) for _ in range(draw.randrange(40))) for _ in range(1500)]
+    _check(spark, library, [*texts, None, "", " ", "\n\n", "it's we'll", EOS, f"a {EOS}{EOS} b", f"<|{EOS}|>"])
+
+
+def test_long_words_and_blanks(spark, library):
+    _check(spark, library, ["ab" * 20_000, "x" * 30_001, " " * 30_000 + "y", "漢" * 5_000])
+
+
+def test_forgets_words_when_there_are_many(monkeypatch, library):
+    monkeypatch.setattr(S, "REMEMBERED_WORDS", 3)
+    t = S.SubwordTokenizer(PATH, EOS)
+    known = S.Merges(t.ids, t.ranks, t.whole_words)
+    for word in ["one", "two", "three", "four", "one", "unbelievably"]:
+        assert known[word] == library.encode(word, add_special_tokens=False).ids
+        assert len(known) <= 3
+
+
+def test_small_vocabulary(spark, tmp_path):
+    """Merges by hand: ``ab`` first, then ``abc``; whole words before merges where the file says so."""
+    vocab = {c: i for i, c in enumerate("abcĊĠ")} | {"ab": 5, "bc": 6, "abc": 7, "<e>": 8, "<p>": 9, "cab": 10}
+    added = [{"content": "<e>", "id": 8}, {"content": "<p>", "id": 9}]
+    for whole, expected in ((False, [2, 5]), (True, [10])):
+        model = {"vocab": vocab, "merges": [["a", "b"], ["b", "c"], ["ab", "c"]], "ignore_merges": whole}
+        path = tmp_path / "v.json"
+        path.write_text(json.dumps({"model": model, "added_tokens": added}))
+        t = S.SubwordTokenizer(str(path), "<e>", pad="<p>")
+        got = {r.doc_id: r.tokens for r in t.transform(_frame(spark, ["abc", "cab", "bcabab", "<p>a"])).collect()}
+        end = [3, 8, 3]
+        assert got == {0: [7, *end], 1: [*expected, *end], 2: [6, 5, 5, *end], 3: [9, 0, *end]}
+        row = special_ids(t, spark).first()
+        assert (row.vocab_size, row.bos_id, row.eos_id, row.pad_id) == (11, None, 8, 9)
+
+
+def test_vocabulary_table(spark):
+    rows = S.SubwordTokenizer(PATH, EOS).vocabulary(spark).collect()
+    assert sorted(r.id for r in rows) == list(range(50257))
+    assert [bytes(r.token) for r in rows if r.added] == [EOS.encode()]
+    assert {bytes([b]) for b in range(256)} <= {bytes(r.token) for r in rows}
+
+
+def test_queries(spark, small, library):
+    import hashlib
+    from collections import Counter
+
+    from quire.plans.queries import QUERIES
+
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{small}/documents.parquet").collect()}
+    ids = {i: library.encode(f"{t.strip()}\n{EOS}\n", add_special_tokens=False).ids for i, t in texts.items() if t and t.strip()}
+    got = {r.doc_id: (r.n_tokens, r.ids_md5) for r in QUERIES["tokens_subword_ids"](spark, small).collect()}
+    assert got == {d: (len(x), hashlib.md5(" ".join(map(str, x)).encode()).hexdigest()) for d, x in ids.items()}
+    n, docs = Counter(i for x in ids.values() for i in x), Counter(i for x in ids.values() for i in set(x))
+    rows = QUERIES["tokens_subword_counts"](spark, small).collect()
+    assert {r.id: (r.n, r.n_docs) for r in rows} == {i: (n[i], docs[i]) for i in range(50257)}
+
+
+def test_needs_its_eos():
+    with pytest.raises(ValueError):
+        S.SubwordTokenizer(PATH, "</nothing>")

@@ -73,37 +73,6 @@ def test_stories(docs):
     }
 
 
-@pytest.fixture(scope="module")
-def stored():
-    tokenizers = pytest.importorskip("tokenizers")
-    model = tokenizers.Tokenizer(tokenizers.models.BPE(unk_token="<unk>"))
-    model.pre_tokenizer = tokenizers.pre_tokenizers.ByteLevel(add_prefix_space=False)
-    trainer = tokenizers.trainers.BpeTrainer(
-        vocab_size=400,
-        special_tokens=["<unk>", "<eos>", "<bos>"],
-        initial_alphabet=tokenizers.pre_tokenizers.ByteLevel.alphabet(),
-        show_progress=False,
-    )
-    model.train_from_iterator(TEXTS * 3, trainer)
-    return model
-
-
-def test_stored_tokenizer(docs, stored, spark):
-    tokenizer = T.StoredTokenizer(stored.to_str(), eos="<eos>", bos="<bos>")
-    assert tokenizer.pad_id == tokenizer.eos_id == 1
-    got = _ids(tokenizer.transform(docs))
-    for i, text in enumerate(TEXTS):
-        ids = stored.encode(f"{text}\n<eos>\n", add_special_tokens=False).ids
-        assert got[str(i)] == ids and 1 in ids
-    row = T.special_ids(tokenizer, spark).first()
-    assert (row.vocab_size, row.bos_id, row.eos_id, row.pad_id) == (stored.get_vocab_size(), 2, 1, 1)
-
-
-def test_stored_tokenizer_needs_its_eos(stored):
-    with pytest.raises(ValueError):
-        T.StoredTokenizer(stored.to_str(), eos="</nothing>")
-
-
 def test_framing(spark):
     framed = spark.createDataFrame([("x",)], "t string").select(T.frame(F.col("t"), "<eos>")).first()[0]
     assert framed == "x\n<eos>\n"
