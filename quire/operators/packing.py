@@ -32,12 +32,16 @@ def _quotient(a: Column, b: int) -> Column:
     return F.call_function("div", a.cast("bigint"), F.lit(b).cast("bigint"))
 
 
-def last_chunk(total: Column, length: int, overlap: int) -> Column:
-    """Number of the last chunk of a stream of ``total`` tokens; -1 when there is none."""
+def last_chunk(total: Column, length: int, overlap: int, least_rest: int | None = None) -> Column:
+    """Number of the last chunk of a stream of ``total`` tokens; -1 when there is none.
+
+    A rest of ``least_rest`` tokens or fewer, half a chunk if not given, is no chunk.
+    """
+    least_rest = length // 2 if least_rest is None else least_rest
     stride = length - overlap
     full = F.when(total < length, F.lit(0)).otherwise(_quotient(total - length, stride) + 1)
     rest = total - full * stride
-    return F.when(rest > length // 2, full).otherwise(full - 1)
+    return F.when(rest > least_rest, full).otherwise(full - 1)
 
 
 def counted(tokens: DataFrame) -> DataFrame:
@@ -73,6 +77,7 @@ def pack(
     by: str = "split",
     key: str = "doc_id",
     then_by: Sequence[str] = (),
+    least_rest: int | None = None,
 ) -> DataFrame:
     """Pack ``(by, key, tokens)`` into ``(by, chunk_id, input_ids)``.
 
@@ -81,9 +86,10 @@ def pack(
 
     The tokens are written once, in segments of at most ``SEGMENT_CHUNKS`` chunks. Stream offsets
     come from the narrow columns alone and are written too. Where there are few, they go to the
-    segments; else the token arrays are moved once, to meet them. All pieces of chunks are cut in one pass. A
-    chunk that lies within one segment is ready then. Only the pieces around segment borders are
-    moved and put together; such a group has at most ``max_length`` tokens, so none is hot.
+    segments; else the token arrays are moved to meet them. A chunk that lies within one segment is cut
+    where it is, and written nowhere in between. Only the pieces around segment borders, which a second
+    look at the written table cuts, are moved and put together; such a group has at most ``max_length``
+    tokens, so none is hot.
     """
     if not 0 <= overlap < max_length:
         raise ValueError(f"need 0 <= overlap < max_length, got {overlap} and {max_length}")
@@ -97,31 +103,37 @@ def pack(
 
     start, end = F.col("offset"), F.col("offset") + F.col("n_tokens")
     touching = F.when(start < max_length, F.lit(0)).otherwise(_quotient(start - max_length, stride) + 1)
-    last = F.least(_quotient(end - 1, stride), last_chunk(F.col("total"), max_length, overlap))
+    last = F.least(_quotient(end - 1, stride), last_chunk(F.col("total"), max_length, overlap, least_rest))
     few = starts.count() <= MAX_SHARED_SEGMENTS
     placed = table.drop("n_tokens").join(F.broadcast(starts) if few else starts, ["_row", "segment"])
     placed = placed.withColumns({"_first": touching.cast("bigint"), "_last": last.cast("bigint")})
+    if not few:
+        placed = stage(placed, "placed")  # moved once, looked at twice
+
+    def is_whole(chunk: Column) -> Column:
+        # No other segment has a token of this chunk.
+        return (start <= chunk * stride) & (F.least(chunk * stride + max_length, F.col("total")) <= end)
 
     def piece(chunk: Column) -> Column:
         low = F.greatest(start, chunk * stride)
         high = F.least(end, chunk * stride + max_length)
         part = F.slice("tokens", (low - start + 1).cast("int"), (high - low).cast("int"))
-        # Whole: no other segment has a token of this chunk.
-        whole = (start <= chunk * stride) & (F.least(chunk * stride + max_length, F.col("total")) <= end)
-        return F.struct(chunk.alias("chunk_id"), low.alias("low"), part.alias("part"), whole.alias("whole"))
-
-    # Built inside one expression: exploding chunk numbers beside the token array would copy the
-    # whole array once per chunk.
-    chunks = F.when(F.col("_first") <= F.col("_last"), F.transform(F.sequence("_first", "_last"), piece))
-    pieces = stage(placed.select(by, F.inline(chunks)), "pieces")
+        return F.struct(chunk.alias("chunk_id"), low.alias("low"), part.alias("part"))
+
+    def pieces(wanted) -> DataFrame:
+        # Built inside one expression: exploding chunk numbers beside the token array would copy the
+        # whole array once per chunk.
+        chunks = F.when(F.col("_first") <= F.col("_last"), F.sequence("_first", "_last"))
+        return placed.select(by, F.inline(F.transform(F.filter(chunks, wanted), piece)))
+
     parts = F.array_sort(F.collect_list(F.struct("low", "part")))
     joined = (
-        pieces.filter("not whole")
+        pieces(lambda c: ~is_whole(c))
         .groupBy(by, "chunk_id")
         .agg(parts.alias("_parts"))
         .select(by, "chunk_id", F.flatten(F.col("_parts.part")).alias("input_ids"))
     )
-    return pieces.filter("whole").select(by, "chunk_id", F.col("part").alias("input_ids")).unionByName(joined)
+    return pieces(is_whole).select(by, "chunk_id", F.col("part").alias("input_ids")).unionByName(joined)
 
 
 def with_labels(packed: DataFrame) -> DataFrame:

@@ -404,6 +404,8 @@ ORACLES["pack_offsets"] = _with(*_STREAM) + (
 )
 ORACLES["pack_chunks"] = _with(*_STREAM, _chunks(256, 32)) + _CHUNK_COLUMNS
 ORACLES["pack_chunks_large"] = _with(*_STREAM, _chunks(1024, 128)) + _CHUNK_COLUMNS
+_APPENDED = _PLACED.replace("ORDER BY ", "ORDER BY CASE WHEN doc_id % 3 = 1 THEN 1 ELSE 0 END, ", 1)
+ORACLES["pack_appended"] = _with(*_STREAM[:-1], _APPENDED, _chunks(256, 32)) + _CHUNK_COLUMNS
 ORACLES["pack_repeated_keys"] = _with(
     """keyed AS (SELECT doc_id AS number, CASE WHEN doc_id % 13 <> 0 THEN CAST(doc_id % 40 AS VARCHAR) END AS name, text
   FROM documents)""",

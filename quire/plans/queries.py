@@ -15,6 +15,7 @@ from quire.operators import cleaning as gating
 from quire.plans import views
 from quire.plans.corpus import CorpusSettings, build_corpus
 from quire.sinks import tables
+from quire.sinks.packed_store import PackedStore
 from quire.sources.catalog import read_catalog
 from quire.sources.ids import numeric_order, parse_ids, read_ids
 from quire.sources.packed import read_packed, split_counts
@@ -472,6 +473,17 @@ def pack_repeated_keys(spark, folder):
     return _chunk_digest(packing.pack(tokenizer.transform(split), LENGTH, OVERLAP, then_by=["tie"]))
 
 
+@query
+def pack_appended(spark, folder):
+    """Two batches of stories packed one after the other, and a batch that is there already."""
+    table = stage(_split_tokens(spark, folder), "tokens")
+    store = PackedStore(spark, fresh_path(spark, "store"), LENGTH, OVERLAP)
+    first, second = table.filter("doc_id % 3 <> 1"), table.filter("doc_id % 3 = 1")
+    for batch, rows in (("first", first), ("second", second), ("first", first)):
+        store.append(rows, batch)
+    return _chunk_digest(store.read())
+
+
 @query
 def pack_report(spark, folder):
     table = stage(_split_tokens(spark, folder), "tokens")
