@@ -40,15 +40,25 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = fresh_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.staged_path = path
+    return table
 
 
+def drop(*tables: DataFrame) -> None:
+    """Remove tables that ``stage`` returned, once what was made of them has been written itself."""
+    for table in tables:
+        _remove(table.sparkSession, table.staged_path)
+
 
 def retire(spark: SparkSession) -> None:
     """Remove all written intermediate tables of this application.
 
     Results that still read them must have been written before.
     """
-    folder = f"{shared_folder(spark)}/quire/{spark.sparkContext.applicationId}"
+    _remove(spark, f"{shared_folder(spark)}/quire/{spark.sparkContext.applicationId}")
+
+
+def _remove(spark: SparkSession, folder: str) -> None:
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

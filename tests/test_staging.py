@@ -41,6 +41,12 @@ def test_staged_table(spark):
     assert files and all(f"/quire/{spark.sparkContext.applicationId}/numbers-" in f for f in files)
 
 
+def test_drop_removes_one_table(spark):
+    kept, gone = (staging.stage(spark.range(5), name) for name in ("kept", "gone"))
+    staging.drop(gone)
+    assert not os.path.exists(gone.staged_path) and kept.count() == 5
+
+
 def test_retire_removes_what_was_written(spark):
     table = staging.stage(spark.range(5), "gone")
     assert table.count() == 5
