@@ -3,7 +3,7 @@
 Alternating large-star and small-star rounds: each is a minimum per node (combined before the
 shuffle, so a hub with a third of all edges is one row per task) joined back to the edges. The
 table never grows, links are never collected, and every round is a written table, so a lost
-executor costs no more than the round it was in. ``O(log n)`` rounds.
+executor costs no more than the round it was in; a round's table goes when the next one is written. ``O(log n)`` rounds.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.staging import stage
+from quire.staging import drop, stage
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -36,17 +36,20 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     """``(id, component)`` for every node with an edge; ``component`` is its smallest node.
 
     ``edges`` is ``(a bigint, b bigint)`` in any direction. Null ends, self-links and repeats are
-    ignored. No edges give no rows.
+    ignored. No edges give no rows. The result reads a written table that ``drop`` removes.
     """
     oriented = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     oriented = oriented.filter("a is not null and b is not null and a != b")
     current = stage(oriented.distinct(), name)
     before = _state(current)
     while before[0]:
-        current = stage(_small_star(_large_star(current).distinct()).distinct(), name)
+        last, current = current, stage(_small_star(_large_star(current).distinct()).distinct(), name)
+        drop(last)
         after = _state(current)
         if after == before:
             break
         before = after
     roots = current.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct()
-    return current.select(F.col("a").alias("id"), F.col("b").alias("component")).unionByName(roots)
+    found = current.select(F.col("a").alias("id"), F.col("b").alias("component")).unionByName(roots)
+    found.staged_path = current.staged_path
+    return found

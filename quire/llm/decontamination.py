@@ -208,12 +208,12 @@ def _span_lists(spans: list[list[tuple[int, int]]]) -> list[list[dict]]:
     return [[{"first": a, "last": b} for a, b in s] for s in spans]
 
 
-def item_blocks(items: DataFrame) -> Iterator[list[tuple[int, str]]]:
+def item_blocks(items: DataFrame) -> Iterator[list[tuple[str | None, str]]]:
     """Items as lists of about ``BLOCK_WORDS`` words, one after the other."""
     length = F.coalesce(F.length("text"), F.lit(0)).cast("bigint")
-    named = items.filter("item_id is not null and text is not null").select(
-        F.col("item_id").cast("bigint").alias("item_id"), F.col("text").cast("string").alias("text")
-    )
+    # Ids as text behind a mark; an item without id hits like any other and is not named.
+    key = F.coalesce(F.concat(F.lit("="), F.col("item_id").cast("string")), F.lit(""))
+    named = items.filter("text is not null").select(key.alias("item_id"), F.col("text").cast("string").alias("text"))
     sized = named.groupBy("item_id", "text").agg(F.first(length / 2 + 1).cast("bigint").alias("size"))
     placed = running_offsets(sized.select("item_id", "size", F.xxhash64("text").alias("h")), [F.col("item_id"), F.col("h")], "size")
     block = F.floor(F.col("offset") / BLOCK_WORDS)
@@ -222,7 +222,7 @@ def item_blocks(items: DataFrame) -> Iterator[list[tuple[int, str]]]:
     for number in sorted(numbers):
         mine = placed.filter(F.col("block") == number).select("item_id", "h").distinct()
         rows = sized.withColumn("h", F.xxhash64("text")).join(mine, ["item_id", "h"]).select("item_id", "text").collect()
-        yield sorted((r.item_id, r.text) for r in rows)
+        yield [(key[1:] if key else None, text) for key, text in sorted((r.item_id, r.text) for r in rows)]
 
 
 def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -234,11 +234,11 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> Da
         F.col("text").cast("string").alias("text"),
         F.lit(0).cast("bigint").alias("n_words"),
         F.array().cast(SPANS).alias("spans"),
-        F.array().cast("array<bigint>").alias("items"),
+        F.array().cast("array<string>").alias("items"),
     )
     schema = marked.schema
 
-    def passed(before: DataFrame, block: list[tuple[int, str]]) -> DataFrame:
+    def passed(before: DataFrame, block: list[tuple[str | None, str]]) -> DataFrame:
         shared, name = spark.sparkContext.broadcast(block), uuid.uuid4().hex
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -247,7 +247,7 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> Da
                 rows = scan(automaton, batch["text"].to_pylist())
                 earlier = [[(s["first"], s["last"]) for s in x] for x in batch["spans"].to_pylist()]
                 spans = [merged(e + hits) for e, (_, hits, _) in zip(earlier, rows)]
-                found = [sorted({*e, *f}) for e, (_, _, f) in zip(batch["items"].to_pylist(), rows)]
+                found = [sorted({*e, *f} - {None}) for e, (_, _, f) in zip(batch["items"].to_pylist(), rows)]
                 columns = [
                     batch["row"],
                     batch["text"],
@@ -314,7 +314,7 @@ def _cut(texts: pa.Array, spans: pa.Array) -> pa.Array:
 
 def contamination_rows(docs: DataFrame, items: DataFrame) -> DataFrame:
     """Counts and a digest of the items per document."""
-    named = F.array_sort(F.transform("items", lambda i: i.cast("string")))
+    named = F.array_sort("items")
     n_hit = F.expr("aggregate(spans, 0L, (n, s) -> n + s.last - s.first + 1)")
     return contamination(docs, items).select(
         F.col("row.doc_id").alias("doc_id"),
@@ -331,7 +331,7 @@ _SQL_WORDS = (
     "'[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
 )
 ORACLE = f"""
-WITH items AS (SELECT item_id, {_SQL_WORDS} AS w FROM benchmark WHERE text IS NOT NULL AND item_id IS NOT NULL),
+WITH items AS (SELECT item_id, {_SQL_WORDS} AS w FROM benchmark WHERE text IS NOT NULL),
 windows AS (
   SELECT DISTINCT item_id, w[i:i + least(len(w), 10) - 1] AS g
   FROM items, unnest(generate_series(1, len(w) - least(len(w), 10) + 1)) AS u(i) WHERE len(w) > 0),
@@ -342,7 +342,7 @@ places AS (
 found AS (SELECT doc_id, i, k, item_id FROM places JOIN windows USING (g)),
 hit AS (SELECT doc_id, count(DISTINCT p) AS n FROM found, unnest(generate_series(i, i + k - 1)) AS u(p) GROUP BY doc_id),
 named AS (
-  SELECT doc_id, count(*) AS n, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids
+  SELECT doc_id, count(item_id) AS n, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids
   FROM (SELECT DISTINCT doc_id, item_id FROM found) GROUP BY doc_id)
 SELECT doc_id, len(w) AS n_words, coalesce(hit.n, 0) AS n_hit, coalesce(named.n, 0) AS n_items,
   sha256(coalesce(ids, '')) AS items_sha256, coalesce(hit.n, 0) > 0 AS contaminated

@@ -2,8 +2,8 @@
 
 The network is numpy code: a gated recurrent layer of ``HIDDEN`` units per direction over the bytes of
 the lower-cased text, and a softmax over the learned languages at every position. It is trained by
-backpropagation through time with Adam on a bounded sample: about ``SAMPLE`` documents per language
-(chosen by a hash of their id, of all training documents), of each ``SNIPPETS`` snippets of
+backpropagation through time with Adam on a bounded sample: at most ``SAMPLE`` documents per language
+(chosen by a hash of id and text, of all training documents), of each ``SNIPPETS`` snippets of
 ``SNIPPET`` characters. At most the ``MAX_LANGUAGES`` commonest languages are learned.
 
 Prediction reads whole texts. A text is cut into segments of ``SEGMENT`` bytes that are run side by side, every
@@ -23,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 FOLDS, HELD_OUT = 4, 2
@@ -194,7 +194,7 @@ def label_texts(network: BidirectionalGru, texts: list[str]) -> np.ndarray:
 
 
 def training_sample(docs: DataFrame) -> list[tuple[str, str]]:
-    """``(language, snippet)`` of about ``SAMPLE`` training documents per language."""
+    """``(language, snippet)`` of at most ``SAMPLE`` training documents per language, chosen by a hash of id and text."""
     number = F.coalesce(F.col("doc_id").cast("bigint").cast("string"), F.lit(""))
     text = F.col("text").cast("string")
     labelled = docs.filter(F.col("lang").isNotNull() & text.isNotNull() & (F.crc32(number) % FOLDS != HELD_OUT))
@@ -202,38 +202,44 @@ def training_sample(docs: DataFrame) -> list[tuple[str, str]]:
     counts = counts.orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
     if not counts:
         return []
-    share = F.create_map(*[F.lit(x) for r in counts for x in (r.lang, min(1.0, SAMPLE / r["count"]))])
-    place = (F.xxhash64(number) / F.lit(2.0**64) + 0.5).cast("double")
-    chosen = labelled.filter(place < F.try_element_at(share, F.col("lang").cast("string")))
+    share = F.create_map(*[F.lit(x) for r in counts for x in (r.lang, min(1.0, 1.2 * SAMPLE / r["count"]))])
+    # Equal rows have one place, so a hot id or a repeated row is chosen once.
+    place = F.xxhash64(number, text)
+    some = (place / F.lit(2.0**64) + 0.5) < F.try_element_at(share, F.col("lang").cast("string"))
     spot = lambda k: F.floor(F.pmod(F.xxhash64(number, F.lit(k)), F.greatest(F.length(text) - SNIPPET + 1, F.lit(1)))).cast("int")
     snippets = F.array(*[F.substring(text, spot(k) + 1, F.lit(SNIPPET)) for k in range(SNIPPETS)])
-    rows = chosen.select(F.col("lang").cast("string").alias("lang"), F.explode(snippets).alias("snippet")).collect()
+    chosen = labelled.filter(some).select(F.col("lang").cast("string").alias("lang"), place.alias("place"), snippets.alias("snippets"))
+    once = chosen.groupBy("lang", "place").agg(F.min("snippets").alias("snippets"))
+    nearest = F.row_number().over(Window.partitionBy("lang").orderBy("place"))
+    rows = once.withColumn("_at", nearest).filter(F.col("_at") <= SAMPLE).select("lang", F.explode("snippets").alias("snippet")).collect()
     return [(r.lang, r.snippet) for r in rows]
 
 
 _NETWORKS: dict[str, BidirectionalGru] = {}
 
 
-def predict(docs: DataFrame, network: BidirectionalGru | None) -> DataFrame:
-    """``(row, lang_pred, score)``: ``row`` is the document as a struct."""
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("text").cast("string").alias("text"))
-    marked = rows.withColumns({"lang_pred": F.lit(UNKNOWN), "score": F.lit(0.0)})
+def predict(docs: DataFrame, network: BidirectionalGru | None, returned: list[str] | None = None) -> DataFrame:
+    """``(row, lang_pred, score)``: ``row`` has the ``returned`` columns of the document, all if not given."""
+    returned = docs.columns if returned is None else returned
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    out = docs.select(F.struct(*[F.col(f"`{c}`") for c in returned]).alias("row"))
+    out = out.withColumns({"lang_pred": F.lit(UNKNOWN), "score": F.lit(0.0)}).schema
     shared, name = docs.sparkSession.sparkContext.broadcast(network), uuid.uuid4().hex
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = _NETWORKS.setdefault(name, shared.value)
         for whole in batches:
             for low in range(0, whole.num_rows, 128):
-                batch = whole.slice(low, 128)
-                texts = batch["text"].to_pylist()
+                row = whole.slice(low, 128)["row"]
+                texts = row.field("text").cast(pa.string()).to_pylist()
                 known = [i for i, t in enumerate(texts) if has_letter(t)] if model else []
                 languages, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
                 for i, p in zip(known, label_texts(model, [texts[i] for i in known]) if known else ()):
                     languages[i], scores[i] = model.languages[int(p.argmax())], min(1.0, float(p.max()))
-                columns = [batch["row"], pa.array(languages, pa.string()), pa.array(scores, pa.float64())]
-                yield pa.RecordBatch.from_arrays(columns, ["row", "lang_pred", "score"])
+                kept = pa.StructArray.from_arrays([row.field(c) for c in returned], returned)
+                yield pa.RecordBatch.from_arrays([kept, pa.array(languages, pa.string()), pa.array(scores, pa.float64())], ["row", "lang_pred", "score"])
 
-    return marked.select("row", "text", "lang_pred", "score").mapInArrow(label, marked.select("row", "lang_pred", "score").schema)
+    return rows.mapInArrow(label, out)
 
 
 def identify(docs: DataFrame) -> DataFrame:
@@ -243,6 +249,7 @@ def identify(docs: DataFrame) -> DataFrame:
 
 def language_rows(docs: DataFrame) -> DataFrame:
     number = F.coalesce(F.col("row.doc_id").cast("bigint").cast("string"), F.lit(""))
-    return identify(docs).select(
+    found = predict(docs.select("doc_id", "text"), train(training_sample(docs)), ["doc_id"])
+    return found.select(
         F.col("row.doc_id").alias("doc_id"), (F.crc32(number) % FOLDS == HELD_OUT).alias("held_out"), "lang_pred", "score"
     )

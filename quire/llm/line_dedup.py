@@ -2,7 +2,7 @@
 
 1. Lines with a word are normalised (lower case, words only; letters of scripts without spaces are words of their
    own) and get an id (a 64-bit hash of the normalised words). Lines with equal words are one node with a count.
-2. Two lines are linked if their word edit similarity is 0.8 or more (words as 16-bit hashes). The
+2. Two lines are linked if their word edit similarity is 0.8 or more (words as 32-bit hashes). The
    search is complete. With ``n`` words in the longer line, at most ``k = n // 5`` edits are allowed, and each
    changes at most three word triples, so the lines have ``n - 2 - 3 k`` or more triples in common. Of two lists sorted
    by one order (here by hash), the first few then hold a common one: a line's keys are its first
@@ -11,10 +11,14 @@
 3. Groups are connected components. Of each group with more than one occurrence the first stays,
    by ``(doc_id, hash of the text, line number)``; the others are removed from their documents.
 
-A key shared by many lines is not expanded into pairs. Every line is first compared with the commonest
+SimHash is not used: a link at 0.8 differs in a fifth of the bits of a SimHash of any width, so that a key of 16 bits
+is shared with a chance of 0.025 and one of 32 bits with 0.0006. Recall 0.9 takes about 90 keys of 16 bits a line, and such
+keys are shared by chance with every 65,536th line.
+
+A key shared by many similar lines is not expanded into pairs. Every line is first compared with the commonest
 line that it shares a key with (the original, as a rule). Lines that ended in the same component need no further comparison; those
 outside their key's largest component are then compared with the key's lines in other components. No
-link between components is lost.
+link between components is lost. A key that many lines share that are not similar is expanded in this last step.
 
 Defined cases: null texts stay null, empty ones empty; lines without words stay. Rows with equal
 ``doc_id`` and text are one document and are treated alike. Other columns pass unchanged. A 64-bit
@@ -26,7 +30,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from itertools import chain, combinations
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -36,14 +40,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quire.llm.components import components
-from quire.staging import stage
+from quire.staging import drop, stage
 
 # Equal lines of any length are linked, if there is a word in them.
 MIN_WORDS = 1
 SIMILARITY = 0.8
-# SimHash blocks as tests compare them; the search does not use them, since they miss most lines at 0.8.
-BLOCKS, EQUAL = (16, 16, 16, 16), 2
-MAX_DISTANCE = 8
 # Line ids and numbers are handed to every task up to this many (8 bytes each); beyond it rows are shuffled to them.
 MAX_SHARED_LINES = 2_000_000
 
@@ -84,33 +85,6 @@ def word_hashes(lines: list[list[bytes]]) -> np.ndarray:
     return np.fromiter(map(_HASHES.__getitem__, chain.from_iterable(lines)), np.uint64, sum(map(len, lines)))
 
 
-def word_pairs(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """Hashes of neighbouring words; a line of ``n`` words has ``n - 1``."""
-    pairs = hashes[:-1] * np.uint64(0x9E3779B97F4A7C15) + hashes[1:]
-    pairs = (pairs ^ pairs >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9)
-    return np.delete(pairs ^ pairs >> np.uint64(32), np.cumsum(sizes)[:-1] - 1)
-
-
-def simhashes(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """SimHash of the hashes of each line (none is empty), as signed numbers.
-
-    Eight bits are counted at a time, one in each byte of a word of 64; a byte counts to 255, so
-    longer lines are counted in parts.
-    """
-    starts = np.cumsum(sizes) - sizes
-    parts = -(-sizes // 255)
-    owner = np.repeat(np.arange(len(sizes)), parts)
-    within = np.arange(len(owner)) - np.repeat(np.cumsum(parts) - parts, parts)
-    part_starts, line_starts = starts[owner] + 255 * within, np.cumsum(parts) - parts
-    out = np.zeros(len(sizes), np.uint64)
-    for bit in range(8):
-        lanes = np.add.reduceat(hashes >> np.uint64(bit) & np.uint64(0x0101010101010101), part_starts)
-        counts = np.add.reduceat(lanes.view(np.uint8).reshape(-1, 8).astype(np.int64), line_starts, axis=0)
-        majority = (2 * counts > sizes[:, None]).astype(np.uint64)
-        out |= (majority << (np.arange(8, dtype=np.uint64) * np.uint64(8) + np.uint64(bit))).sum(axis=1, dtype=np.uint64)
-    return out.view(np.int64)
-
-
 def _signed(value: int) -> int:
     return value - (1 << 64) if value >> 63 else value
 
@@ -144,9 +118,9 @@ def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _short_words(hashes: np.ndarray, sizes: np.ndarray) -> pa.Array:
-    """The words of each line as 16-bit numbers, in one binary value."""
-    offsets = np.concatenate([[0], np.cumsum(2 * sizes)]).astype(np.int32)
-    content = hashes.astype("<u2").tobytes()
+    """The words of each line as 32-bit numbers, in one binary value."""
+    offsets = np.concatenate([[0], np.cumsum(4 * sizes)]).astype(np.int32)
+    content = hashes.astype("<u4").tobytes()
     return pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(content)])
 
 
@@ -182,24 +156,12 @@ def similar(a: list, b: list, least: float = SIMILARITY) -> bool:
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         kept = [
-            similar(np.frombuffer(a, "<u2").tolist(), np.frombuffer(b, "<u2").tolist())
+            similar(np.frombuffer(a, "<u4").tolist(), np.frombuffer(b, "<u4").tolist())
             for a, b in zip(batch["words_a"].to_pylist(), batch["words_b"].to_pylist())
         ]
         yield pa.RecordBatch.from_arrays([batch["a"], batch["b"]], ["a", "b"]).filter(pa.array(kept, pa.bool_()))
 
 
-def block_keys(sim: Column) -> Column:
-    """A key for every choice of ``EQUAL`` blocks: the choice and the bits of its blocks."""
-    keys, starts = [], [sum(BLOCKS[:i]) for i in range(len(BLOCKS))]
-    for number, chosen in enumerate(combinations(range(len(BLOCKS)), EQUAL)):
-        key = F.lit(number).cast("bigint")
-        for i in chosen:
-            bits = F.shiftrightunsigned(sim, starts[i]).bitwiseAND(F.lit((1 << BLOCKS[i]) - 1))
-            key = F.shiftleft(key, BLOCKS[i]).bitwiseOR(bits)
-        keys.append(key)
-    return F.array(*keys)
-
-
 def prefix_sizes(sizes: np.ndarray, gram: int) -> np.ndarray:
     """How many of its grams of two or three words a line has to offer as keys.
 
@@ -221,7 +183,7 @@ def _mix(values: np.ndarray) -> np.ndarray:
 
 
 def gram_keys(words: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """``(row, key)`` for lines given as 16-bit words; the same gram again in a line is another one."""
+    """``(row, key)`` for lines given as 32-bit words; the same gram again in a line is another one."""
     rows, keys = [], []
     starts = np.cumsum(sizes) - sizes
     for gram in (2, 3):
@@ -232,10 +194,9 @@ def gram_keys(words: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndar
         counts = np.bincount(owner, minlength=len(sizes))
         firsts = np.cumsum(counts) - counts
         at = starts[owner] + np.arange(len(owner)) - firsts[owner]
-        value = np.full(len(owner), gram << 48, np.uint64)
+        value = np.full(len(owner), gram, np.uint64)
         for i in range(gram):
-            value |= words[at + i].astype(np.uint64) << np.uint64(16 * i)
-        value = _mix(value)
+            value = _mix(value * np.uint64(0x9E3779B97F4A7C15) + words[at + i])
         value = value[np.lexsort((value, owner))]  # owner is sorted already
         new = np.ones(len(value), bool)
         new[1:] = (value[1:] != value[:-1]) | (owner[1:] != owner[:-1])
@@ -250,9 +211,9 @@ def gram_keys(words: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 
 def _parts(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The 16-bit words of all lines, and the number of each line."""
+    """The 32-bit words of all lines, and the number of each line."""
     values = words.to_pylist()
-    return np.frombuffer(b"".join(values), "<u2"), np.fromiter(map(len, values), np.int64, len(values)) // 2
+    return np.frombuffer(b"".join(values), "<u4"), np.fromiter(map(len, values), np.int64, len(values)) // 4
 
 
 def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -267,7 +228,7 @@ def _described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if batch.num_rows:
             words, sizes = _parts(batch["words"])
-            ones = np.uint64(1) << (words & np.uint16(63)).astype(np.uint64)
+            ones = np.uint64(1) << (words & np.uint32(63)).astype(np.uint64)
             odd = np.bitwise_xor.reduceat(ones, np.cumsum(sizes) - sizes).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch["line"], batch["n"], pa.array(odd), pa.array(sizes, pa.int32())], ["line", "n", "odd", "size"])
 
@@ -301,7 +262,9 @@ def _links(pairs: DataFrame, distinct: DataFrame, search: Search) -> DataFrame:
     first = words.select(F.col("line").alias("a"), F.col("words").alias("words_a"))
     second = words.select(F.col("line").alias("b"), F.col("words").alias("words_b"))
     joined = pairs.join(first, "a").join(second, "b").select("a", "b", "words_a", "words_b")
-    return stage(joined.mapInArrow(search.verified, "a bigint, b bigint"), "line-links")
+    links = stage(joined.mapInArrow(search.verified, "a bigint, b bigint"), "line-links")
+    drop(pairs, ids, words)
+    return links
 
 
 def line_groups(lines: DataFrame) -> DataFrame:
@@ -315,23 +278,31 @@ def similar_groups(distinct: DataFrame, search: Search) -> DataFrame:
     keyed = distinct.select("line", "words").mapInArrow(search.keyed, "key bigint, line bigint")
     met = keyed.withColumn("_n", F.count("*").over(Window.partitionBy("key"))).filter("_n > 1").drop("_n")
     described = distinct.select("line", "n", "words").mapInArrow(search.described, "line bigint, n bigint, odd bigint, size int")
-    shared = stage(stage(met, "met-keys").join(described, "line"), "line-keys")
+    met = stage(met, "met-keys")
+    shared = stage(met.join(described, "line"), "line-keys")
+    drop(met)
     commonest = F.max(F.struct("n", "line", "odd", "size")).alias("top")
     center = stage(shared.groupBy("key").agg(commonest), "key-centers")
     near_top = search.near("odd", "size", "top.odd", "top.size")
     close = shared.join(center, "key").filter((F.col("line") != F.col("top.line")) & near_top)
     links = _links(close.select(F.col("line").alias("a"), F.col("top.line").alias("b")), distinct, search)
+    drop(center)
     known = components(links, "line-components")
     grouped = shared.join(known.withColumnRenamed("id", "line"), "line", "left")
     grouped = stage(grouped.select("key", "line", "odd", "size", F.coalesce("component", "line").alias("group")), "grouped-keys")
+    drop(shared, known)
     sizes = grouped.groupBy("key", "group").agg(F.count("*").alias("n"))
     main = sizes.groupBy("key").agg(F.max_by("group", "n").alias("main"), F.count("*").alias("groups")).filter("groups > 1")
     mixed = stage(grouped.join(main.drop("groups"), "key"), "mixed-keys")
+    drop(grouped)
     apart = mixed.filter("group != main").select("key", F.col("line").alias("a"), "odd", "size", F.col("group").alias("group1"))
     every = mixed.select("key", F.col("line").alias("b"), F.col("odd").alias("odd2"), F.col("size").alias("size2"), F.col("group").alias("group2"))
     across = apart.join(every, "key").filter((F.col("group1") != F.col("group2")) & search.near("odd", "size", "odd2", "size2"))
     more = _links(across.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")), distinct, search)
-    return components(links.unionByName(more), "line-components")
+    drop(mixed)
+    found = components(links.unionByName(more), "line-components")
+    drop(links, more, distinct)
+    return found
 
 
 def removed_lines(docs: DataFrame) -> DataFrame:
@@ -350,6 +321,7 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     repeated = stage(labelled.join(again, "group").select("line", "group"), "repeated-lines")
     occurrence = F.struct("doc_id", "text_hash", "at").alias("occurrence")
     places = stage(lines.join(repeated, "line").select("group", occurrence), "occurrences")
+    drop(lines, repeated, groups)
     first = stage(places.groupBy("group").agg(F.min("occurrence").alias("first")), "first-occurrences")
     rest = places.join(first, "group").filter(~F.col("occurrence").eqNullSafe(F.col("first"))).select("occurrence.*")
     return rest.groupBy("doc_id", "text_hash").agg(F.collect_set("at").alias("removed"))

@@ -40,7 +40,7 @@ from quire.staging import stage
 
 FOLDS, HELD_OUT = 5, 1
 CUTOFF = 1
-CHUNK_TOKENS = 2_500_000
+CHUNK_TOKENS = 1_500_000
 BUCKET_TOKENS = 1_500_000
 END = b"\n"  # no word holds a line end
 _ROWS = 256
@@ -49,7 +49,7 @@ _LONGS, _INTS = pa.list_(pa.int64()), pa.list_(pa.int32())
 CHUNKS = "chunk bigint, doc_ids array<bigint>, trained array<boolean>, sizes array<int>, stream array<int>, hashes array<bigint>"
 SENT = "chunk bigint, bucket int, keys array<bigint>, counts array<int>, histories array<bigint>, runs array<int>"
 PAIRS_BACK = (
-    "chunk bigint, bucket int, totals array<int>, histories array<bigint>, masses array<bigint>, kept array<int>, once bigint, twice bigint"
+    "chunk bigint, bucket int, totals array<bigint>, histories array<bigint>, masses array<bigint>, kept array<int>, once bigint, twice bigint"
 )
 WORDS_BACK = "chunk bigint, bucket int, totals array<bigint>, masses array<bigint>, kept array<bigint>, known bigint"
 SCORES = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double"
@@ -246,12 +246,12 @@ def _sum_pairs(table: pa.Table) -> pa.Table:
     mass = np.bincount(at, weights=totals[kept], minlength=len(owners)).astype(np.int64)
     n_kept = np.bincount(at, minlength=len(owners)).astype(np.int32)
     rest, none = table.num_rows - 1, np.array([], np.int64)
-    back = np.where(kept, np.minimum(totals, np.iinfo(np.int32).max), 0).astype(np.int32)[place]
+    back = np.where(kept, totals, 0)[place]
     return pa.table(
         {
             "chunk": table["chunk"],
             "bucket": table["bucket"],
-            "totals": _lists(_cut(back, table["keys"]), _INTS),
+            "totals": _lists(_cut(back, table["keys"]), _LONGS),
             "histories": _lists([owners, *[none] * rest], _LONGS),
             "masses": _lists([mass, *[none] * rest], _LONGS),
             "kept": _lists([n_kept, *[none.astype(np.int32)] * rest], _INTS),

@@ -41,6 +41,9 @@ DENSE = 64
 # Fixed value: generator polynomial of the (23,12) Golay code.
 GOLAY = 0xC75
 _BLOCK = 1 << 16
+KEY = "struct<none:boolean,id:bigint,hash:bigint>"
+# Rows are named to every task up to this many, and shuffled to the names beyond it.
+MAX_SHARED_ROWS = 1_000_000
 
 
 def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
@@ -73,6 +76,12 @@ def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(values, pa.int64())], ["doc_id", "fp"])
 
 
+def _fingerprinted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        values = [_signed(fingerprint(t.as_py())) for t in batch["text"]]
+        yield pa.RecordBatch.from_arrays([batch["_key"], pa.array(values, pa.int64())], ["_key", "fp"])
+
+
 def fingerprints(docs: DataFrame) -> DataFrame:
     """``(doc_id, fp)`` with the fingerprint as a signed number."""
     narrow = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -164,6 +173,34 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return marked.join(labels, "fp").select("doc_id", "fp", "group", "component_id")
 
 
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """``docs`` with one row of each component: that of the smallest ``doc_id`` and, of its texts, the smallest hash.
+
+    Rows are judged by their own text, also where an id has several. A missing id comes last. Of rows with equal
+    id and text one stays, the smallest by all its columns.
+    """
+    text = F.col("text").cast("string")
+    key = F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce(F.col("doc_id").cast("bigint"), F.lit(0)).alias("id"), F.xxhash64(text).alias("hash"))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    rows = docs.select(F.struct(*columns).alias("row"), key.alias("_key"))
+    marked = docs.select(key.alias("_key"), text.alias("text")).mapInArrow(_fingerprinted, f"_key {KEY}, fp bigint")
+    counted = stage(marked.groupBy("_key", "fp").agg(F.count("*").alias("n")), "row-fingerprints")
+    distinct = stage(counted.groupBy("fp").agg(F.count("*").alias("n")), "distinct-fingerprints")
+    found = components(links(distinct)).withColumnRenamed("id", "fp")
+    group = F.coalesce("component", "fp")
+    # The smallest row of each fingerprint first, so that the largest group is combined before it meets its component.
+    least = counted.groupBy("fp").agg(F.min("_key").alias("_key"))
+    kept = least.join(found, "fp", "left").groupBy(group).agg(F.min("_key").alias("_key"))
+    kept = stage(kept.select("_key").join(counted, "_key").select("_key", "n"), "kept-rows")
+    others = counted.select("_key").join(kept.select("_key"), "_key", "left_anti")
+    repeated = kept.filter("n > 1").select("_key")
+    listed = stage(others.unionByName(repeated), "listed-rows")
+    few = listed.count() <= MAX_SHARED_ROWS
+    once = rows.join(F.broadcast(listed) if few else listed, "_key", "left_anti").select("row.*")
+    again = rows.join(F.broadcast(repeated) if few else repeated, "_key", "left_semi")
+    return once.unionByName(again.groupBy("_key").agg(F.min("row").alias("row")).select("row.*"))
+
+
 def component_rows(docs: DataFrame) -> DataFrame:
     """Rows of ``near_duplicates`` with the fingerprint as 16 hex digits."""
     hexed = F.lower(F.lpad(F.hex("fp"), 16, "0"))

@@ -1,5 +1,5 @@
 import public_tokenizers
-from test_packing import check
+from test_best_fit_packing import check
 from tokenizers import Tokenizer
 
 from quire.llm import packing

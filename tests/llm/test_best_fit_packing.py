@@ -16,7 +16,6 @@ def tokenizer():
     from tokenizers import Tokenizer
 
     model = Tokenizer.from_file(PATH)
-    model.encode_special_tokens = True
     return model
 
 

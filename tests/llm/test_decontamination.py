@@ -88,11 +88,21 @@ def test_odd_rows(spark, rows):
     data = [(1, None), (2, ""), (3, "x one-two three four"), (3, "x one-two three four"), (4, "A b c d e f g h i j k l!"), (None, "three")]
     docs = spark.createDataFrame(data, "doc_id bigint, text string").withColumn("spans", F.lit(1)).withColumn("row", F.lit(2))
     got = rows(D.contamination_rows(docs, bench), "doc_id", "n_words", "n_hit", "n_items")
-    assert got == sorted([(1, 0, 0, 0), (2, 0, 0, 0), (3, 5, 3, 2), (3, 5, 3, 2), (4, 12, 12, 1), (None, 1, 1, 1)], key=repr)
+    assert got == sorted([(1, 0, 0, 0), (2, 0, 0, 0), (3, 5, 4, 2), (3, 5, 4, 2), (4, 12, 12, 1), (None, 1, 1, 1)], key=repr)
     assert D.contamination_rows(docs.limit(0), bench).count() == 0
     assert {r.n_hit for r in D.contamination_rows(docs, bench.limit(0)).collect()} == {0}
 
 
+def test_ids_may_be_text_or_missing(spark):
+    bench = spark.createDataFrame([("q-2", "one two"), ("q-10", "two three"), (None, "four"), ("", "five")], "item_id string, text string")
+    docs = spark.createDataFrame([(1, "one two three"), (2, "four"), (3, "five")], "doc_id bigint, text string")
+    got = {r.doc_id: r for r in D.contamination_rows(docs, bench).collect()}
+    assert [(got[i].n_hit, got[i].n_items, got[i].contaminated) for i in (1, 2, 3)] == [(3, 2, True), (1, 0, True), (1, 1, True)]
+    import hashlib
+
+    assert got[1].items_sha256 == hashlib.sha256(b"q-10,q-2").hexdigest() and got[2].items_sha256 == hashlib.sha256(b"").hexdigest()
+
+
 def test_decontaminate(spark, rows):
     bench = spark.createDataFrame([(1, "a b c d"), (2, "e f g h")], "item_id bigint, text string")
     data = [

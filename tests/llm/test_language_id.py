@@ -88,3 +88,45 @@ def test_odd_rows(spark, rows, monkeypatch):
     assert L.language_rows(docs.limit(0)).count() == 0
     nothing = docs.withColumn("lang", F.lit(None).cast("string"))
     assert {r.lang_pred for r in L.language_rows(nothing).collect()} == {"und"}
+
+
+def test_a_hot_id_or_row_is_chosen_once(spark):
+    trained = next(i for i in range(100) if not L.held_out(i))
+    rows = [(trained, "the same text " * 20, "en")] * 3000 + [(trained, f"text number {i} of one id", "en") for i in range(3000)]
+    rows += [(None, f"nameless {i}", "fr") for i in range(2000)]
+    sample = L.training_sample(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"))
+    for lang in ("en", "fr"):
+        assert 0 < sum(g == lang for g, _ in sample) <= L.SAMPLE * L.SNIPPETS
+    assert sum("same text" in s for _, s in sample) <= L.SNIPPETS
+
+
+def test_against_plain_loops():
+    """The network step by step, one position and one text at a time."""
+    network = L.train([("en", "the cat and the dog " * 9), ("de", "der hund und die katze " * 9), ("fr", "le chat et le chien été " * 9)])
+    p, h = network.parameters, network.hidden
+    gate = lambda x: np.clip(x * 0.25 + 0.5, 0, 1)
+
+    def states(side, content):
+        state, out = np.zeros(h), []
+        for byte in content:
+            a, g = p[f"{side}_in"][byte], state @ p[f"{side}_state"]
+            update, reset = gate(a[:h] + g[:h]), gate(a[h : 2 * h] + g[h : 2 * h])
+            candidate = np.tanh(a[2 * h :] + reset * g[2 * h :])
+            state = update * state + (1 - update) * candidate
+            out.append(state)
+        return out
+
+    def pooled(text):
+        content, found = text.lower().encode(), []
+        for low in range(0, len(content), L.SEGMENT):
+            part = content[low : low + L.SEGMENT]
+            backward = states("backward", part[::-1])[::-1]
+            for byte, f, b in zip(part, states("forward", part), backward):
+                logits = np.concatenate([f, b]) @ p["out"] + p["bias"]
+                if 97 <= byte <= 122 or byte >= 128:
+                    found.append(np.exp(logits - logits.max()) / np.exp(logits - logits.max()).sum())
+        return np.mean(found, axis=0)
+
+    texts = ["The dog", "Le chien a été là. " * 20, "x", "der 12 hund, 東京 " * 12]
+    for mine, text in zip(L.label_texts(network, texts), texts):
+        assert np.allclose(mine, pooled(text), atol=1e-4)

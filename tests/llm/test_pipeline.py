@@ -3,7 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 from test_decontamination import brute as contaminated
 from test_line_dedup import brute as without_lines
-from test_packing import check as check_packing
+from test_best_fit_packing import check as check_packing
 from test_simhash import plain as fingerprint
 
 import corpus_pipeline
@@ -50,7 +50,7 @@ def test_languages(stages):
 def test_lines(stages, union_find):
     before, after = map(texts, stages[1])
     expected = without_lines(sorted(before.items()), union_find)
-    assert after == {d: t for d, t in expected.items() if t == before[d] or len(t.split()) >= 5}
+    assert after == {d: t for d, t in expected.items() if t == before[d] or t.strip()}
 
 
 def test_near_duplicates(stages, union_find):
@@ -64,6 +64,14 @@ def test_near_duplicates(stages, union_find):
     assert after == {d: t for d, t in before.items() if found.find(d) == d}
 
 
+def test_rows_are_judged_by_their_own_text(spark, rows):
+    a, b, c = ("a text of its own with some words", "another one that is not like it at all", "and a third text, different again")
+    keep = lambda data: rows(corpus_pipeline.keep_one_near_duplicate(spark, spark.createDataFrame(data, "doc_id bigint, text string, x string"), ""))
+    data = [(7, a, ""), (7, b, ""), (3, b, ""), (7, c, "2"), (7, c, "1"), (None, c, ""), (None, "x", None), (None, "x", "z")]
+    assert keep(data) == sorted([(7, a, ""), (3, b, ""), (7, c, "1"), (None, "x", None)], key=repr)
+    assert rows(corpus_pipeline.keep_one_near_duplicate(spark, spark.createDataFrame([(1, None, None), (2, "", None)], "doc_id bigint, text string, x string"), ""), "doc_id") == [(1,)]
+
+
 def test_benchmark(stages, spark, small):
     before, after = map(texts, stages[3])
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{small}/benchmark.parquet").collect()]
@@ -81,7 +89,6 @@ def test_packing(stages):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
     before, after = stages[4]
     check_packing(after.collect(), texts(before), tokenizer)
 
