@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import decontamination, language_id, line_dedup, near_documents, packing
+from quire.llm import decontamination, language_id, line_dedup, packing, simhash_dedup
 from quire.llm.batches import keep_batches_small
 from quire.session import ship_package
 from quire.staging import stage
@@ -42,9 +42,9 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def keep_one_near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group stays whose five-word shingles have Jaccard similarity 0.8."""
+    """One row of each component of SimHash fingerprints of three-word shingles within two bits stays."""
     _ready(spark)
-    return near_documents.one_of_each(docs)
+    return simhash_dedup.one_of_each(docs)
 
 
 def cut_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
