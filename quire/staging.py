@@ -13,6 +13,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+_CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _local_folders: dict[str, str] = {}
 
 
@@ -39,7 +40,13 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once and return the written table."""
     spark = df.sparkSession
     path = fresh_path(spark, name)
-    df.write.parquet(path)
+    # What the write has shuffled is of no use once the table is there; else it stays on the executors' disks.
+    before = spark.conf.get(_CLEAN_UP, "false")
+    spark.conf.set(_CLEAN_UP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEAN_UP, before)
     table = spark.read.schema(df.schema).parquet(path)
     table.staged_path = path
     return table
