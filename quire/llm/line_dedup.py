@@ -47,6 +47,8 @@ MIN_WORDS = 1
 SIMILARITY = 0.8
 # Line ids and numbers are handed to every task up to this many (8 bytes each); beyond it rows are shuffled to them.
 MAX_SHARED_LINES = 2_000_000
+# Signatures (40 bytes each) likewise.
+MAX_SHARED_SIGNATURES = 500_000
 
 _WORD_BYTES = bytes(b if b >= 0x80 or b == 0x0A or chr(b).isalnum() else 0x20 for b in range(256)).lower()
 # Letters of scripts without spaces (Thai, Lao, Burmese, Khmer, kana, Han), each a word of its own, and marks beyond ASCII.
@@ -233,6 +235,34 @@ def _described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([batch["line"], batch["n"], pa.array(odd), pa.array(sizes, pa.int32())], ["line", "n", "odd", "size"])
 
 
+def _signed_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The odd ones of 256 classes of words, as four numbers."""
+    for batch in batches:
+        if batch.num_rows:
+            words, sizes = _parts(batch["words"])
+            starts, sides = np.cumsum(sizes) - sizes, []
+            for side in range(4):
+                ones = np.where(words >> np.uint32(6) & np.uint32(3) == side, np.uint64(1) << (words & np.uint32(63)).astype(np.uint64), np.uint64(0))
+                sides.append(pa.array(np.bitwise_xor.reduceat(ones, starts).view(np.int64)))
+            yield pa.RecordBatch.from_arrays([batch["line"], *sides, pa.array(sizes, pa.int32())], ["line", "s0", "s1", "s2", "s3", "size"])
+
+
+def _signatures(distinct: DataFrame) -> DataFrame:
+    signed = distinct.select("line", "words").mapInArrow(_signed_lines, "line bigint, s0 bigint, s1 bigint, s2 bigint, s3 bigint, size int")
+    return stage(signed, "line-signatures")
+
+
+def _still_near(pairs: DataFrame, signatures: DataFrame, few: bool) -> DataFrame:
+    """Pairs whose signatures do not rule out a link; each edit changes at most two classes."""
+    sides = []
+    for side in ("a", "b"):
+        renamed = signatures.select(F.col("line").alias(side), F.struct("s0", "s1", "s2", "s3", "size").alias(f"sig_{side}"))
+        sides.append(F.broadcast(renamed) if few else renamed)
+    both = pairs.join(sides[0], "a").join(sides[1], "b")
+    differ = sum(F.bit_count(F.col(f"sig_a.s{i}").bitwiseXOR(F.col(f"sig_b.s{i}"))) for i in range(4))
+    return both.filter(differ <= 2 * F.floor(F.greatest("sig_a.size", "sig_b.size") / 5)).select("a", "b")
+
+
 def _near(odd_a: str, size_a: str, odd_b: str, size_b: str) -> Column:
     """Holds for all lines that are similar enough, and for few others."""
     longer, shorter = F.greatest(size_a, size_b), F.least(size_a, size_b)
@@ -253,9 +283,10 @@ class Search:
 LINES = Search(_keyed, _described, _near, _verified)
 
 
-def _links(pairs: DataFrame, distinct: DataFrame, search: Search) -> DataFrame:
-    """Candidate pairs ``(a, b)`` that are similar enough."""
-    pairs = stage(pairs.distinct(), "line-pairs")
+def _links(pairs: DataFrame, distinct: DataFrame, signatures: DataFrame, search: Search) -> DataFrame:
+    """Candidate pairs ``(a, b)`` that are similar enough; signatures thin them out before words are read."""
+    few = signatures.count() <= MAX_SHARED_SIGNATURES
+    pairs = stage(_still_near(pairs.distinct(), signatures, few), "line-pairs")
     ids = stage(pairs.select(F.explode(F.array("a", "b")).alias("line")).distinct(), "candidate-lines")
     needed = F.broadcast(ids) if ids.count() <= MAX_SHARED_LINES else ids
     words = stage(distinct.select("line", "words").join(needed, "line", "left_semi"), "candidate-words")
@@ -285,7 +316,8 @@ def similar_groups(distinct: DataFrame, search: Search) -> DataFrame:
     center = stage(shared.groupBy("key").agg(commonest), "key-centers")
     near_top = search.near("odd", "size", "top.odd", "top.size")
     close = shared.join(center, "key").filter((F.col("line") != F.col("top.line")) & near_top)
-    links = _links(close.select(F.col("line").alias("a"), F.col("top.line").alias("b")), distinct, search)
+    signatures = _signatures(distinct)
+    links = _links(close.select(F.col("line").alias("a"), F.col("top.line").alias("b")), distinct, signatures, search)
     drop(center)
     known = components(links, "line-components")
     grouped = shared.join(known.withColumnRenamed("id", "line"), "line", "left")
@@ -298,8 +330,8 @@ def similar_groups(distinct: DataFrame, search: Search) -> DataFrame:
     apart = mixed.filter("group != main").select("key", F.col("line").alias("a"), "odd", "size", F.col("group").alias("group1"))
     every = mixed.select("key", F.col("line").alias("b"), F.col("odd").alias("odd2"), F.col("size").alias("size2"), F.col("group").alias("group2"))
     across = apart.join(every, "key").filter((F.col("group1") != F.col("group2")) & search.near("odd", "size", "odd2", "size2"))
-    more = _links(across.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")), distinct, search)
-    drop(mixed)
+    more = _links(across.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")), distinct, signatures, search)
+    drop(mixed, signatures)
     found = components(links.unionByName(more), "line-components")
     drop(links, more, distinct)
     return found

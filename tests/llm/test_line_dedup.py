@@ -116,6 +116,17 @@ def test_one_of_each_group_stays(spark, rows):
     assert L.deduped_lines(docs.limit(0)).count() == 0
 
 
+def test_signatures_beyond_the_shared_limit(spark, rows, monkeypatch):
+    random.seed(9)
+    bases = [[f"w{random.randrange(10**6)}" for _ in range(n)] for n in (5, 20, 90, 400)]
+    texts = [" ".join(edited(b, len(b) // 12, lambda: "new")) for b in bases for _ in range(6)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    shared = rows(L.deduped_lines(docs))
+    monkeypatch.setattr(L, "MAX_SHARED_SIGNATURES", 0)
+    assert rows(L.deduped_lines(docs)) == shared
+    assert sum(r[2] for r in shared) == len(texts) - len(bases)
+
+
 def test_words_with_equal_short_hashes_differ(spark, rows):
     """``w73`` and ``w239`` agree in 16 bits of their hashes."""
     data = [(1, "w73 b c d e"), (2, "w239 b c d x")]
