@@ -137,6 +137,18 @@ ORACLES["acquire_first_valid"] = _with(VALID) + (
     "CAST(priority AS INTEGER) AS priority, 0 AS member_idx, length(text) AS n_chars, md5(text) AS text_md5 "
     "FROM valid QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY priority) = 1"
 )
+ORACLES["acquire_first_valid_stored"] = f"""
+WITH attempts AS (
+  SELECT doc_id, priority, CASE WHEN priority < {views.FIRST_ZIP} THEN 'text' ELSE 'zip' END AS kind, member_idx,
+    CASE WHEN member_idx = 1 AND doc_id % 3 = 0 THEN replace(text, {_s(views.MARKER)}, '-')
+         WHEN member_idx IS NOT NULL THEN text || ' member ' || member_idx ELSE text END AS body
+  FROM documents, range({views.PATTERNS}) AS p(priority), (VALUES (NULL), (0), (1), (2)) AS m(member_idx)
+  WHERE (member_idx IS NULL) = (priority < {views.FIRST_ZIP}) AND (doc_id * 7 + priority * 3) % 5 = 0)
+SELECT CAST(doc_id AS VARCHAR) AS book_id, kind, CAST(priority AS INTEGER) AS priority, member_idx,
+  length(body) AS n_chars, md5(body) AS text_md5
+FROM attempts WHERE contains(body, {_s(views.MARKER)}) AND (member_idx IS NULL OR member_idx > 0)
+QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY priority, member_idx) = 1"""
+ORACLES["acquire_resume_stream"] = ORACLES["acquire_resume"]
 ORACLES["acquire_failures"] = _with(VALID) + (
     "SELECT CAST(doc_id AS VARCHAR) AS book_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM valid)"
 )

@@ -21,6 +21,7 @@ from quire.sources.ids import numeric_order, parse_ids, read_ids
 from quire.sources.packed import read_packed, split_counts
 from quire.sources.texts import decoded, zip_members
 from quire.staging import fresh_path, stage
+from quire.streaming.acquisition import follow_available, read_ids_stream, still_missing
 from quire.streaming.cleaning import clean_available, read_documents_stream
 
 # Chunk geometry for the given tables: small enough for a few hundred chunks at every scale.
@@ -198,6 +199,29 @@ def acquire_first_valid(spark, folder):
     return found.select("book_id", "kind", "priority", "member_idx", *_digest(F.col("body")))
 
 
+@query
+def acquire_first_valid_stored(spark, folder):
+    path = fresh_path(spark, "fetched")
+    rows = views.fetched_members(spark, folder)
+    rows.repartition(spark.sparkContext.defaultParallelism).write.parquet(path)
+    found = acquisition.first_valid_stored(spark, path, views.MARKER)
+    return found.select("book_id", "kind", "priority", "member_idx", *_digest(F.col("body")))
+
+
+@query
+def acquire_resume_stream(spark, folder):
+    """Both tables arrive in two waves, with a restart between them."""
+    asked, there = fresh_path(spark, "asked"), fresh_path(spark, "there")
+    target, progress = fresh_path(spark, "known-ids"), fresh_path(spark, "progress")
+    late = F.col("book_id").cast("bigint") % 2 == 1
+    for wave in (~late, late):
+        _ids(spark, folder).filter(wave).write.mode("append").parquet(asked)
+        _ids(spark, folder, "labels").filter(~wave).write.mode("append").parquet(there)
+        streams = read_ids_stream(spark, asked), read_ids_stream(spark, there)
+        follow_available(*streams, target, progress).awaitTermination()
+    return still_missing(spark, target)
+
+
 @query
 def acquire_failures(spark, folder):
     resolved = acquisition.valid(views.fetched(spark, folder), views.MARKER)

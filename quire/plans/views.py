@@ -99,6 +99,25 @@ def fetched(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def fetched_members(spark: SparkSession, folder: str) -> DataFrame:
+    """Like ``fetched``, with three members per archive, and bodies only where an address answered.
+
+    The first member is no text file; of every third id the second one lacks the marker.
+    """
+    member = F.when(F.col("kind") == "zip", F.array(*map(F.lit, range(3)))).otherwise(F.array(F.lit(None).cast("int")))
+    rows = fetched(spark, folder).drop("member_idx", "member").select("*", F.explode(member).alias("member_idx"))
+    index, number = F.col("member_idx"), F.col("book_id").cast("bigint")
+    suffix = F.when(index == 0, ".md").otherwise(".Txt")
+    body = (
+        F.when((index == 1) & (number % 3 == 0), F.replace("body", F.lit(MARKER), F.lit("-")))
+        .when(index.isNotNull(), F.concat("body", F.lit(" member "), index.cast("string")))
+        .otherwise(F.col("body"))
+    )
+    return rows.withColumns(
+        {"member": F.concat("book_id", F.lit("/"), index.cast("string"), suffix), "body": F.when(F.col("status") == 200, body)}
+    )
+
+
 def raw(spark: SparkSession, folder: str) -> DataFrame:
     """Documents wrapped in the markup that cleaning removes, in eight ways."""
     text = F.col("text")

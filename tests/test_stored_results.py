@@ -1,0 +1,120 @@
+"""Results that are picked where they lie, and resuming as a stream."""
+
+import os
+import random
+import re
+
+import pytest
+
+from quire.operators import acquisition as A
+from quire.streaming import acquisition as S
+
+MARK = "Project Gutenberg"
+FETCHED = "book_id string, kind string, priority int, member_idx int, member string, status int, body string"
+
+
+@pytest.fixture
+def stored(spark, folder):
+    """Results in several files of a folder with a blank in its name."""
+    draw = random.Random(4)
+    rows = []
+    for book in range(120):
+        for priority in range(9):
+            kind = "text" if priority < 6 else "zip"
+            for member in [None] if kind == "text" else [2, 0, 1]:
+                status = draw.choice([200, 404, None])
+                body = draw.choice([f"{MARK} {book} {priority} {member}", "other", "", None])
+                rows.append((str(book) if book else None, kind, priority, member, draw.choice(["a.txt", "b.TXT", "c.md"]), status, body))
+    draw.shuffle(rows)
+    path = f"{folder}/all results"
+    spark.createDataFrame(rows, FETCHED).repartition(7).write.parquet(path)
+    return path
+
+
+def _rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+@pytest.mark.parametrize("shared", [A.SHARED_PLACES, 40, 1])
+def test_same_as_by_bodies(spark, stored, shared):
+    expected = A.first_valid(spark.read.parquet(stored), MARK)
+    found = A.first_valid_stored(spark, stored, MARK, shared)
+    assert found.columns == expected.columns and _rows(found) == _rows(expected)
+    assert any(r.member_idx for r in found.collect())
+
+
+def test_no_body_is_moved(spark, stored):
+    found = A.first_valid_stored(spark, stored, MARK, 40)
+    plans = [found, A.winners(spark.read.parquet(stored), MARK)]
+    for df in plans:
+        text = df._jdf.queryExecution().explainString(df._sc._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+        nodes = re.findall(r"\(\d+\) (?:\w*Exchange|Sort)\b.*?\n\n", text + "\n\n", re.S)
+        assert nodes and not any("body" in n for n in nodes)
+
+
+def test_files_without_winner_are_not_opened(spark, stored):
+    places = A.winners(spark.read.parquet(stored), MARK)
+    runs = list(A._file_ranges(places, 40))
+    assert len(runs) > 1 and sum(n for *_, n in runs) == places.count()
+    assert all(a[1] < b[0] for a, b in zip(runs, runs[1:]))
+    first, last, _ = runs[0]
+    here = spark.read.parquet(stored).where(f"_metadata.file_path between '{first}' and '{last}'")
+    assert len(here.select("_metadata.file_path").distinct().collect()) < 7
+
+
+def test_nothing_valid(spark, folder):
+    path = f"{folder}/none"
+    spark.createDataFrame([("1", "text", 0, None, None, 404, MARK)], FETCHED).write.parquet(path)
+    assert A.first_valid_stored(spark, path, MARK).count() == 0
+
+
+def _add(spark, path, *ids):
+    spark.createDataFrame([(i,) for i in ids], S.ID).coalesce(1).write.mode("append").parquet(path)
+
+
+def _follow(spark, folder):
+    streams = [S.read_ids_stream(spark, f"{folder}/{name}", 1) for name in ("asked", "there")]
+    return S.follow_available(*streams, f"{folder}/known", f"{folder}/progress")
+
+
+def _missing(spark, folder):
+    return sorted(r.book_id for r in S.still_missing(spark, f"{folder}/known").collect())
+
+
+def test_stop_and_restart(spark, folder):
+    _add(spark, f"{folder}/asked", "1", "2", "2", None)
+    _add(spark, f"{folder}/there", "9", "2")
+    _follow(spark, folder).awaitTermination()
+    assert _missing(spark, folder) == ["1"]
+    _add(spark, f"{folder}/asked", "9", "3", "1")
+    _add(spark, f"{folder}/there", "1")
+    _add(spark, f"{folder}/asked", "4")
+    _follow(spark, folder).awaitTermination()
+    assert _missing(spark, folder) == ["3", "4"]
+    report = S.running_report(spark, f"{folder}/known").collect()
+    assert {tuple(r) for r in report} == {("downloaded", 3), ("missing", 2)}
+    written = sorted(os.listdir(f"{folder}/known"))
+    _follow(spark, folder).awaitTermination()
+    assert sorted(os.listdir(f"{folder}/known")) == written and _missing(spark, folder) == ["3", "4"]
+
+
+def test_failed_batch_is_repeated(spark, folder, monkeypatch):
+    """The batch fails after it has written its rows; the restart writes the same rows over them."""
+    for i in range(3):
+        _add(spark, f"{folder}/asked", str(i), "x")
+    _add(spark, f"{folder}/there", "1")
+    whole = S.write_batch
+
+    def failing(changed, path, batch):
+        whole(changed, path, batch)
+        if batch == 1:
+            raise RuntimeError("lost")
+
+    monkeypatch.setattr(S, "write_batch", failing)
+    with pytest.raises(Exception, match="lost"):
+        _follow(spark, folder).awaitTermination()
+    monkeypatch.setattr(S, "write_batch", whole)
+    _follow(spark, folder).awaitTermination()
+    assert _missing(spark, folder) == ["0", "2", "x"]
+    batches = spark.read.schema(S.FLAGS).option("basePath", f"{folder}/known").parquet(f"{folder}/known")
+    assert batches.groupBy("batch", "book_id").count().filter("count > 1").count() == 0
