@@ -19,20 +19,25 @@ def evaluated_once(df: DataFrame, keep: list[str], **columns: Column) -> DataFra
     return df.select(*keep, F.inline(F.array(row)))
 
 
-def gate(df: DataFrame, min_length: int = MIN_LENGTH, text: str = "text", key: str = "doc_id") -> DataFrame:
+def gate(
+    df: DataFrame, min_length: int = MIN_LENGTH, text: str = "text", key: str = "doc_id", error: str | None = None
+) -> DataFrame:
     """Clean every document and say what became of it.
 
     Returns ``(key, status, n_chars, message, text)``. ``status`` is ``success``, ``skipped``
-    (shorter than ``min_length``) or ``failed`` (no readable text).
+    (shorter than ``min_length``) or ``failed`` (no readable text). ``error`` names a column with the reason of
+    a missing text, which becomes the message.
     """
-    cleaned = evaluated_once(df, [key], cleaned=clean(F.col(text)))
+    cleaned = evaluated_once(df, [key] if error is None else [key, error], cleaned=clean(F.col(text)))
+    unreadable = F.lit("unreadable text")
+    reason = unreadable if error is None else F.coalesce(F.col(error), unreadable)
     n_chars = F.length("cleaned").cast("bigint")
     status = (
         F.when(F.col("cleaned").isNull(), "failed")
         .when(n_chars < min_length, "skipped")
         .otherwise("success")
     )
-    message = F.when(F.col("cleaned").isNull(), "unreadable text").when(
+    message = F.when(F.col("cleaned").isNull(), reason).when(
         n_chars < min_length, F.format_string(TOO_SHORT, n_chars)
     )
     return cleaned.select(

@@ -290,6 +290,19 @@ SELECT doc_id, CASE WHEN text IS NULL THEN 'failed' WHEN length(text) < 300 THEN
   length(text) AS n_chars, CASE WHEN text IS NULL THEN 'unreadable text'
     WHEN length(text) < 300 THEN 'too short (' || length(text) || ' chars)' END AS message, md5(text) AS text_md5
 FROM readable"""
+ORACLES["files_read"] = _with(
+    _FILES,
+    """sizes AS (SELECT CAST(doc_id AS VARCHAR) AS doc_id, CASE doc_id % 9
+  WHEN 0 THEN strlen(replace(text, chr(10), chr(13) || chr(10))) WHEN 2 THEN strlen(text) + 4 WHEN 3 THEN 4
+  ELSE strlen(text) END AS n_bytes FROM documents WHERE doc_id % 9 <> 4)""",
+    *_chain("files"),
+    """readable AS (SELECT doc_id, n_bytes, CASE WHEN n_bytes <= 2000 THEN c.text END AS text
+  FROM cleaned c JOIN sizes s USING (doc_id) WHERE n_bytes IS NOT NULL)""",
+) + """
+SELECT doc_id, CASE WHEN text IS NULL THEN 'failed' WHEN length(text) < 300 THEN 'skipped' ELSE 'success' END AS status,
+  length(text) AS n_chars, CASE WHEN text IS NULL THEN 'too large (' || n_bytes || ' bytes)'
+    WHEN length(text) < 300 THEN 'too short (' || length(text) || ' chars)' END AS message, md5(text) AS text_md5
+FROM readable"""
 ORACLES["clean_stories"] = _with(
     _FILES, f"stripped AS (SELECT doc_id, trim(text, {_STRIP}) AS text FROM files WHERE trim(text, {_STRIP}) <> '')"
 ) + "SELECT doc_id, length(text) AS n_chars, md5(text) AS text_md5 FROM stripped"

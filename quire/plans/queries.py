@@ -16,10 +16,12 @@ from quire.plans import views
 from quire.plans.corpus import CorpusSettings, build_corpus
 from quire.sinks import tables
 from quire.sinks.packed_store import PackedStore
+from quire.sinks.text_files import write_text_files
 from quire.sources.catalog import read_catalog
+from quire.sources.files import read_files
 from quire.sources.ids import numeric_order, parse_ids, read_ids
 from quire.sources.packed import read_packed, split_counts
-from quire.sources.texts import decoded, zip_members
+from quire.sources.texts import decoded, file_name_key, zip_members
 from quire.staging import fresh_path, stage
 from quire.streaming.acquisition import follow_available, read_ids_stream, still_missing
 from quire.streaming.cleaning import clean_available, read_documents_stream
@@ -27,6 +29,8 @@ from quire.streaming.cleaning import clean_available, read_documents_stream
 # Chunk geometry for the given tables: small enough for a few hundred chunks at every scale.
 LENGTH, OVERLAP = 256, 32
 BATCH, ACCUMULATION = 8, 2
+# Bytes a task reads, and the largest file that is taken: the given texts have files on both sides.
+FILE_TASK, FILE_LIMIT = 1 << 20, 2_000
 CORPUS = CorpusSettings(max_length=LENGTH, overlap=OVERLAP)
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -287,6 +291,17 @@ def clean_files(spark, folder):
     return gated.select("doc_id", "status", "n_chars", "message", F.md5("text").alias("text_md5"))
 
 
+@query
+def files_read(spark, folder):
+    """Documents written to a real folder, one file each, and read back with an outcome per file."""
+    path = fresh_path(spark, "files")
+    contents = views.files(spark, folder).filter("content is not null")
+    write_text_files(contents.withColumn("name", file_name_key(F.col("path"))), path, "name", "content")
+    read = read_files(spark, path, task_bytes=FILE_TASK, max_bytes=FILE_LIMIT)
+    gated = gating.gate(read, min_length=300, error="error")
+    return gated.select("doc_id", "status", "n_chars", "message", F.md5("text").alias("text_md5"))
+
+
 @query
 def clean_stories(spark, folder):
     stories = tokens.stories(decoded(views.files(spark, folder)))

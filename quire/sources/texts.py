@@ -20,8 +20,13 @@ from quire.staging import stage
 BINARY_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
 
+def file_name_key(path: Column) -> Column:
+    """Name of a text file without its folder and suffix."""
+    return file_key(F.element_at(F.split(path, "/"), -1), r"^(.+)\.txt$")
+
+
 def _key() -> Column:
-    return file_key(F.element_at(F.split("path", "/"), -1), r"^(.+)\.txt$")
+    return file_name_key(F.col("path"))
 
 
 def _text() -> Column:
