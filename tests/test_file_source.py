@@ -34,7 +34,7 @@ def test_an_outcome_per_file(spark, folder):
     assert {r.doc_id: r.text for r in small.collect()} == {**same, "empty": ""}
     gated = {r.doc_id: (r.status, r.message) for r in gate(read_files(spark, folder, max_bytes=99), 3, error="error").collect()}
     assert gated["big"] == ("failed", "too large (100 bytes)") and gated["10"] == ("success", None)
-    assert gated["a.b"] == ("skipped", "too short (1 chars)")
+    assert gated["a.b"] == ("skipped", "too short (0 chars)")
 
 
 def test_a_file_that_went_away_has_a_row(folder):
