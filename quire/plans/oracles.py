@@ -314,6 +314,7 @@ ORACLES["clean_rejected"] = _GATED_RAW + (
     "SELECT doc_id, status, message FROM gated WHERE status <> 'success'"
 )
 ORACLES["clean_written"] = _GATED_RAW + _TEXT + "gated WHERE status = 'success'"
+ORACLES["clean_replaced"] = ORACLES["clean_written"]
 ORACLES["clean_documents_stream"] = _with(*_chain("documents"), GATED) + (
     "SELECT doc_id, status, n_chars, md5(text) AS text_md5 FROM gated"
 )

@@ -16,6 +16,7 @@ from quire.plans import views
 from quire.plans.corpus import CorpusSettings, build_corpus
 from quire.sinks import tables
 from quire.sinks.packed_store import PackedStore
+from quire.sinks.replaced import ReplacedTable
 from quire.sinks.text_files import write_text_files
 from quire.sources.catalog import read_catalog
 from quire.sources.files import read_files
@@ -318,6 +319,16 @@ def clean_rejected(spark, folder):
     return gating.rejected(gating.gate(views.raw(spark, folder)))
 
 
+@query
+def clean_replaced(spark, folder):
+    """Raw documents, then the cleaned ones in their place; the repeated batch changes nothing."""
+    table, raw = ReplacedTable(spark, fresh_path(spark, "replaced")), views.raw(spark, folder)
+    table.replace(raw.select("doc_id", "text"), "raw")
+    table.replace(gating.accepted(gating.gate(raw)), "cleaned")
+    table.replace(raw.select("doc_id", "text").filter("false"), "cleaned")
+    return table.read().select("doc_id", *_digest(F.col("text")))
+
+
 @query
 def clean_documents_stream(spark, folder):
     schema = views.documents(spark, folder, "doc_id", "text").schema

@@ -13,7 +13,6 @@ nothing. One writer at a time; readers may go on meanwhile, as what they read ne
 
 from __future__ import annotations
 
-import json
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,47 +20,21 @@ from pyspark.sql import functions as F
 
 from quire.fixed_values import MAX_LENGTH, OVERLAP
 from quire.operators.packing import pack
+from quire.sinks.committed import Committed
 from quire.staging import stage
 
 LEDGER = "split string, total bigint, full bigint, tail array<int>"
 CHUNKS = "chunk_id bigint, input_ids array<int>, split string, is_open boolean"
-_MARKS = "_committed"
 
 
-class PackedStore:
+class PackedStore(Committed):
     def __init__(self, spark: SparkSession, path: str, max_length: int = MAX_LENGTH, overlap: int = OVERLAP):
-        self.spark, self.path, self.max_length, self.overlap = spark, path.rstrip("/"), max_length, overlap
+        super().__init__(spark, path)
+        self.max_length, self.overlap = max_length, overlap
         known = {(m["max_length"], m["overlap"]) for m in self.generations()}
         if known - {(max_length, overlap)}:
             raise ValueError(f"this store was packed with {sorted(known)}, not with {(max_length, overlap)}")
 
-    def _files(self, path: str):
-        hadoop = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        return hadoop, hadoop.getFileSystem(self.spark._jsc.hadoopConfiguration())
-
-    def generations(self) -> list[dict]:
-        """What the marks say of each committed generation, in order."""
-        folder, files = self._files(f"{self.path}/{_MARKS}")
-        if not files.exists(folder):
-            return []
-        names = sorted(int(f.getPath().getName()) for f in files.listStatus(folder) if f.getPath().getName().isdigit())
-        marks = []
-        for name in names:
-            rows = self.spark.read.text(f"{self.path}/{_MARKS}/{name}", wholetext=True).collect()
-            marks.append(json.loads(rows[0].value))
-        return marks
-
-    def _commit(self, number: int, batch: str) -> None:
-        mark = {"generation": number, "batch": batch, "max_length": self.max_length, "overlap": self.overlap}
-        # Written aside and renamed, so that a mark is whole or absent; names of digits only are marks.
-        whole, files = self._files(f"{self.path}/{_MARKS}/{number}")
-        aside, _ = self._files(f"{self.path}/{_MARKS}/{number}.new")
-        out = files.create(aside, True)
-        out.write(json.dumps(mark).encode())
-        out.close()
-        if files.exists(whole) or not files.rename(aside, whole):
-            raise RuntimeError(f"generation {number} has been committed by another writer")
-
     def ledger(self) -> DataFrame:
         """``(split, total, full, tail)`` after the last committed generation: a row per split."""
         marks = self.generations()
@@ -103,7 +76,7 @@ class PackedStore:
         ledger = grown.unionByName(kept).join(F.broadcast(opened), same, "left")
         tail = F.coalesce("tail", F.array().cast("array<int>")).alias("tail")
         ledger.select("split", "total", "full", tail).coalesce(1).write.mode("overwrite").parquet(f"{self.path}/ledger/{number}")
-        self._commit(number, batch)
+        self._mark(number, batch=batch, max_length=self.max_length, overlap=self.overlap)
         return True
 
     def read(self) -> DataFrame:

@@ -52,7 +52,7 @@ def test_a_failed_job_changes_nothing(spark, folder, monkeypatch):
     old = _rows(store.read())
     more = spark.createDataFrame([("train", "c", list(range(50, 90)))], SCHEMA)
     with monkeypatch.context() as broken:
-        broken.setattr(PackedStore, "_commit", lambda *a: (_ for _ in ()).throw(IOError("lost")))
+        broken.setattr(PackedStore, "_mark", lambda *a, **k: (_ for _ in ()).throw(IOError("lost")))
         with pytest.raises(IOError):
             store.append(more, "b")
     assert _rows(store.read()) == old and len(store.generations()) == 1

@@ -1,0 +1,70 @@
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from quire.sinks.replaced import ReplacedTable
+
+
+def _rows(table):
+    return sorted(tuple(r) for r in table.read().collect())
+
+
+def _frame(spark, n, word):
+    return spark.range(n, numPartitions=4).select("id", F.lit(word).alias("text"))
+
+
+def test_a_failed_job_changes_nothing(spark, folder):
+    table = ReplacedTable(spark, f"{folder}/t")
+    with pytest.raises(ValueError, match="nothing has been written"):
+        table.read()
+    assert table.replace(_frame(spark, 8, "old"), "monday")
+    reader = table.read()
+    broken = F.when(F.col("id") == 7, F.raise_error(F.lit("lost"))).otherwise("new")
+    with pytest.raises(Exception, match="lost"):
+        table.replace(spark.range(8, numPartitions=4).select("id", broken.alias("text")), "tuesday")
+    assert _rows(table) == [(i, "old") for i in range(8)]
+    assert table.replace(_frame(spark, 3, "new"), "tuesday")
+    assert _rows(table) == [(i, "new") for i in range(3)]
+    assert reader.count() == 8  # what was read before is still there
+
+
+def test_a_job_that_ends_before_its_mark(spark, folder, monkeypatch):
+    table = ReplacedTable(spark, f"{folder}/t")
+    table.replace(_frame(spark, 2, "old"), "a")
+
+    def killed(self, number, **facts):
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as patch:
+        patch.setattr(ReplacedTable, "_mark", killed)
+        with pytest.raises(KeyboardInterrupt):
+            table.replace(_frame(spark, 5, "half"), "b")
+    assert os.path.exists(f"{folder}/t/versions/1") and _rows(table) == [(0, "old"), (1, "old")]
+    assert table.replace(_frame(spark, 1, "new"), "b") and _rows(table) == [(0, "new")]
+
+
+def test_repeating_a_batch_does_nothing(spark, folder):
+    table = ReplacedTable(spark, f"{folder}/t")
+    assert table.replace(_frame(spark, 2, "a"), "a")
+    assert not table.replace(_frame(spark, 9, "b"), "a")
+    assert _rows(table) == [(0, "a"), (1, "a")]
+
+
+def test_the_later_of_two_writers_is_refused(spark, folder):
+    table = ReplacedTable(spark, f"{folder}/t")
+    table.replace(_frame(spark, 1, "a"), "a")
+    with pytest.raises(RuntimeError, match="another writer"):
+        table._mark(0, batch="b", schema="")
+    assert _rows(table) == [(0, "a")]
+
+
+def test_partitions_empty_tables_and_old_versions(spark, folder):
+    table = ReplacedTable(spark, f"{folder}/t")
+    split = _frame(spark, 4, "x").select(F.when(F.col("id") < 3, "train").otherwise("val").alias("split"), "id", "text")
+    table.replace(split, "a", partition_by=("split",))
+    assert table.read().columns == split.columns and table.read().filter("split = 'val'").count() == 1
+    table.replace(split.filter("false"), "b", partition_by=("split",))
+    assert table.read().count() == 0
+    table.drop_old()
+    assert os.listdir(f"{folder}/t/versions") == ["1"] and table.read().count() == 0
