@@ -332,7 +332,7 @@ def clean_replaced(spark, folder):
 @query
 def clean_documents_stream(spark, folder):
     schema = views.documents(spark, folder, "doc_id", "text").schema
-    stream = read_documents_stream(spark, folder, schema, "documents.parquet")
+    stream = read_documents_stream(spark, f"{folder}/documents.parquet", schema)
     path = fresh_path(spark, "cleaned-stream")
     clean_available(stream, path, fresh_path(spark, "progress")).awaitTermination()
     cleaned = spark.read.parquet(path)

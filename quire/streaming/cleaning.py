@@ -6,6 +6,8 @@ stream, and the stream's checkpoint makes a restarted job go on where it stopped
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -29,7 +31,13 @@ def read_texts_stream(spark: SparkSession, path: str, files_per_batch: int = 10_
 def read_documents_stream(
     spark: SparkSession, path: str, schema, glob: str = "*.parquet", files_per_batch: int = 1_000
 ) -> DataFrame:
-    """New Parquet files of a document table."""
+    """New Parquet files of a document table: a folder of them, or a table that is a single file.
+
+    A stream follows folders only, so of a single file it follows the folder, for files of that name.
+    """
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if place.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(place).isFile():
+        path, glob = place.getParent().toString(), re.sub(r"([\\{}\[\]*?])", r"\\\1", place.getName())
     files = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
     return files.option("pathGlobFilter", glob).parquet(path)
 

@@ -10,7 +10,7 @@ from quire.operators.tokens import ByteTokenizer
 from quire.sinks import tables
 from quire.sources.packed import read_packed, split_counts
 from quire.sources.texts import read_stories, read_texts
-from quire.streaming.cleaning import clean_available, read_texts_stream
+from quire.streaming.cleaning import clean_available, read_documents_stream, read_texts_stream
 
 
 def _put(folder, name, content):
@@ -56,6 +56,21 @@ def test_stream_goes_on_where_it_stopped(spark, folder):
     assert got == batch and got["3"] == ("success", "y" * 1000)
 
 
+def test_stream_of_a_table_in_many_files_or_one(spark, folder):
+    rows = spark.createDataFrame([(i, "x" * 1200) for i in range(6)], "doc_id bigint, text string")
+    rows.repartition(3).write.parquet(f"{folder}/many.parquet")
+    rows.coalesce(1).write.parquet(f"{folder}/aside")
+    os.makedirs(f"{folder}/one")
+    part = next(f for f in os.listdir(f"{folder}/aside") if f.endswith(".parquet"))
+    for name in ("docs [1].parquet", "other.parquet"):
+        os.link(f"{folder}/aside/{part}", f"{folder}/one/{name}")
+    for i, name in enumerate(("many.parquet", "one/docs [1].parquet")):
+        stream = read_documents_stream(spark, f"{folder}/{name}", rows.schema)
+        clean_available(stream, f"{folder}/out{i}", f"{folder}/progress{i}").awaitTermination()
+        cleaned = spark.read.parquet(f"{folder}/out{i}").collect()
+        assert sorted((r.doc_id, r.status) for r in cleaned) == [(n, "success") for n in range(6)]
+
+
 def test_id_sink(spark, folder):
     ids = spark.createDataFrame([("9",), ("10",), ("9",), ("100",)], "book_id string").repartition(3)
     assert tables.write_ids(ids, f"{folder}/ids")
