@@ -26,8 +26,10 @@ from quire.sources.texts import file_name_key
 SCHEMA = "path string, content binary, error string"
 _ARROW = pa.schema([("path", pa.string()), ("content", pa.binary()), ("error", pa.string())])
 TASK_BYTES = 128 << 20
-# Opening a file costs about as much as reading this many bytes, so tasks of tiny files stay short.
-OPEN_BYTES = 1 << 20
+# Opening a file counts as reading this many bytes, so tasks of tiny files stay short: a task has at most
+# so many files. Starting a task takes as long as opening hundreds of files, so it should not be much fewer.
+OPEN_BYTES = 128 << 10
+TASK_FILES = 1024
 BATCH_BYTES = 16 << 20
 # A cell of a row can not hold more.
 MAX_BYTES = 2_000_000_000
@@ -59,7 +61,7 @@ class FileReader(DataSourceReader):
         ]
         runs, room = [], 0
         for file in sorted(found, key=lambda f: f.path):
-            cost = (file.size or 0) + min(OPEN_BYTES, self.task_bytes // 64)
+            cost = (file.size or 0) + min(OPEN_BYTES, -(-self.task_bytes // TASK_FILES))
             if cost > room or not runs:
                 runs.append([])
                 room = self.task_bytes

@@ -58,6 +58,14 @@ def test_files_are_dealt_by_bytes(folder):
     assert len(parts[0].paths) == 1 and {len(p.paths) for p in parts[1:-1]} == {7}
 
 
+def test_a_task_has_hundreds_of_tiny_files(folder):
+    for i in range(1500):
+        _put(folder, f"{i}.txt", b"")
+    for task_bytes in (1 << 20, 128 << 20):
+        parts = FileReader({"path": folder, "taskBytes": str(task_bytes)}).partitions()
+        assert [len(p.paths) for p in parts] == [1024, 476]
+
+
 def test_large_tasks_come_in_batches(folder, monkeypatch):
     monkeypatch.setattr("quire.sources.files.BATCH_BYTES", 2500)
     for i in range(7):
