@@ -208,7 +208,7 @@ def acquire_first_valid(spark, folder):
 def acquire_first_valid_stored(spark, folder):
     path = fresh_path(spark, "fetched")
     rows = views.fetched_members(spark, folder)
-    rows.repartition(spark.sparkContext.defaultParallelism).write.parquet(path)
+    rows.repartition(views.dealt(spark, folder)).write.parquet(path)
     found = acquisition.first_valid_stored(spark, path, views.MARKER)
     return found.select("book_id", "kind", "priority", "member_idx", *_digest(F.col("body")))
 

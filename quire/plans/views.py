@@ -18,6 +18,8 @@ CURATED = [f"src{i}" for i in range(8)] + ["src98", "src99"]
 MARKER = " the "
 PATTERNS = 9
 FIRST_ZIP = 6
+# Of the compressed table; what a task makes of it is several times as much.
+TASK_BYTES = 16 << 20
 
 START = "Header line\n*** START OF THE PROJECT GUTENBERG EBOOK SAMPLE ***\n"
 END = "\n*** END OF THE PROJECT GUTENBERG EBOOK SAMPLE ***\nFooter line"
@@ -37,10 +39,16 @@ def documents(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/documents.parquet").select(*columns)
 
 
+def dealt(spark: SparkSession, folder: str) -> int:
+    """Tasks to deal documents to: one per core, and more where one would get over ``TASK_BYTES`` of the table."""
+    table = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/documents.parquet")
+    size = table.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(table).getLength()
+    return max(spark.sparkContext.defaultParallelism, -(-size // TASK_BYTES))
+
+
 def texts(spark: SparkSession, folder: str) -> DataFrame:
     """The given file may have a single split; these rows are dealt to all cores."""
-    rows = documents(spark, folder, "doc_id", "text")
-    return rows.repartition(spark.sparkContext.defaultParallelism)
+    return documents(spark, folder, "doc_id", "text").repartition(dealt(spark, folder))
 
 
 def repeated_keys(spark: SparkSession, folder: str) -> DataFrame:

@@ -7,6 +7,7 @@ import re
 import pytest
 
 from quire.operators import acquisition as A
+from quire.plans import queries, views
 from quire.streaming import acquisition as S
 
 MARK = "Project Gutenberg"
@@ -118,3 +119,13 @@ def test_failed_batch_is_repeated(spark, folder, monkeypatch):
     assert _missing(spark, folder) == ["0", "2", "x"]
     batches = spark.read.schema(S.FLAGS).option("basePath", f"{folder}/known").parquet(f"{folder}/known")
     assert batches.groupBy("batch", "book_id").count().filter("count > 1").count() == 0
+
+
+def test_results_are_dealt_by_bytes(spark, small, folder, monkeypatch):
+    size = os.path.getsize(f"{small}/documents.parquet")
+    assert views.dealt(spark, small) == spark.sparkContext.defaultParallelism
+    monkeypatch.setattr(views, "TASK_BYTES", size // 20)
+    assert views.dealt(spark, small) == views.texts(spark, small).rdd.getNumPartitions() >= 20
+    monkeypatch.setattr(queries, "fresh_path", lambda spark, name: f"{folder}/{name}")
+    found = queries.acquire_first_valid_stored(spark, small).count()
+    assert found and sum(f.endswith(".parquet") for f in os.listdir(f"{folder}/fetched")) >= 20
