@@ -27,7 +27,10 @@ WORD_PATTERN = r"[\p{L}\p{N}]+|[^\s\p{L}\p{N}]"
 SHARED_WORDS = 200_000
 SHARED_WORD_BYTES = 64
 IDS = T.ArrayType(T.IntegerType())
-_ENCODED = T.StructType().add("ids", IDS).add("rare", T.ArrayType(T.StructType().add("at", T.IntegerType()).add("token", T.StringType())))
+# Words of the rows that share one numbering of rare words.
+CHUNK_WORDS = 1 << 19
+_RARE = T.ArrayType(T.StructType().add("code", T.IntegerType()).add("token", T.StringType()))
+_ENCODED = T.StructType().add("chunk", T.LongType()).add("ids", IDS).add("rare", _RARE)
 
 
 def stories(df: DataFrame, text: str = "text") -> DataFrame:
@@ -44,13 +47,6 @@ def words(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(WORD_PATTERN), F.lit(0))
 
 
-def _regrouped(lists: pa.Array, flat: pa.Array) -> pa.Array:
-    """``flat`` cut into lists of the same lengths as ``lists``."""
-    lengths = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
-    bounds = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(bounds), flat)
-
-
 _LOOKUPS: dict[str, dict[str, int]] = {}
 
 
@@ -62,40 +58,99 @@ def _lookup(name: str, words_and_ids) -> dict[str, int]:
     return _LOOKUPS[name]
 
 
+def pieces(lists: pa.Array, most: int) -> Iterator[pa.Array]:
+    """Runs of lists with at most ``most`` values, or a single list that has more."""
+    ends = np.cumsum(lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+    low = 0
+    while low < len(ends):
+        before = ends[low - 1] if low else 0
+        high = max(low + 1, int(np.searchsorted(ends, before + most, "right")))
+        yield lists.slice(low, high - low)
+        low = high
+
+
+def bounds(lengths: np.ndarray) -> pa.Array:
+    """Where lists of these lengths start, and where the last one ends."""
+    return pa.array(np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32))
+
+
 def _word_ids(name: str, words_and_ids) -> Column:
-    """Ids of the shared words, and place and text of all others, whose id is null."""
+    """Ids of the shared words; all others get the unknown id."""
 
-    @F.arrow_udf(_ENCODED)
+    @F.arrow_udf(IDS)
     def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         known = _lookup(name, words_and_ids)
-        for lists in batches:
-            flat = lists.flatten().dictionary_encode()
-            found = [known.get(w) for w in flat.dictionary.to_pylist()]
-            numbers = pa.array(found, pa.int32()).take(flat.indices)
-            encoded = _regrouped(lists, numbers)
-            lengths = encoded.value_lengths().to_numpy()
-            missing = np.flatnonzero(numbers.is_null().to_numpy(zero_copy_only=False))
-            rows = np.repeat(np.arange(len(lengths)), lengths)
-            counts = np.bincount(rows[missing], minlength=len(lengths))
-            bounds = pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32))
-            at = (missing - np.repeat(np.cumsum(lengths) - lengths, lengths)[missing]).astype(np.int32)
-            words = flat.dictionary.take(flat.indices.take(pa.array(missing))).cast(pa.string())
-            rare = pa.StructArray.from_arrays([pa.array(at), words], ["at", "token"])
-            yield pa.StructArray.from_arrays([encoded, pa.ListArray.from_arrays(bounds, rare)], ["ids", "rare"])
+        for batch in batches:
+            for lists in pieces(batch, CHUNK_WORDS):
+                flat = lists.flatten().dictionary_encode()
+                found = [known.get(w, WordTokenizer.unknown_id) for w in flat.dictionary.to_pylist()]
+                lengths = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+                yield pa.ListArray.from_arrays(bounds(lengths), pa.array(found, pa.int32()).take(flat.indices))
 
     return ids
 
 
-@F.arrow_udf(IDS)
-def _filled(ids: pa.Array, found: pa.Array) -> pa.Array:
-    """Put ``(at, id)`` pairs into lists of ids; what is missing after that is unknown."""
-    lengths = pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False)
-    flat = pc.fill_null(ids.flatten(), WordTokenizer.unknown_id).to_numpy(zero_copy_only=False).copy()
-    pairs, starts = found.flatten(), np.cumsum(lengths) - lengths
-    counts = pc.fill_null(pc.list_value_length(found), 0).to_numpy(zero_copy_only=False)
-    at = np.repeat(starts, counts) + pairs.field("at").to_numpy(zero_copy_only=False)
-    flat[at] = pairs.field("id").to_numpy(zero_copy_only=False)
-    return _regrouped(ids, pa.array(flat, pa.int32()))
+def _numbered_words(name: str, words_and_ids) -> Column:
+    """Ids of the shared words, and ``-1 - code`` for the others, which are numbered anew in every chunk of rows.
+
+    The number of a word and its text stand in the first row of the chunk that has it. A chunk is named by its first
+    row, and has at most ``CHUNK_WORDS`` words unless it is one row.
+    """
+
+    @F.arrow_udf(_ENCODED)
+    def ids(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        known = _lookup(name, words_and_ids)
+        chunk, codes, held = None, {}, 0
+        for batch, names in batches:
+            at = 0
+            for lists in pieces(batch, CHUNK_WORDS):
+                flat = lists.flatten().dictionary_encode()
+                lengths = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+                size = len(flat) + len(lists)  # rows without words have to count as well
+                if chunk is None or held + size > CHUNK_WORDS:
+                    chunk, codes, held = names[at].as_py(), {}, 0
+                held += size
+                numbers, new = [], []
+                for i, word in enumerate(flat.dictionary.to_pylist()):
+                    number = known.get(word)
+                    if number is None:
+                        if word not in codes:
+                            new.append((i, len(codes)))
+                            codes[word] = len(codes)
+                        number = -1 - codes[word]
+                    numbers.append(number)
+                ends = bounds(lengths)
+                encoded = pa.ListArray.from_arrays(ends, pa.array(numbers, pa.int32()).take(flat.indices))
+                new = np.array(new, np.int64).reshape(-1, 2)
+                # Words of a dictionary stand in the order of their first places.
+                indices = flat.indices.to_numpy(zero_copy_only=False)
+                first = np.zeros(len(numbers), np.int64)
+                first[indices[::-1]] = np.arange(len(indices))[::-1]
+                rows = np.searchsorted(ends.to_numpy(), first[new[:, 0]], "right") - 1
+                counts = np.bincount(rows, minlength=len(lengths))
+                texts = flat.dictionary.take(pa.array(new[:, 0])).cast(pa.string())
+                rare = pa.StructArray.from_arrays([pa.array(new[:, 1].astype(np.int32)), texts], ["code", "token"])
+                chunks = pa.array(np.full(len(lengths), chunk, np.int64))
+                yield pa.StructArray.from_arrays(
+                    [chunks, encoded, pa.ListArray.from_arrays(bounds(counts), rare)], ["chunk", "ids", "rare"]
+                )
+                at += len(lengths)
+
+    return ids
+
+
+def _filled(rows: pa.Table, found: pa.Table) -> pa.Table:
+    """A chunk's rows with the ids of its numbered words; what is not found is unknown."""
+    lists = rows["_ids"].combine_chunks()
+    flat = lists.flatten().to_numpy(zero_copy_only=False).copy()
+    rare = np.flatnonzero(flat < 0)
+    codes = -1 - flat[rare]
+    numbers = np.full(codes.max(initial=-1) + 1, WordTokenizer.unknown_id, np.int32)
+    numbers[found["code"].to_numpy()] = found["id"].to_numpy()
+    flat[rare] = numbers[codes]
+    lengths = lists.value_lengths().to_numpy(zero_copy_only=False)
+    filled = pa.ListArray.from_arrays(bounds(lengths), pa.array(flat, pa.int32()))
+    return rows.set_column(rows.column_names.index("_ids"), "_ids", filled).drop_columns(["_chunk"])
 
 
 @dataclass
@@ -147,21 +202,24 @@ class WordTokenizer:
     def transform(self, df: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
         """Replace ``text`` by ``tokens``. Every row is a document of its own; keys do not matter.
 
-        Frequent words, which are nearly all occurrences, get their id where they are. Occurrences
-        of other words are joined to the rest of the vocabulary and brought back to their row. None of
-        these words is frequent, so no join key is hot. The result is the same for any ``shared_words``.
+        Frequent words, which are nearly all occurrences, get their id where they are. Other words are numbered
+        in chunks of rows; each different one of a chunk is joined once to the rest of the vocabulary, and its id
+        meets the chunk's rows. A word meets the vocabulary at most once a chunk, so no join key is hot, and a chunk
+        has a bounded number of words. The result is the same for any ``shared_words``.
         """
         kept = [c for c in df.columns if c != text]
-        encoded = df.select(*kept, F.explode(F.array(_word_ids(*self._sent_words())(words(F.col(text))))).alias("_w"))
         end = F.array(F.lit(self.eos_id))
         others = self.vocabulary.filter(~self._is_shared).select("token", "id")
         if others.isEmpty():
-            ids = F.transform("_w.ids", lambda i: F.coalesce(i, F.lit(self.unknown_id)))
-            return encoded.select(*kept, F.concat(ids, end).alias("tokens"))
-        rows = stage(encoded.withColumn("_row", F.monotonically_increasing_id()), "encoded")
-        rare = rows.select("_row", F.inline("_w.rare"))
-        found = rare.join(others, "token").groupBy("_row").agg(F.collect_list(F.struct("at", "id")).alias("_found"))
-        filled = rows.join(found, "_row", "left").select(*kept, _filled(F.col("_w.ids"), F.col("_found")).alias("_ids"))
+            ids = F.explode(F.array(_word_ids(*self._sent_words())(words(F.col(text))))).alias("_ids")
+            return df.select(*kept, ids).select(*kept, F.concat("_ids", end).alias("tokens"))
+        numbered = _numbered_words(*self._sent_words())(words(F.col(text)), F.monotonically_increasing_id())
+        rows = stage(df.select(*kept, F.explode(F.array(numbered)).alias("_w")), "encoded")
+        rare = rows.select(F.col("_w.chunk").alias("_chunk"), F.inline("_w.rare"))
+        found = rare.join(others, "token").select("_chunk", "code", "id")
+        encoded = rows.select(*kept, F.col("_w.chunk").alias("_chunk"), F.col("_w.ids").alias("_ids"))
+        chunks = encoded.groupBy("_chunk").cogroup(found.groupBy("_chunk"))
+        filled = chunks.applyInArrow(_filled, encoded.drop("_chunk").schema)
         return filled.select(*kept, F.concat("_ids", end).alias("tokens"))
 
 

@@ -76,3 +76,27 @@ def test_stories(docs):
 def test_framing(spark):
     framed = spark.createDataFrame([("x",)], "t string").select(T.frame(F.col("t"), "<eos>")).first()[0]
     assert framed == "x\n<eos>\n"
+
+
+def _encoded(docs, monkeypatch, **options):
+    """The tokens, and the written table of ids and numbered words that they come from."""
+    written, stage = [], T.stage
+    monkeypatch.setattr(T, "stage", lambda df, name: written.append(stage(df, name)) or written[-1])
+    got = _ids(T.WordTokenizer(T.WordTokenizer.fit(docs).vocabulary, **options).transform(docs))
+    return got, written[-1]
+
+
+def test_a_rare_word_meets_the_vocabulary_once_a_chunk(spark, monkeypatch):
+    rows = [(str(i), "b a a c" if i % 2 else "" if i % 3 else "c d") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id string, text string").coalesce(1)
+    expected = _ids(T.WordTokenizer.fit(docs).transform(docs))
+    for words, chunks in ((1000, 1), (12, None), (1, 60)):
+        monkeypatch.setattr(T, "CHUNK_WORDS", words)
+        got, table = _encoded(docs, monkeypatch, shared_words=0)
+        assert got == expected
+        met = table.select("_w.chunk", F.inline("_w.rare"))
+        assert met.count() == met.select("chunk", "token").distinct().count() == met.select("chunk", "code").distinct().count()
+        if chunks:
+            assert table.select("_w.chunk").distinct().count() == chunks
+        if chunks == 1:
+            assert met.count() == 4
