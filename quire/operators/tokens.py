@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 
 from quire.operators.ranking import running_offsets
 from quire.functions.text import is_blank, strip
+from quire.session import keep_batches_small
 from quire.staging import stage
 
 WORD_PATTERN = r"[\p{L}\p{N}]+|[^\s\p{L}\p{N}]"
@@ -207,6 +208,7 @@ class WordTokenizer:
         meets the chunk's rows. A word meets the vocabulary at most once a chunk, so no join key is hot, and a chunk
         has a bounded number of words. The result is the same for any ``shared_words``.
         """
+        keep_batches_small(df.sparkSession)
         kept = [c for c in df.columns if c != text]
         end = F.array(F.lit(self.eos_id))
         others = self.vocabulary.filter(~self._is_shared).select("token", "id")
@@ -246,6 +248,7 @@ class ByteTokenizer:
 
     def transform(self, df: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
         """Replace ``text`` by ``tokens``; the end of text stands on a line of its own."""
+        keep_batches_small(df.sparkSession)
         newline = ord("\n")
         end = F.array(F.lit(newline), F.lit(self.eos_id), F.lit(newline))
         kept = [c for c in df.columns if c != text]

@@ -21,9 +21,17 @@ SETTINGS = {
 }
 
 
+_BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 _shipped: set[str] = set()
 
 
+def keep_batches_small(spark: SparkSession) -> None:
+    """Rows are whole texts: a batch of Spark's 10,000 is held twice by the JVM and several times by the worker."""
+    most = int(SETTINGS[_BATCH_ROWS])
+    if not 0 < int(spark.conf.get(_BATCH_ROWS)) <= most:
+        spark.conf.set(_BATCH_ROWS, str(most))
+
+
 def ship_package(spark: SparkSession) -> None:
     """Make this package importable in Python workers (as ``--py-files`` would)."""
     context = spark.sparkContext

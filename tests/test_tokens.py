@@ -100,3 +100,18 @@ def test_a_rare_word_meets_the_vocabulary_once_a_chunk(spark, monkeypatch):
             assert table.select("_w.chunk").distinct().count() == chunks
         if chunks == 1:
             assert met.count() == 4
+
+
+def test_few_texts_at_once_go_to_python(spark, docs):
+    setting, before = "spark.sql.execution.arrow.maxRecordsPerBatch", spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    tokenizer = T.WordTokenizer.fit(docs)
+    try:
+        for other in (T.WordTokenizer(tokenizer.vocabulary, shared_words=0), tokenizer, T.ByteTokenizer()):
+            spark.conf.set(setting, "10000")
+            other.transform(docs)
+            assert int(spark.conf.get(setting)) <= 512
+        spark.conf.set(setting, "7")
+        tokenizer.transform(docs)
+        assert spark.conf.get(setting) == "7"
+    finally:
+        spark.conf.set(setting, before)
