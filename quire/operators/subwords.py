@@ -12,6 +12,7 @@ import json
 import os
 import re
 import uuid
+from array import array
 from collections.abc import Iterator
 from heapq import heapify, heappop, heappush
 
@@ -20,7 +21,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quire.operators.tokens import IDS, frame
+from quire.operators.tokens import CHUNK_WORDS, IDS, bounds, frame, pieces
+from quire.session import keep_batches_small
 
 MAX_DEFINITION_BYTES = 64 << 20
 # Words whose ids a worker remembers.
@@ -47,9 +49,11 @@ class Merges(dict):
     def __missing__(self, word: str) -> list[int]:
         if len(self) >= REMEMBERED_WORDS:
             self.clear()
-        ids = self[word] = self.fixed[word] if word in self.fixed else self.encode(word.encode())
+        ids = self[word] = self.kept(self.fixed[word] if word in self.fixed else self.encode(word.encode()))
         return ids
 
+    kept = staticmethod(list)
+
     def encode(self, word: bytes) -> list[int]:
         """Join the adjacent pair that comes first among the merges, the leftmost of equal ones, while there is one."""
         if self.whole_words and word in self.ids:
@@ -80,6 +84,12 @@ class Merges(dict):
         return [self.ids[p] for p in parts if p]
 
 
+class PackedMerges(Merges):
+    """Keeps the ids of a word as the bytes of 32-bit numbers, a quarter of a list's size."""
+
+    kept = staticmethod(lambda ids: array("i", ids).tobytes())
+
+
 _LOADED: dict[str, Merges] = {}
 
 
@@ -88,7 +98,7 @@ def _loaded(name: str, definition) -> Merges:
     if name not in _LOADED:
         _LOADED.clear()
         ids, ranks, whole_words, fixed = definition.value
-        _LOADED[name] = Merges(ids, ranks, whole_words)
+        _LOADED[name] = PackedMerges(ids, ranks, whole_words)
         _LOADED[name].fixed = fixed
     return _LOADED[name]
 
@@ -139,6 +149,7 @@ class SubwordTokenizer:
 
     def transform(self, df: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
         """Replace ``text`` by ``tokens``; the end of text stands on a line of its own."""
+        keep_batches_small(df.sparkSession)
         fixed = {t: [i] for t, i in self.added.items()}
         definition = df.sparkSession.sparkContext.broadcast((self.ids, self.ranks, self.whole_words, fixed))
         name = uuid.uuid4().hex
@@ -147,12 +158,16 @@ class SubwordTokenizer:
         def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             known = _loaded(name, definition)
             for lists in batches:
-                flat = lists.flatten().dictionary_encode()
-                ids = pa.array([known[w] for w in flat.dictionary.to_pylist()], pa.list_(pa.int32())).take(flat.indices)
-                ends = np.concatenate([[0], np.cumsum(ids.value_lengths().to_numpy(zero_copy_only=False))])
-                words = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-                bounds = ends[np.concatenate([[0], np.cumsum(words)])].astype(np.int32)
-                yield pa.ListArray.from_arrays(pa.array(bounds), ids.flatten())
+                for piece in pieces(lists, CHUNK_WORDS):
+                    flat = piece.flatten().dictionary_encode()
+                    found = [known[w] for w in flat.dictionary.to_pylist()]
+                    sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+                    numbers = pa.array(np.frombuffer(b"".join(found), np.int32))
+                    ids = pa.ListArray.from_arrays(bounds(sizes), numbers).take(flat.indices)
+                    ends = np.concatenate([[0], np.cumsum(ids.value_lengths().to_numpy(zero_copy_only=False))])
+                    words = piece.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+                    last = ends[np.concatenate([[0], np.cumsum(words)])].astype(np.int32)
+                    yield pa.ListArray.from_arrays(pa.array(last), ids.flatten())
 
         kept = [c for c in df.columns if c != text]
         framed = frame(F.coalesce(F.col(text), F.lit("")), self.eos)

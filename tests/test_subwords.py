@@ -91,3 +91,22 @@ def test_queries(spark, small, library):
 def test_needs_its_eos():
     with pytest.raises(ValueError):
         S.SubwordTokenizer(PATH, "</nothing>")
+
+
+def test_few_texts_at_once_go_to_python(spark, library):
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(setting)
+    try:
+        spark.conf.set(setting, "10000")
+        S.SubwordTokenizer(PATH, EOS).transform(_frame(spark, ["a"]))
+        assert int(spark.conf.get(setting)) <= 512
+    finally:
+        spark.conf.set(setting, before)
+
+
+def test_words_are_remembered_as_bytes(library):
+    t = S.SubwordTokenizer(PATH, EOS)
+    known = S.PackedMerges(t.ids, t.ranks, t.whole_words)
+    for word in ["unbelievably", "one"]:
+        ids = library.encode(word, add_special_tokens=False).ids
+        assert known[word] == b"".join(i.to_bytes(4, "little") for i in ids) and isinstance(known[word], bytes)
