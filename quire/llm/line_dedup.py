@@ -30,6 +30,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 from itertools import chain
 
 import numpy as np
@@ -50,6 +51,10 @@ MAX_SHARED_LINES = 2_000_000
 # Signatures (40 bytes each) likewise.
 MAX_SHARED_SIGNATURES = 500_000
 
+# Keys of more different lines than this are taken in so many shares.
+MAX_UNSHARED_ROWS = 100_000
+KEY_SHARES = 4
+
 _WORD_BYTES = bytes(b if b >= 0x80 or b == 0x0A or chr(b).isalnum() else 0x20 for b in range(256)).lower()
 # Letters of scripts without spaces (Thai, Lao, Burmese, Khmer, kana, Han), each a word of its own, and marks beyond ASCII.
 _UNSPACED = re.compile("([\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff])")
@@ -252,6 +257,15 @@ def _signatures(distinct: DataFrame) -> DataFrame:
     return stage(signed, "line-signatures")
 
 
+_SIDES = ("s0", "s1", "s2", "s3")
+
+
+def _alike(sides: list[tuple[str, str]], size_a: str, size_b: str) -> Column:
+    """Holds for signatures of lines that may be linked."""
+    differ = sum(F.bit_count(F.col(a).bitwiseXOR(F.col(b))) for a, b in sides)
+    return differ <= 2 * F.floor(F.greatest(size_a, size_b) / 5)
+
+
 def _still_near(pairs: DataFrame, signatures: DataFrame, few: bool) -> DataFrame:
     """Pairs whose signatures do not rule out a link; each edit changes at most two classes."""
     sides = []
@@ -259,8 +273,8 @@ def _still_near(pairs: DataFrame, signatures: DataFrame, few: bool) -> DataFrame
         renamed = signatures.select(F.col("line").alias(side), F.struct("s0", "s1", "s2", "s3", "size").alias(f"sig_{side}"))
         sides.append(F.broadcast(renamed) if few else renamed)
     both = pairs.join(sides[0], "a").join(sides[1], "b")
-    differ = sum(F.bit_count(F.col(f"sig_a.s{i}").bitwiseXOR(F.col(f"sig_b.s{i}"))) for i in range(4))
-    return both.filter(differ <= 2 * F.floor(F.greatest("sig_a.size", "sig_b.size") / 5)).select("a", "b")
+    sides = [(f"sig_a.{c}", f"sig_b.{c}") for c in _SIDES]
+    return both.filter(_alike(sides, "sig_a.size", "sig_b.size")).select("a", "b")
 
 
 def _near(odd_a: str, size_a: str, odd_b: str, size_b: str) -> Column:
@@ -283,10 +297,22 @@ class Search:
 LINES = Search(_keyed, _described, _near, _verified)
 
 
-def _links(pairs: DataFrame, distinct: DataFrame, signatures: DataFrame, search: Search) -> DataFrame:
+def _share(rows: DataFrame, by: str, part: int, parts: int) -> DataFrame:
+    """One of ``parts`` shares of the rows, by a column of hashes."""
+    return rows if parts == 1 else rows.filter(F.pmod(by, F.lit(parts)) == part)
+
+
+def _union(tables: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, tables)
+
+
+def _links(found: list[DataFrame], distinct: DataFrame, signatures: DataFrame, search: Search) -> DataFrame:
     """Candidate pairs ``(a, b)`` that are similar enough; signatures thin them out before words are read."""
-    few = signatures.count() <= MAX_SHARED_SIGNATURES
-    pairs = stage(_still_near(pairs.distinct(), signatures, few), "line-pairs")
+    few, parts = signatures.count() <= MAX_SHARED_SIGNATURES, len(found)
+    shares = [_share(_union(found), "a", part, parts).distinct() for part in range(parts)]
+    near = [stage(_still_near(share, signatures, few), "line-pairs") for share in shares]
+    drop(*found)
+    pairs = _union(near)
     ids = stage(pairs.select(F.explode(F.array("a", "b")).alias("line")).distinct(), "candidate-lines")
     needed = F.broadcast(ids) if ids.count() <= MAX_SHARED_LINES else ids
     words = stage(distinct.select("line", "words").join(needed, "line", "left_semi"), "candidate-words")
@@ -294,47 +320,71 @@ def _links(pairs: DataFrame, distinct: DataFrame, signatures: DataFrame, search:
     second = words.select(F.col("line").alias("b"), F.col("words").alias("words_b"))
     joined = pairs.join(first, "a").join(second, "b").select("a", "b", "words_a", "words_b")
     links = stage(joined.mapInArrow(search.verified, "a bigint, b bigint"), "line-links")
-    drop(pairs, ids, words)
+    drop(*near, ids, words)
     return links
 
 
+def distinct_lines(lines: DataFrame) -> DataFrame:
+    """``(line, words, n)`` of different lines, written."""
+    return stage(lines.groupBy("line").agg(F.first("words").alias("words"), F.count("*").alias("n")), "distinct-lines")
+
+
 def line_groups(lines: DataFrame) -> DataFrame:
     """``(id, component)`` of lines that are linked to another one."""
-    distinct = stage(lines.groupBy("line").agg(F.first("words").alias("words"), F.count("*").alias("n")), "distinct-lines")
-    return similar_groups(distinct, LINES)
+    return similar_groups(distinct_lines(lines), LINES)
 
 
 def similar_groups(distinct: DataFrame, search: Search) -> DataFrame:
-    """``(id, component)`` of the rows ``(line, words, n)`` that are linked to another one."""
+    """``(id, component)`` of the rows ``(line, words, n)`` that are linked to another one.
+
+    Many rows are taken in shares of their keys, one after the other: a share's shuffles are gone before the next
+    one begins, and every key and pair is in one share.
+    """
+    parts = KEY_SHARES if distinct.count() > MAX_UNSHARED_ROWS else 1
     keyed = distinct.select("line", "words").mapInArrow(search.keyed, "key bigint, line bigint")
-    met = keyed.withColumn("_n", F.count("*").over(Window.partitionBy("key"))).filter("_n > 1").drop("_n")
     described = distinct.select("line", "n", "words").mapInArrow(search.described, "line bigint, n bigint, odd bigint, size int")
-    met = stage(met, "met-keys")
-    shared = stage(met.join(described, "line"), "line-keys")
-    drop(met)
+    described = stage(described, "line-facts")
     commonest = F.max(F.struct("n", "line", "odd", "size")).alias("top")
-    center = stage(shared.groupBy("key").agg(commonest), "key-centers")
     near_top = search.near("odd", "size", "top.odd", "top.size")
-    close = shared.join(center, "key").filter((F.col("line") != F.col("top.line")) & near_top)
+    shares, found = [], []
+    for part in range(parts):
+        met = _share(keyed, "key", part, parts).withColumn("_n", F.count("*").over(Window.partitionBy("key")))
+        met = stage(met.filter("_n > 1").drop("_n"), "met-keys")
+        shared = stage(met.join(described, "line"), "line-keys")
+        drop(met)
+        center = stage(shared.groupBy("key").agg(commonest), "key-centers")
+        close = shared.join(center, "key").filter((F.col("line") != F.col("top.line")) & near_top)
+        found.append(stage(close.select(F.col("line").alias("a"), F.col("top.line").alias("b")).distinct(), "close-pairs"))
+        drop(center)
+        shares.append(shared)
+    drop(described)
     signatures = _signatures(distinct)
-    links = _links(close.select(F.col("line").alias("a"), F.col("top.line").alias("b")), distinct, signatures, search)
-    drop(center)
+    links = _links(found, distinct, signatures, search)
     known = components(links, "line-components")
-    grouped = shared.join(known.withColumnRenamed("id", "line"), "line", "left")
-    grouped = stage(grouped.select("key", "line", "odd", "size", F.coalesce("component", "line").alias("group")), "grouped-keys")
-    drop(shared, known)
-    sizes = grouped.groupBy("key", "group").agg(F.count("*").alias("n"))
-    main = sizes.groupBy("key").agg(F.max_by("group", "n").alias("main"), F.count("*").alias("groups")).filter("groups > 1")
-    mixed = stage(grouped.join(main.drop("groups"), "key"), "mixed-keys")
-    drop(grouped)
-    apart = mixed.filter("group != main").select("key", F.col("line").alias("a"), "odd", "size", F.col("group").alias("group1"))
-    every = mixed.select("key", F.col("line").alias("b"), F.col("odd").alias("odd2"), F.col("size").alias("size2"), F.col("group").alias("group2"))
-    across = apart.join(every, "key").filter((F.col("group1") != F.col("group2")) & search.near("odd", "size", "odd2", "size2"))
-    more = _links(across.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")), distinct, signatures, search)
-    drop(mixed, signatures)
-    found = components(links.unionByName(more), "line-components")
+    found = []
+    for shared in shares:
+        # Signatures go along, as lines of different groups make many pairs, and most are ruled out where they meet.
+        grouped = shared.drop("n").join(known.withColumnRenamed("id", "line"), "line", "left").join(signatures.drop("size"), "line")
+        grouped = grouped.select("key", "line", "odd", "size", F.coalesce("component", "line").alias("group"), *_SIDES)
+        grouped = stage(grouped, "grouped-keys")
+        drop(shared)
+        sizes = grouped.groupBy("key", "group").agg(F.count("*").alias("n"))
+        main = sizes.groupBy("key").agg(F.max_by("group", "n").alias("main"), F.count("*").alias("groups")).filter("groups > 1")
+        mixed = stage(grouped.join(main.drop("groups"), "key"), "mixed-keys")
+        drop(grouped)
+        apart = mixed.filter("group != main").select("key", F.col("line").alias("a"), "odd", "size", F.col("group").alias("group1"), *_SIDES)
+        renamed = [F.col(c).alias(f"{c}2") for c in ("odd", "size", "group", *_SIDES)]
+        every = mixed.select("key", F.col("line").alias("b"), *renamed)
+        near = search.near("odd", "size", "odd2", "size2") & _alike([(c, f"{c}2") for c in _SIDES], "size", "size2")
+        across = apart.join(every, "key").filter((F.col("group1") != F.col("group2")) & near)
+        found.append(stage(across.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "across-pairs"))
+        drop(mixed)
+    drop(known)
+    more = _links(found, distinct, signatures, search)
+    drop(signatures)
+    all_links = components(links.unionByName(more), "line-components")
     drop(links, more, distinct)
-    return found
+    return all_links
 
 
 def removed_lines(docs: DataFrame) -> DataFrame:
@@ -345,7 +395,11 @@ def removed_lines(docs: DataFrame) -> DataFrame:
         F.col("text").cast("string").alias("text"),
     )
     lines = stage(narrow.mapInArrow(_hashed, "doc_id bigint, text_hash bigint, at int, line bigint, words binary"), "lines")
-    groups = line_groups(lines)
+    distinct = distinct_lines(lines)
+    # Words are most of the table; from here on only the distinct lines have them.
+    places = stage(lines.drop("words"), "line-places")
+    drop(lines)
+    lines, groups = places, similar_groups(distinct, LINES)
     counts = lines.groupBy("line").agg(F.count("*").alias("n"))
     labelled = counts.join(groups.withColumnRenamed("id", "line"), "line", "left")
     labelled = labelled.select("line", "n", F.coalesce("component", "line").alias("group"))

@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from quire.llm import line_dedup as L
 
@@ -81,3 +82,41 @@ def test_short_and_unspaced_lines(spark):
     ]
     got = {r.doc_id: r.text for r in L.deduped_lines(spark.createDataFrame(docs, "doc_id bigint, text string")).collect()}
     assert got == {1: docs[0][1], 2: "\n---\nanother"}
+
+
+def test_shares_of_keys_give_the_same_groups(spark, monkeypatch):
+    draw = random.Random(11)
+    base = [[f"w{draw.randrange(400)}" for _ in range(draw.randrange(4, 30))] for _ in range(60)]
+    texts = []
+    for i in range(240):
+        words = list(draw.choice(base))
+        words[draw.randrange(len(words))] = f"x{draw.randrange(5)}"
+        texts.append(" ".join(words))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+
+    def result():
+        return sorted((r.doc_id, r.n_removed, r.text) for r in L.deduped_lines(docs).collect())
+
+    whole, names, stage = result(), [], L.stage
+    monkeypatch.setattr(L, "MAX_UNSHARED_ROWS", 10)
+    monkeypatch.setattr(L, "stage", lambda df, name: names.append((name, "words" in df.columns)) or stage(df, name))
+    assert result() == whole and 0 < sum(n for _, n, _ in whole) < 240
+    assert names.count(("met-keys", False)) == L.KEY_SHARES and ("line-places", False) in names
+
+
+def test_lines_with_one_phrase_make_no_written_pairs(spark, monkeypatch):
+    """Different lines around a phrase are ruled out where they meet, not after they were written as pairs."""
+    texts = [f"of all the things that there are {' '.join(f'v{i}x{j}' for j in range(8))}" for i in range(40)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    rows, stage = {}, L.stage
+
+    def counted(df, name):
+        table = stage(df, name)
+        rows[name] = table.count()
+        return table
+
+    monkeypatch.setattr(L, "stage", counted)
+    monkeypatch.setattr(L, "_near", lambda *columns: F.lit(True))
+    monkeypatch.setattr(L, "LINES", L.Search(L._keyed, L._described, L._near, L._verified))
+    assert all(r.n_removed == 0 for r in L.deduped_lines(docs).collect())
+    assert rows["mixed-keys"] >= 40 and rows["across-pairs"] < 40
