@@ -4,10 +4,11 @@
    own) and get an id (a 64-bit hash of the normalised words). Lines with equal words are one node with a count.
 2. Two lines are linked if their word edit similarity is 0.8 or more (words as 32-bit hashes). The
    search is complete. With ``n`` words in the longer line, at most ``k = n // 5`` edits are allowed, and each
-   changes at most three word triples, so the lines have ``n - 2 - 3 k`` or more triples in common. Of two lists sorted
-   by one order (here by hash), the first few then hold a common one: a line's keys are its first
-   ``prefix_sizes``, about 0.6 a word. Pairs of up to five words use word pairs in the same way. Candidates of a key have
-   lengths within 0.8 and word parities that differ in at most ``2 k`` of 64 bits, which no linked pair fails.
+   changes at most two pairs of neighbouring words, so the lines have ``n - 1 - 2 k`` or more pairs in common. Of two
+   lists sorted by one order, the first few then hold a common one: a line's keys are its first ``prefix_sizes``, about
+   0.4 a word. Rare words come first in that order, by a table of fixed size made of a sample of lines; the table decides
+   how many lines meet, not which links are found. Candidates of a key have lengths within 0.8 and word parities that
+   differ in at most ``2 k`` less the difference of lengths, of 64 and then 256 or more classes, which no linked pair fails.
 3. Groups are connected components. Of each group with more than one occurrence the first stays,
    by ``(doc_id, hash of the text, line number)``; the others are removed from their documents.
 
@@ -15,10 +16,11 @@ SimHash is not used: a link at 0.8 differs in a fifth of the bits of a SimHash o
 is shared with a chance of 0.025 and one of 32 bits with 0.0006. Recall 0.9 takes about 90 keys of 16 bits a line, and such
 keys are shared by chance with every 65,536th line.
 
-A key shared by many similar lines is not expanded into pairs. Every line is first compared with the commonest
-line that it shares a key with (the original, as a rule). Lines that ended in the same component need no further comparison; those
-outside their key's largest component are then compared with the key's lines in other components. No
-link between components is lost. A key that many lines share that are not similar is expanded in this last step.
+A key shared by many similar lines is not expanded into pairs. The commonest line of a key (the original, as a rule)
+stands for it. Every line is first compared with that one of these that it shares most keys with. Lines that ended in the
+same component need no further comparison; those that did not are then compared with the others of these, and lines
+outside their key's largest component with the key's lines in other components. No link between components is lost. A key
+that many lines share that are not similar is expanded in this last step.
 
 Defined cases: null texts stay null, empty ones empty; lines without words stay. Rows with equal
 ``doc_id`` and text are one document and are treated alike. Other columns pass unchanged. A 64-bit
@@ -31,11 +33,10 @@ import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import reduce
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import xxhash
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -46,21 +47,31 @@ from quire.staging import drop, stage
 # Equal lines of any length are linked, if there is a word in them.
 MIN_WORDS = 1
 SIMILARITY = 0.8
-# Line ids and numbers are handed to every task up to this many (8 bytes each); beyond it rows are shuffled to them.
+# Numbers of lines are handed to every task up to this many (8 bytes each); beyond it rows are shuffled to them.
 MAX_SHARED_LINES = 2_000_000
-# Signatures (40 bytes each) likewise.
-MAX_SHARED_SIGNATURES = 500_000
+# Ids of candidates (8 bytes each) and signatures (40 bytes each) likewise; the driver holds these several times.
+MAX_SHARED_IDS = 200_000
+MAX_SHARED_SIGNATURES = 50_000
 
 # Keys of more different lines than this are taken in so many shares.
 MAX_UNSHARED_ROWS = 100_000
 KEY_SHARES = 4
 
+# Lines of more words have a wider signature: 256 classes are half odd, however unlike two lines are.
+MOST_NARROW, MOST_WIDE = 160, 800
+
+# With fewer lines, keys are ordered by hash alone; with more, about so many show which words are common.
+MIN_RANKED_LINES = 1_000
+RANKED_SAMPLE = 20_000
+
 _WORD_BYTES = bytes(b if b >= 0x80 or b == 0x0A or chr(b).isalnum() else 0x20 for b in range(256)).lower()
 # Letters of scripts without spaces (Thai, Lao, Burmese, Khmer, kana, Han), each a word of its own, and marks beyond ASCII.
 _UNSPACED = re.compile("([\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff])")
 _WIDE_MARKS = re.compile("[\u2000-\u206f\u3000-\u3004\u3008-\u3020\u3030\u30a0\u30fb\ufe10-\ufe1f\ufe30-\ufe6f\uff01-\uff0f\uff1a-\uff20\uff3b-\uff40\uff5b-\uff65]")
 _ROWS = 256
-_MAX_WORDS = 300_000
+_STEP = np.uint64(0x9E3779B97F4A7C15)
+_LEVEL_WORDS = 1 << 20
+_KEY_ROWS, _LEVEL_BITS, _HASH_BITS = 1024, 7, 47
 
 
 def spaced(text: str) -> str:
@@ -75,60 +86,68 @@ def line_words(text: str) -> list[list[bytes]]:
     return [line.split() for line in spaced(text).lower().encode().translate(_WORD_BYTES).split(b"\n")]
 
 
-class _Hashes(dict):
-    """64-bit hashes of words; starts anew when it has grown large."""
-
-    def __missing__(self, word):
-        if len(self) >= _MAX_WORDS:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
-
-
-_HASHES = _Hashes()
-
-
-def word_hashes(lines: list[list[bytes]]) -> np.ndarray:
-    return np.fromiter(map(_HASHES.__getitem__, chain.from_iterable(lines)), np.uint64, sum(map(len, lines)))
-
-
-def _signed(value: int) -> int:
-    return value - (1 << 64) if value >> 63 else value
-
-
-def _line_id(words: list[bytes]) -> int:
-    return _signed(xxhash.xxh3_64_intdigest(b" ".join(words)))
+def _mix(values: np.ndarray) -> np.ndarray:
+    values = (values ^ values >> np.uint64(30)) * np.uint64(0xBF58476D1CE4E5B9)
+    values = (values ^ values >> np.uint64(27)) * np.uint64(0x94D049BB133111EB)
+    return values ^ values >> np.uint64(31)
 
 
-def _candidate_lines(texts: list[str | None]) -> Iterator[tuple[int, int, list[bytes]]]:
-    """``(text, line number, words)`` of all lines that are long enough."""
-    for number, text in enumerate(texts):
-        for at, words in enumerate(line_words(text)) if text else ():
-            if len(words) >= MIN_WORDS:
-                yield number, at, words
+def word_hashes(content: bytes, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the words at these places, eight bytes of all words at a time."""
+    eights = np.ndarray(len(content) + 1, "<u8", content + bytes(8), strides=(1,))
+    hashes, at, active = sizes.astype(np.uint64) * _STEP, 0, np.arange(len(starts))
+    while len(active):
+        unused = np.maximum(at + 8 - sizes[active], 0).astype(np.uint64) * np.uint64(8)
+        values = eights[starts[active] + at] << unused
+        hashes[active] = _mix((hashes[active] ^ values) + _STEP)
+        at += 8
+        active = active[sizes[active] > at]
+    return hashes
+
+
+def hashed_lines(texts: list[str | None]) -> tuple[np.ndarray, ...]:
+    """Of all lines that are long enough: number of the text, of the line, id, number of words; and 32 bits of all their words."""
+    cleaned = [spaced(text).lower().encode() if text else b"" for text in texts]
+    content = b"\n".join(cleaned).translate(_WORD_BYTES)
+    letters = np.frombuffer(content, np.uint8)
+    edges = np.flatnonzero(np.diff((letters > 0x20).view(np.int8), prepend=np.int8(0), append=np.int8(0)))
+    starts, ends = edges[0::2], edges[1::2]
+    hashes = word_hashes(content, starts, ends - starts)
+    line = np.searchsorted(np.flatnonzero(letters == 0x0A), starts)
+    firsts = np.flatnonzero(np.diff(line, prepend=-1))
+    sizes = np.diff(firsts, append=len(line))
+    if len(firsts) and MIN_WORDS > 1:
+        enough = np.repeat(sizes >= MIN_WORDS, sizes)
+        hashes, line = hashes[enough], line[enough]
+        firsts = np.flatnonzero(np.diff(line, prepend=-1))
+        sizes = np.diff(firsts, append=len(line))
+    place = (np.arange(len(line)) - np.repeat(firsts, sizes)).astype(np.uint64)
+    placed = _mix(hashes + (place + np.uint64(1)) * _STEP)
+    ids = _mix(np.add.reduceat(placed, firsts) + sizes.astype(np.uint64)) if len(firsts) else placed
+    breaks = np.fromiter((c.count(b"\n") + 1 for c in cleaned), np.int64, len(cleaned))
+    first_lines, found = np.cumsum(breaks) - breaks, line[firsts]
+    numbers = np.searchsorted(first_lines, found, "right") - 1
+    return numbers, found - first_lines[numbers], ids.view(np.int64), sizes, hashes.astype("<u4")
 
 
 def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for whole in batches:
         for low in range(0, whole.num_rows, _ROWS):
             batch = whole.slice(low, _ROWS)
-            found = list(_candidate_lines(batch["text"].to_pylist()))
-            if found:
-                numbers, places, lines = zip(*found)
-                at, hashes = pa.array(numbers, pa.int64()), word_hashes(lines)
-                sizes = np.fromiter(map(len, lines), np.int64, len(lines))
+            numbers, places, ids, sizes, words = hashed_lines(batch["text"].to_pylist())
+            if len(ids):
+                at = pa.array(numbers, pa.int64())
                 columns = [
                     batch["doc_id"].take(at), batch["text_hash"].take(at), pa.array(places, pa.int32()),
-                    pa.array([_line_id(w) for w in lines], pa.int64()), _short_words(hashes, sizes),
+                    pa.array(ids), _short_words(words, sizes),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_hash", "at", "line", "words"])
 
 
-def _short_words(hashes: np.ndarray, sizes: np.ndarray) -> pa.Array:
-    """The words of each line as 32-bit numbers, in one binary value."""
+def _short_words(words: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """The words of each line, given as 32-bit numbers, in one binary value."""
     offsets = np.concatenate([[0], np.cumsum(4 * sizes)]).astype(np.int32)
-    content = hashes.astype("<u4").tobytes()
-    return pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(content)])
+    return pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(words.tobytes())])
 
 
 def edit_distance(a: list, b: list) -> int:
@@ -169,52 +188,56 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch["a"], batch["b"]], ["a", "b"]).filter(pa.array(kept, pa.bool_()))
 
 
-def prefix_sizes(sizes: np.ndarray, gram: int) -> np.ndarray:
-    """How many of its grams of two or three words a line has to offer as keys.
+def prefix_sizes(sizes: np.ndarray) -> np.ndarray:
+    """How many of its pairs of words a line has to offer as keys.
 
-    For a longer line of ``n`` words it is ``gram * (n // 5) + 1 - (n - size)``, largest at the own size or at the next
-    multiple of five. Pairs go with a longer line of five words, triples with all longer ones.
+    For a longer line of ``n`` words it is ``2 * (n // 5) + 1 - (n - size)``, largest at the own size or at the next
+    multiple of five. Lines of fewer than four words are linked to equal ones only.
     """
-    if gram == 2:
-        return np.select([sizes == 5, sizes == 4], [3, 2], 0)
     edits, rest = sizes // 5, 5 - sizes % 5
-    own, longer = gram * edits + 1, gram * (edits + 1) + 1 - rest
+    own, longer = 2 * edits + 1, 2 * (edits + 1) + 1 - rest
     most = np.where(5 * sizes >= 4 * (sizes + rest), np.maximum(own, longer), own)
-    return np.select([sizes > 5, sizes == 5], [most, 3], 0)
+    return np.where(sizes >= 4, most, 0)
 
 
-def _mix(values: np.ndarray) -> np.ndarray:
-    values = (values ^ values >> np.uint64(30)) * np.uint64(0xBF58476D1CE4E5B9)
-    values = (values ^ values >> np.uint64(27)) * np.uint64(0x94D049BB133111EB)
-    return values ^ values >> np.uint64(31)
-
+def gram_keys(words: np.ndarray, sizes: np.ndarray, levels: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """``(row, key)`` for lines given as 32-bit words: the first pairs of neighbouring words, by level and hash.
 
-def gram_keys(words: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """``(row, key)`` for lines given as 32-bit words; the same gram again in a line is another one."""
-    rows, keys = [], []
-    starts = np.cumsum(sizes) - sizes
-    for gram in (2, 3):
-        wanted = prefix_sizes(sizes, gram)
-        owner = np.repeat(np.arange(len(sizes)), np.where(wanted > 0, sizes - gram + 1, 0))
-        if not len(owner):
-            continue
-        counts = np.bincount(owner, minlength=len(sizes))
-        firsts = np.cumsum(counts) - counts
-        at = starts[owner] + np.arange(len(owner)) - firsts[owner]
-        value = np.full(len(owner), gram, np.uint64)
-        for i in range(gram):
-            value = _mix(value * np.uint64(0x9E3779B97F4A7C15) + words[at + i])
-        value = value[np.lexsort((value, owner))]  # owner is sorted already
-        new = np.ones(len(value), bool)
-        new[1:] = (value[1:] != value[:-1]) | (owner[1:] != owner[:-1])
-        places = np.arange(len(value))
-        again = places - np.maximum.accumulate(np.where(new, places, 0))
-        first = places - firsts[owner] < wanted[owner]
-        rows.append(owner[first])
-        keys.append(_mix(value + again.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))[first])
-    if not rows:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    return np.concatenate(rows), np.concatenate(keys).view(np.int64)
+    The same pair again in a line is another one. ``levels`` says how common words are; any levels give the same links.
+    """
+    rows, keys, ends = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], np.cumsum(sizes)
+    for low in range(0, len(sizes), _KEY_ROWS):
+        some = sizes[low : low + _KEY_ROWS]
+        start, end = ends[low] - sizes[low], ends[low + len(some) - 1]
+        owner, found = _some_keys(words[start:end], some, levels)
+        rows.append(owner + low)
+        keys.append(found)
+    return np.concatenate(rows), np.concatenate(keys)
+
+
+def _some_keys(words: np.ndarray, sizes: np.ndarray, levels: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+    """One number has the row (10 bits), the level (7 bits) and the hash (47 bits) of a pair, so that sorting it is all."""
+    wanted = prefix_sizes(sizes)
+    pairs = np.where(wanted > 0, sizes - 1, 0)
+    firsts = np.cumsum(pairs) - pairs
+    owner = np.repeat(np.arange(len(sizes)), pairs)
+    at = np.arange(len(owner)) + np.repeat(np.cumsum(sizes) - sizes - firsts, pairs)
+    long = words.astype(np.uint64)
+    order = _mix(long[at] * _STEP + long[at + 1]) >> np.uint64(64 - _HASH_BITS)
+    if levels is not None:
+        level = levels[words & np.uint32(len(levels) - 1)]
+        order |= (level[at] + level[at + 1]).astype(np.uint64) << np.uint64(_HASH_BITS)
+    order |= owner.astype(np.uint64) << np.uint64(_HASH_BITS + _LEVEL_BITS)
+    order.sort()
+    places = np.arange(len(order))
+    same = np.zeros(len(order), bool)
+    same[1:] = order[1:] == order[:-1]
+    again = places - np.maximum.accumulate(np.where(same, 0, places))
+    first = places < np.repeat(firsts + wanted, pairs)
+    keys, again = order[first] & np.uint64((1 << _HASH_BITS + _LEVEL_BITS) - 1), again[first]
+    repeated = np.flatnonzero(again)
+    keys[repeated] = _mix(keys[repeated] + again[repeated].astype(np.uint64) * _STEP) >> np.uint64(1)
+    return owner[first], keys.view(np.int64)
 
 
 def _parts(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -223,25 +246,33 @@ def _parts(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(values), "<u4"), np.fromiter(map(len, values), np.int64, len(values)) // 4
 
 
-def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        if batch.num_rows:
-            rows, keys = gram_keys(*_parts(batch["words"]))
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), batch["line"].take(pa.array(rows))], ["key", "line"])
+def _parity(words: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Of each of 64 classes of words whether their number in a line is odd."""
+    ones = np.uint64(1) << (words & np.uint32(63)).astype(np.uint64)
+    return np.bitwise_xor.reduceat(ones, starts).view(np.int64)
 
 
-def _described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The number of words, and of each of 64 classes of words whether their number is odd."""
-    for batch in batches:
-        if batch.num_rows:
-            words, sizes = _parts(batch["words"])
-            ones = np.uint64(1) << (words & np.uint32(63)).astype(np.uint64)
-            odd = np.bitwise_xor.reduceat(ones, np.cumsum(sizes) - sizes).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch["line"], batch["n"], pa.array(odd), pa.array(sizes, pa.int32())], ["line", "n", "odd", "size"])
+def _keyed(levels: Broadcast | None, part: int, parts: int) -> Callable:
+    """Makes the keys of one of ``parts`` shares, each with what is compared first."""
+
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                words, sizes = _parts(batch["words"])
+                rows, keys = gram_keys(words, sizes, levels and levels.value)
+                if parts > 1:
+                    own = keys % parts == part
+                    rows, keys = rows[own], keys[own]
+                odd = _parity(words, np.cumsum(sizes) - sizes)
+                line, n = batch["line"].to_numpy(), batch["n"].to_numpy()
+                columns = [keys, line[rows], n[rows], odd[rows], sizes[rows].astype(np.int32)]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["key", "line", "n", "odd", "size"])
+
+    return keyed
 
 
-def _signed_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The odd ones of 256 classes of words, as four numbers."""
+def _described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The odd ones of 256 classes of words, as four numbers; of a long line, those of more classes as well."""
     for batch in batches:
         if batch.num_rows:
             words, sizes = _parts(batch["words"])
@@ -249,39 +280,83 @@ def _signed_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             for side in range(4):
                 ones = np.where(words >> np.uint32(6) & np.uint32(3) == side, np.uint64(1) << (words & np.uint32(63)).astype(np.uint64), np.uint64(0))
                 sides.append(pa.array(np.bitwise_xor.reduceat(ones, starts).view(np.int64)))
-            yield pa.RecordBatch.from_arrays([batch["line"], *sides, pa.array(sizes, pa.int32())], ["line", "s0", "s1", "s2", "s3", "size"])
+            columns = [batch["line"], *sides, _long_parity(words, sizes), pa.array(sizes, pa.int32())]
+            yield pa.RecordBatch.from_arrays(columns, ["line", "s0", "s1", "s2", "s3", "wide", "size"])
+
+
+def _long_parity(words: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """The odd ones of 1,024 or 8,192 classes of words as numbers, none for a line that 256 classes tell from others."""
+    width = np.select([sizes > MOST_WIDE, sizes > MOST_NARROW], [128, 16], 0)
+    ends = np.cumsum(width)
+    of_word = np.repeat(width > 0, sizes)
+    own = words[of_word] >> np.uint32(8)
+    place = (own >> np.uint32(6)) & np.repeat(np.maximum(width - 1, 0), sizes)[of_word].astype(np.uint32)
+    bits = np.zeros(ends[-1], np.uint64)
+    np.bitwise_xor.at(bits, np.repeat(ends - width, sizes)[of_word] + place, np.uint64(1) << (own & np.uint32(63)).astype(np.uint64))
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), pa.array(bits.view(np.int64)))
 
 
-def _signatures(distinct: DataFrame) -> DataFrame:
-    signed = distinct.select("line", "words").mapInArrow(_signed_lines, "line bigint, s0 bigint, s1 bigint, s2 bigint, s3 bigint, size int")
+def _words_met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        if batch.num_rows:
+            found, counts = np.unique(_parts(batch["words"])[0] & np.uint32(_LEVEL_WORDS - 1), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(found.astype(np.int32)), pa.array(counts)], ["word", "n"])
+
+
+def _word_levels(distinct: DataFrame, lines: int) -> Broadcast | None:
+    """How common words are, by the last 20 bits of their hashes, as far as a sample of lines shows it.
+
+    All tasks order keys by this table. Rare words make small groups, but any table leads to the same links, as
+    every line offers as many keys as it takes.
+    """
+    if lines < MIN_RANKED_LINES:
+        return None
+    some = distinct.filter(F.pmod("line", F.lit(1 + lines // RANKED_SAMPLE)) == 0).select("words")
+    met = some.mapInArrow(_words_met, "word int, n bigint").groupBy("word").agg(F.sum("n").alias("n")).filter("n > 1").toArrow()
+    levels = np.zeros(_LEVEL_WORDS, np.uint8)
+    levels[met["word"].to_numpy()] = np.minimum(4 * np.log2(met["n"].to_numpy()), 63).astype(np.uint8)
+    return distinct.sparkSession.sparkContext.broadcast(levels)
+
+
+def _signatures(distinct: DataFrame, search: Search) -> DataFrame:
+    signed = distinct.select("line", "words").mapInArrow(search.described, "line bigint, s0 bigint, s1 bigint, s2 bigint, s3 bigint, wide array<bigint>, size int")
     return stage(signed, "line-signatures")
 
 
-_SIDES = ("s0", "s1", "s2", "s3")
+_NARROW = ("s0", "s1", "s2", "s3")
+_SIDES = (*_NARROW, "wide")
 
 
-def _alike(sides: list[tuple[str, str]], size_a: str, size_b: str) -> Column:
-    """Holds for signatures of lines that may be linked."""
-    differ = sum(F.bit_count(F.col(a).bitwiseXOR(F.col(b))) for a, b in sides)
-    return differ <= 2 * F.floor(F.greatest(size_a, size_b) / 5)
+def _most(size_a: str, size_b: str) -> Column:
+    """In how many classes of words linked lines differ: two an edit, but one if it adds or removes a word."""
+    longer, shorter = F.greatest(size_a, size_b), F.least(size_a, size_b)
+    return 2 * F.floor(longer / 5) - (longer - shorter)
+
+
+def _alike(a: Callable[[str], str], b: Callable[[str], str]) -> Column:
+    """Holds for signatures of lines that may be linked; ``a`` and ``b`` name the columns of both."""
+    differ = sum(F.bit_count(F.col(a(c)).bitwiseXOR(F.col(b(c)))) for c in _NARROW)
+    most = _most(a("size"), b("size"))
+    each = F.zip_with(a("wide"), b("wide"), lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    narrow = (F.size(a("wide")) == 0) | (F.size(a("wide")) != F.size(b("wide")))
+    return (differ <= most) & (narrow | (F.aggregate(each, F.lit(0), lambda n, x: n + x) <= most))
 
 
 def _still_near(pairs: DataFrame, signatures: DataFrame, few: bool) -> DataFrame:
-    """Pairs whose signatures do not rule out a link; each edit changes at most two classes."""
+    """Pairs whose signatures do not rule out a link."""
     sides = []
     for side in ("a", "b"):
-        renamed = signatures.select(F.col("line").alias(side), F.struct("s0", "s1", "s2", "s3", "size").alias(f"sig_{side}"))
+        renamed = signatures.select(F.col("line").alias(side), F.struct(*_SIDES, "size").alias(f"sig_{side}"))
         sides.append(F.broadcast(renamed) if few else renamed)
     both = pairs.join(sides[0], "a").join(sides[1], "b")
-    sides = [(f"sig_a.{c}", f"sig_b.{c}") for c in _SIDES]
-    return both.filter(_alike(sides, "sig_a.size", "sig_b.size")).select("a", "b")
+    return both.filter(_alike("sig_a.{}".format, "sig_b.{}".format)).select("a", "b")
 
 
 def _near(odd_a: str, size_a: str, odd_b: str, size_b: str) -> Column:
     """Holds for all lines that are similar enough, and for few others."""
     longer, shorter = F.greatest(size_a, size_b), F.least(size_a, size_b)
     differ = F.bit_count(F.col(odd_a).bitwiseXOR(F.col(odd_b)))
-    return (5 * shorter >= 4 * longer) & (differ <= 2 * F.floor(longer / 5))
+    return (5 * shorter >= 4 * longer) & (differ <= _most(size_a, size_b))
 
 
 @dataclass(frozen=True)
@@ -297,30 +372,22 @@ class Search:
 LINES = Search(_keyed, _described, _near, _verified)
 
 
-def _share(rows: DataFrame, by: str, part: int, parts: int) -> DataFrame:
-    """One of ``parts`` shares of the rows, by a column of hashes."""
-    return rows if parts == 1 else rows.filter(F.pmod(by, F.lit(parts)) == part)
-
-
 def _union(tables: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, tables)
 
 
-def _links(found: list[DataFrame], distinct: DataFrame, signatures: DataFrame, search: Search) -> DataFrame:
+def _links(found: DataFrame, distinct: DataFrame, signatures: DataFrame, search: Search) -> DataFrame:
     """Candidate pairs ``(a, b)`` that are similar enough; signatures thin them out before words are read."""
-    few, parts = signatures.count() <= MAX_SHARED_SIGNATURES, len(found)
-    shares = [_share(_union(found), "a", part, parts).distinct() for part in range(parts)]
-    near = [stage(_still_near(share, signatures, few), "line-pairs") for share in shares]
-    drop(*found)
-    pairs = _union(near)
+    few = signatures.count() <= MAX_SHARED_SIGNATURES
+    pairs = stage(_still_near(found, signatures, few), "line-pairs")
     ids = stage(pairs.select(F.explode(F.array("a", "b")).alias("line")).distinct(), "candidate-lines")
-    needed = F.broadcast(ids) if ids.count() <= MAX_SHARED_LINES else ids
+    needed = F.broadcast(ids) if ids.count() <= MAX_SHARED_IDS else ids
     words = stage(distinct.select("line", "words").join(needed, "line", "left_semi"), "candidate-words")
     first = words.select(F.col("line").alias("a"), F.col("words").alias("words_a"))
     second = words.select(F.col("line").alias("b"), F.col("words").alias("words_b"))
     joined = pairs.join(first, "a").join(second, "b").select("a", "b", "words_a", "words_b")
     links = stage(joined.mapInArrow(search.verified, "a bigint, b bigint"), "line-links")
-    drop(*near, ids, words)
+    drop(pairs, ids, words)
     return links
 
 
@@ -337,51 +404,58 @@ def line_groups(lines: DataFrame) -> DataFrame:
 def similar_groups(distinct: DataFrame, search: Search) -> DataFrame:
     """``(id, component)`` of the rows ``(line, words, n)`` that are linked to another one.
 
-    Many rows are taken in shares of their keys, one after the other: a share's shuffles are gone before the next
-    one begins, and every key and pair is in one share.
+    Many rows are taken in shares of their keys, one after the other: a share's shuffle is gone before the next
+    one begins, and every key is in one share.
     """
-    parts = KEY_SHARES if distinct.count() > MAX_UNSHARED_ROWS else 1
-    keyed = distinct.select("line", "words").mapInArrow(search.keyed, "key bigint, line bigint")
-    described = distinct.select("line", "n", "words").mapInArrow(search.described, "line bigint, n bigint, odd bigint, size int")
-    described = stage(described, "line-facts")
-    commonest = F.max(F.struct("n", "line", "odd", "size")).alias("top")
-    near_top = search.near("odd", "size", "top.odd", "top.size")
-    shares, found = [], []
+    lines = distinct.count()
+    parts = KEY_SHARES if lines > MAX_UNSHARED_ROWS else 1
+    levels = _word_levels(distinct, lines)
+    of_key = Window.partitionBy("key")
+    close = (F.col("line") != F.col("top.line")) & search.near("odd", "size", "top.odd", "top.size")
+    shares = []
     for part in range(parts):
-        met = _share(keyed, "key", part, parts).withColumn("_n", F.count("*").over(Window.partitionBy("key")))
-        met = stage(met.filter("_n > 1").drop("_n"), "met-keys")
-        shared = stage(met.join(described, "line"), "line-keys")
-        drop(met)
-        center = stage(shared.groupBy("key").agg(commonest), "key-centers")
-        close = shared.join(center, "key").filter((F.col("line") != F.col("top.line")) & near_top)
-        found.append(stage(close.select(F.col("line").alias("a"), F.col("top.line").alias("b")).distinct(), "close-pairs"))
-        drop(center)
-        shares.append(shared)
-    drop(described)
-    signatures = _signatures(distinct)
-    links = _links(found, distinct, signatures, search)
+        keyed = distinct.select("line", "n", "words").mapInArrow(search.keyed(levels, part, parts), "key bigint, line bigint, n bigint, odd bigint, size int")
+        top = F.max(F.struct("n", "line", "odd", "size")).over(of_key)
+        met = keyed.withColumns({"lines": F.count("*").over(of_key), "top": top}).filter("lines > 1")
+        met = met.select("key", "line", "odd", "size", "lines", F.col("top.line").alias("top"), close.alias("close"))
+        shares.append(stage(met, "met-keys"))
+    met = _union(shares)
+    signatures = _signatures(distinct, search)
+    # First every line with the one of these that it shares most keys with: copies of one line are in a group after that.
+    pairs = met.filter("close").groupBy(F.col("line").alias("a"), F.col("top").alias("b")).agg(F.count("*").alias("keys"))
+    pairs = stage(pairs, "close-pairs")
+    nearest = pairs.groupBy("a").agg(F.max(F.struct("keys", "b")).alias("best")).select("a", "best.b")
+    links = _links(nearest, distinct, signatures, search)
     known = components(links, "line-components")
-    found = []
-    for shared in shares:
-        # Signatures go along, as lines of different groups make many pairs, and most are ruled out where they meet.
-        grouped = shared.drop("n").join(known.withColumnRenamed("id", "line"), "line", "left").join(signatures.drop("size"), "line")
-        grouped = grouped.select("key", "line", "odd", "size", F.coalesce("component", "line").alias("group"), *_SIDES)
-        grouped = stage(grouped, "grouped-keys")
-        drop(shared)
-        sizes = grouped.groupBy("key", "group").agg(F.count("*").alias("n"))
-        main = sizes.groupBy("key").agg(F.max_by("group", "n").alias("main"), F.count("*").alias("groups")).filter("groups > 1")
-        mixed = stage(grouped.join(main.drop("groups"), "key"), "mixed-keys")
-        drop(grouped)
-        apart = mixed.filter("group != main").select("key", F.col("line").alias("a"), "odd", "size", F.col("group").alias("group1"), *_SIDES)
-        renamed = [F.col(c).alias(f"{c}2") for c in ("odd", "size", "group", *_SIDES)]
-        every = mixed.select("key", F.col("line").alias("b"), *renamed)
-        near = search.near("odd", "size", "odd2", "size2") & _alike([(c, f"{c}2") for c in _SIDES], "size", "size2")
-        across = apart.join(every, "key").filter((F.col("group1") != F.col("group2")) & near)
-        found.append(stage(across.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "across-pairs"))
-        drop(mixed)
-    drop(known)
-    more = _links(found, distinct, signatures, search)
-    drop(signatures)
+    rest = pairs.select("a", "b")
+    for side in ("a", "b"):
+        of_side = known.select(F.col("id").alias(side), F.col("component").alias(f"known_{side}"))
+        rest = rest.join(of_side, side, "left").withColumn(f"group_{side}", F.coalesce(f"known_{side}", side))
+    rest = stage(rest.filter("group_a != group_b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")), "other-pairs")
+    drop(pairs)
+    # With these all lines of a key are compared with its commonest one: there is more to find only among three or more.
+    others = met.filter("lines > 2 and line != top").select("key", "line", "odd", "size")
+    grouped = others.join(known.withColumnRenamed("id", "line"), "line", "left")
+    grouped = stage(grouped.select("key", "line", "odd", "size", F.coalesce("component", "line").alias("group")), "grouped-keys")
+    drop(known, *shares)
+    sizes = grouped.groupBy("key", "group").agg(F.count("*").alias("n"))
+    main = sizes.groupBy("key").agg(F.max_by("group", "n").alias("main"), F.count("*").alias("groups")).filter("groups > 1")
+    # Signatures go along, as lines of different groups make many pairs, and most are ruled out where they meet.
+    mixed = grouped.join(main.drop("groups"), "key").join(signatures.drop("size"), "line")
+    mixed = stage(mixed.select("key", "line", "odd", "size", "group", "main", *_SIDES), "mixed-keys")
+    drop(grouped)
+    apart = mixed.filter("group != main").select("key", F.col("line").alias("a"), "odd", "size", F.col("group").alias("group1"), *_SIDES)
+    renamed = [F.col(c).alias(f"{c}2") for c in ("odd", "size", "group", *_SIDES)]
+    every = mixed.select("key", F.col("line").alias("b"), (F.col("group") == F.col("main")).alias("of_main"), *renamed)
+    near = search.near("odd", "size", "odd2", "size2") & _alike("{}".format, "{}2".format)
+    once = F.col("of_main") | (F.col("a") < F.col("b"))
+    across = apart.join(every, "key").filter((F.col("group1") != F.col("group2")) & once & near)
+    found = stage(across.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "across-pairs")
+    drop(mixed)
+    more = _links(found.unionByName(rest).distinct(), distinct, signatures, search)
+    drop(signatures, found, rest)
+    if levels:
+        levels.destroy()
     all_links = components(links.unionByName(more), "line-components")
     drop(links, more, distinct)
     return all_links
