@@ -6,8 +6,10 @@
    search is complete. With ``n`` words in the longer line, at most ``k = n // 5`` edits are allowed, and each
    changes at most two pairs of neighbouring words, so the lines have ``n - 1 - 2 k`` or more pairs in common. Of two
    lists sorted by one order, the first few then hold a common one: a line's keys are its first ``prefix_sizes``, about
-   0.4 a word. Rare words come first in that order, by a table of fixed size made of a sample of lines; the table decides
-   how many lines meet, not which links are found. Candidates of a key have lengths within 0.8 and word parities that
+   0.4 a word, or fewer, as two pairs are changed by one edit only if they are neighbours in the line. Rare pairs come
+   first in that order, by tables of fixed size made of samples of lines: pairs of rare words, and last the pairs that are
+   common themselves, as those of a phrase of rare words are. The tables decide how many lines meet, not which links are
+   found. Candidates of a key have lengths within 0.8 and word parities that
    differ in at most ``2 k`` less the difference of lengths, of 64 and then 256 or more classes, which no linked pair fails.
 3. Groups are connected components. Of each group with more than one occurrence the first stays,
    by ``(doc_id, hash of the text, line number)``; the others are removed from their documents.
@@ -55,7 +57,7 @@ MAX_SHARED_SIGNATURES = 50_000
 
 # Keys of more different lines than this are taken in so many shares.
 MAX_UNSHARED_ROWS = 100_000
-KEY_SHARES = 4
+KEY_SHARES = 3
 
 # Lines of more words have a wider signature: 256 classes are half odd, however unlike two lines are.
 MOST_NARROW, MOST_WIDE = 160, 800
@@ -64,6 +66,12 @@ MOST_NARROW, MOST_WIDE = 160, 800
 MIN_RANKED_LINES = 1_000
 RANKED_SAMPLE = 20_000
 
+# One line of so many, and about RANKED_SAMPLE at least, show which pairs of words are common, of which so many are known. The
+# share is fixed, so that groups of lines that meet at a pair do not grow with their number.
+PAIR_SHARE = 16
+MIN_COMMON = 3
+MAX_COMMON_PAIRS = 1 << 20
+
 _WORD_BYTES = bytes(b if b >= 0x80 or b == 0x0A or chr(b).isalnum() else 0x20 for b in range(256)).lower()
 # Letters of scripts without spaces (Thai, Lao, Burmese, Khmer, kana, Han), each a word of its own, and marks beyond ASCII.
 _UNSPACED = re.compile("([\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff])")
@@ -71,7 +79,10 @@ _WIDE_MARKS = re.compile("[\u2000-\u206f\u3000-\u3004\u3008-\u3020\u3030\u30a0\u
 _ROWS = 256
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _LEVEL_WORDS = 1 << 20
+_LEVEL_PAIRS = 1 << 23
 _KEY_ROWS, _LEVEL_BITS, _HASH_BITS = 1024, 7, 47
+_COMMON = 64  # the level from which pairs are common
+_PAIRS_AT_ONCE = 1 << 20
 
 
 def spaced(text: str) -> str:
@@ -200,44 +211,88 @@ def prefix_sizes(sizes: np.ndarray) -> np.ndarray:
     return np.where(sizes >= 4, most, 0)
 
 
-def gram_keys(words: np.ndarray, sizes: np.ndarray, levels: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+def gram_keys(
+    words: np.ndarray, sizes: np.ndarray, levels: np.ndarray | None = None, common: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray]:
     """``(row, key)`` for lines given as 32-bit words: the first pairs of neighbouring words, by level and hash.
 
-    The same pair again in a line is another one. ``levels`` says how common words are; any levels give the same links.
+    The first pairs are so many that no allowed edits change all of them, so that one is left in the other line, and among its
+    first: the lines' ends in the order are one after the other. A pair that a line has again is one key. ``levels`` says how
+    common words are, and ``common`` which pairs are common themselves; any of these give the same links.
     """
     rows, keys, ends = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], np.cumsum(sizes)
     for low in range(0, len(sizes), _KEY_ROWS):
         some = sizes[low : low + _KEY_ROWS]
         start, end = ends[low] - sizes[low], ends[low + len(some) - 1]
-        owner, found = _some_keys(words[start:end], some, levels)
+        owner, found = _some_keys(words[start:end], some, levels, common)
         rows.append(owner + low)
         keys.append(found)
     return np.concatenate(rows), np.concatenate(keys)
 
 
-def _some_keys(words: np.ndarray, sizes: np.ndarray, levels: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+def _pair_hashes(words: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Hashes of the pairs of neighbouring words that begin at these places."""
+    long = words.astype(np.uint64)
+    return _mix(long[at] * _STEP + long[at + 1]) >> np.uint64(64 - _HASH_BITS)
+
+
+def _some_keys(
+    words: np.ndarray, sizes: np.ndarray, levels: np.ndarray | None, common: np.ndarray | None
+) -> tuple[np.ndarray, np.ndarray]:
     """One number has the row (10 bits), the level (7 bits) and the hash (47 bits) of a pair, so that sorting it is all."""
     wanted = prefix_sizes(sizes)
     pairs = np.where(wanted > 0, sizes - 1, 0)
     firsts = np.cumsum(pairs) - pairs
     owner = np.repeat(np.arange(len(sizes)), pairs)
     at = np.arange(len(owner)) + np.repeat(np.cumsum(sizes) - sizes - firsts, pairs)
-    long = words.astype(np.uint64)
-    order = _mix(long[at] * _STEP + long[at + 1]) >> np.uint64(64 - _HASH_BITS)
+    order = _pair_hashes(words, at)
     if levels is not None:
-        level = levels[words & np.uint32(len(levels) - 1)]
-        order |= (level[at] + level[at + 1]).astype(np.uint64) << np.uint64(_HASH_BITS)
+        of_word = levels[words & np.uint32(len(levels) - 1)]
+        level = of_word[at] + of_word[at + 1] >> 1
+        if common is not None:
+            level = np.maximum(level, common[order & np.uint64(len(common) - 1)])
+        order |= level.astype(np.uint64) << np.uint64(_HASH_BITS)
     order |= owner.astype(np.uint64) << np.uint64(_HASH_BITS + _LEVEL_BITS)
-    order.sort()
-    places = np.arange(len(order))
-    same = np.zeros(len(order), bool)
-    same[1:] = order[1:] == order[:-1]
-    again = places - np.maximum.accumulate(np.where(same, 0, places))
-    first = places < np.repeat(firsts + wanted, pairs)
-    keys, again = order[first] & np.uint64((1 << _HASH_BITS + _LEVEL_BITS) - 1), again[first]
-    repeated = np.flatnonzero(again)
-    keys[repeated] = _mix(keys[repeated] + again[repeated].astype(np.uint64) * _STEP) >> np.uint64(1)
-    return owner[first], keys.view(np.int64)
+    sorting = np.argsort(order)
+    order = order[sorting]
+    rank = np.arange(len(order)) - firsts[owner]
+    taken = rank < _enough(sizes, wanted, firsts, owner, rank, sorting)[owner]
+    taken[1:] &= order[1:] != order[:-1]
+    keys = order[taken] & np.uint64((1 << _HASH_BITS + _LEVEL_BITS) - 1)
+    return owner[taken], keys.view(np.int64)
+
+
+def _enough(sizes: np.ndarray, wanted: np.ndarray, firsts: np.ndarray, owner: np.ndarray, rank: np.ndarray, sorting: np.ndarray) -> np.ndarray:
+    """How many of its first pairs each line has to offer, ``wanted`` at most, so that no allowed edits change all of them.
+
+    An edit of a word changes two of these pairs only where they are neighbours, and an added word changes one. ``k`` edits
+    of which ``b`` or more add a word change ``k + min(k - b, doubles)`` pairs at most, with ``doubles`` the number of
+    neighbours, of which no pair is counted twice. ``b`` is by how many words the other line is longer.
+    """
+    place = np.empty(len(sorting), np.int64)
+    place[sorting] = np.arange(len(sorting))
+    # Runs of two less those of three and those of four: of a run of n that is as many as it has doubles, or more.
+    two = np.maximum(place[1:], place[:-1])
+    three = np.maximum(two[1:], place[:-2])
+    four = np.maximum(three[1:], place[:-3])
+    n = len(sorting) + 1
+    met = np.bincount(two[owner[1:] == owner[:-1]], minlength=n)
+    met -= np.bincount(three[owner[2:] == owner[:-2]], minlength=n)
+    met += np.bincount(four[owner[3:] == owner[:-3]], minlength=n)
+    doubles = np.cumsum(met)
+    some = np.flatnonzero(rank < wanted[owner])
+    line = owner[some]
+    size, t = sizes[line], rank[some] + 1
+    doubles = doubles[some] - (doubles[firsts] - met[firsts])[line]
+    edits = size // 5
+    most = edits + np.minimum(edits, doubles)
+    longer = np.maximum((size - doubles) >> 2, edits + 1)  # as many edits, if the other line has five times as many words
+    more = np.where(4 * longer <= size, longer + np.minimum(size - 4 * longer, doubles), 0)
+    enough = np.where(t > np.maximum(most, more), t, size)
+    least, has = wanted.copy(), wanted > 0
+    if len(some):
+        least[has] = np.minimum(wanted[has], np.minimum.reduceat(enough, (np.cumsum(wanted) - wanted)[has]))
+    return least
 
 
 def _parts(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -259,7 +314,7 @@ def _keyed(levels: Broadcast | None, part: int, parts: int) -> Callable:
         for batch in batches:
             if batch.num_rows:
                 words, sizes = _parts(batch["words"])
-                rows, keys = gram_keys(words, sizes, levels and levels.value)
+                rows, keys = gram_keys(words, sizes, *(levels.value if levels else ()))
                 if parts > 1:
                     own = keys % parts == part
                     rows, keys = rows[own], keys[own]
@@ -303,19 +358,53 @@ def _words_met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(found.astype(np.int32)), pa.array(counts)], ["word", "n"])
 
 
+def _pairs_met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Places in the table of common pairs, with the number of lines' pairs that fall on each."""
+
+    def counted(some: list[np.ndarray]) -> pa.RecordBatch:
+        found, counts = np.unique(np.concatenate(some), return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(found), pa.array(counts)], ["pair", "n"])
+
+    some, n = [], 0
+    for batch in batches:
+        if batch.num_rows:
+            words, sizes = _parts(batch["words"])
+            at = np.delete(np.arange(len(words)), np.cumsum(sizes) - 1)
+            some.append((_pair_hashes(words, at) & np.uint64(_LEVEL_PAIRS - 1)).astype(np.int32))
+            n += len(at)
+            if n >= _PAIRS_AT_ONCE:
+                yield counted(some)
+                some, n = [], 0
+    if n:
+        yield counted(some)
+
+
 def _word_levels(distinct: DataFrame, lines: int) -> Broadcast | None:
-    """How common words are, by the last 20 bits of their hashes, as far as a sample of lines shows it.
+    """How common words are, and common pairs of words, by the last bits of their hashes, as far as samples of lines show it.
 
-    All tasks order keys by this table. Rare words make small groups, but any table leads to the same links, as
-    every line offers as many keys as it takes.
+    All tasks order keys by these tables. Rare pairs make small groups, but any table leads to the same links, as
+    every line offers as many keys as it takes. Words tell pairs apart that are not common; they are rare, but not together,
+    in a phrase that many lines have, so that its pairs have to be counted.
     """
     if lines < MIN_RANKED_LINES:
         return None
-    some = distinct.filter(F.pmod("line", F.lit(1 + lines // RANKED_SAMPLE)) == 0).select("words")
+    step = 1 + lines // RANKED_SAMPLE
+    some = distinct.filter(F.pmod("line", F.lit(step)) == 0).select("words")
     met = some.mapInArrow(_words_met, "word int, n bigint").groupBy("word").agg(F.sum("n").alias("n")).filter("n > 1").toArrow()
     levels = np.zeros(_LEVEL_WORDS, np.uint8)
     levels[met["word"].to_numpy()] = np.minimum(4 * np.log2(met["n"].to_numpy()), 63).astype(np.uint8)
-    return distinct.sparkSession.sparkContext.broadcast(levels)
+    more = distinct.filter(F.pmod("line", F.lit(min(step, PAIR_SHARE))) == 0).select("words")
+    met = more.mapInArrow(_pairs_met, "pair int, n bigint").groupBy("pair").agg(F.sum("n").alias("n"))
+    met = stage(met.filter(f"n >= {MIN_COMMON}"), "common-pairs")
+    numbers = met.groupBy("n").agg(F.count("*").alias("pairs")).toArrow().sort_by([("n", "descending")])
+    fit = np.cumsum(numbers["pairs"].to_numpy()) <= MAX_COMMON_PAIRS
+    common = np.zeros(_LEVEL_PAIRS, np.uint8)
+    if fit.any():
+        least = int(numbers["n"].to_numpy()[fit][-1])
+        found = met.filter(F.col("n") >= least).toArrow()
+        common[found["pair"].to_numpy()] = _COMMON + np.minimum(3 * np.log2(found["n"].to_numpy() / least), _COMMON - 1).astype(np.uint8)
+    drop(met)
+    return distinct.sparkSession.sparkContext.broadcast((levels, common))
 
 
 def _signatures(distinct: DataFrame, search: Search) -> DataFrame:
@@ -418,6 +507,8 @@ def similar_groups(distinct: DataFrame, search: Search) -> DataFrame:
         top = F.max(F.struct("n", "line", "odd", "size")).over(of_key)
         met = keyed.withColumns({"lines": F.count("*").over(of_key), "top": top}).filter("lines > 1")
         met = met.select("key", "line", "odd", "size", "lines", F.col("top.line").alias("top"), close.alias("close"))
+        # With those that are close to it all lines of a key are compared with its commonest one: others matter among three or more.
+        met = met.filter("close or lines > 2 and line != top")
         shares.append(stage(met, "met-keys"))
     met = _union(shares)
     signatures = _signatures(distinct, search)
@@ -433,7 +524,6 @@ def similar_groups(distinct: DataFrame, search: Search) -> DataFrame:
         rest = rest.join(of_side, side, "left").withColumn(f"group_{side}", F.coalesce(f"known_{side}", side))
     rest = stage(rest.filter("group_a != group_b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")), "other-pairs")
     drop(pairs)
-    # With these all lines of a key are compared with its commonest one: there is more to find only among three or more.
     others = met.filter("lines > 2 and line != top").select("key", "line", "odd", "size")
     grouped = others.join(known.withColumnRenamed("id", "line"), "line", "left")
     grouped = stage(grouped.select("key", "line", "odd", "size", F.coalesce("component", "line").alias("group")), "grouped-keys")
