@@ -21,6 +21,9 @@ The model grows with the corpus and is never in one place:
 Defined cases: a null or empty text is the end token alone. A null ``doc_id`` counts as the empty
 text in the hold-out rule. Repeated rows are scored, and learned from, each. No rows give no rows. Words
 are told apart by 64-bit hashes, bigrams by hashes of those.
+
+Numbers of a row travel as bytes: the JVM copies these at once, where lists of numbers are taken apart by element,
+in vectors that double as they grow.
 """
 
 from __future__ import annotations
@@ -31,6 +34,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -44,14 +48,20 @@ CHUNK_TOKENS = 1_500_000
 BUCKET_TOKENS = 1_500_000
 END = b"\n"  # no word holds a line end
 _ROWS = 256
+# Rows for buckets go on together, up to so many and so many bytes.
+_SENT_ROWS, _SENT_BYTES = 256, 1 << 20
 _LONGS, _INTS = pa.list_(pa.int64()), pa.list_(pa.int32())
+_LONG, _INT = np.dtype("<i8"), np.dtype("<i4")
+_HALF = np.dtype("<u4")
+_KINDS = {"stream": _INT, "high": _HALF, "low": _HALF}
+
+_PAIR_NAMES, _WORD_NAMES = (["chunk", "bucket", "keys", "counts", *more] for more in (["histories", "runs"], ["masses", "kept"]))
 
-CHUNKS = "chunk bigint, doc_ids array<bigint>, trained array<boolean>, sizes array<int>, stream array<int>, hashes array<bigint>"
-SENT = "chunk bigint, bucket int, keys array<bigint>, counts array<int>, histories array<bigint>, runs array<int>"
-PAIRS_BACK = (
-    "chunk bigint, bucket int, totals array<bigint>, histories array<bigint>, masses array<bigint>, kept array<int>, once bigint, twice bigint"
-)
-WORDS_BACK = "chunk bigint, bucket int, totals array<bigint>, masses array<bigint>, kept array<bigint>, known bigint"
+CHUNKS = "chunk bigint, doc_ids array<bigint>, trained array<boolean>, sizes array<int>, stream binary, high binary, low binary"
+PAIRS_SENT = "chunk bigint, bucket int, keys binary, counts binary, histories binary, runs binary"
+WORDS_SENT = "chunk bigint, bucket int, keys binary, counts binary, masses binary, kept binary"
+PAIRS_BACK = "chunk bigint, bucket int, totals binary, histories array<bigint>, masses array<bigint>, kept array<int>, once bigint, twice bigint"
+WORDS_BACK = "chunk bigint, bucket int, totals binary, masses binary, kept binary, known bigint"
 SCORES = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double"
 
 
@@ -102,10 +112,38 @@ def _lists(values: list[np.ndarray], kind: pa.DataType) -> pa.Array:
     return pa.array(values, kind)
 
 
-def _flat(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
-    if isinstance(column, pa.ChunkedArray):
-        column = column.combine_chunks()
-    return column.flatten().to_numpy(zero_copy_only=False)
+def _flat(column: pa.ChunkedArray | pa.Array, kind: np.dtype) -> np.ndarray:
+    """All numbers of all rows, one after the other."""
+    parts = [np.zeros(0, kind)]
+    for part in column.chunks if isinstance(column, pa.ChunkedArray) else [column]:
+        if len(part):
+            part = part.cast(pa.binary())
+            _, ends, data = part.buffers()
+            ends = np.frombuffer(ends, _INT)[part.offset : part.offset + len(part) + 1]
+            if ends[-1] > ends[0]:
+                parts.append(np.frombuffer(data, np.uint8)[ends[0] : ends[-1]].view(kind))
+    return np.concatenate(parts)
+
+
+def _pieces(values: np.ndarray, lengths: np.ndarray) -> pa.Array:
+    """``values`` as bytes, in pieces of these lengths."""
+    ends = np.concatenate([[0], np.cumsum(lengths * values.itemsize)])
+    if ends[-1] >= 1 << 31:
+        raise ValueError("a bucket has too many numbers")
+    return pa.Array.from_buffers(pa.binary(), len(lengths), [None, pa.py_buffer(ends.astype(_INT)), pa.py_buffer(values)])
+
+
+def _lengths(column: pa.ChunkedArray) -> np.ndarray:
+    """How many 64-bit numbers each row has."""
+    return pc.binary_length(column).to_numpy() // _LONG.itemsize
+
+
+def _packed(row: pa.RecordBatch) -> pa.RecordBatch:
+    """The row of a chunk with its long lists as bytes; of hashes apart the half by which words are dealt, as scoring needs no more."""
+    halves = row["hashes"].values.to_numpy().view(_HALF).reshape(-1, 2)
+    long = [_pieces(np.ascontiguousarray(v), np.array([len(v)])) for v in (row["stream"].values.to_numpy(), halves[:, 1], halves[:, 0])]
+    few = ["chunk", "doc_ids", "trained", "sizes"]
+    return pa.RecordBatch.from_arrays([*(row[name] for name in few), *long], [*few, "stream", "high", "low"])
 
 
 def _chunked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -116,10 +154,10 @@ def _chunked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist()):
                 chunk.add(doc_id, text)
                 if chunk.n >= CHUNK_TOKENS:
-                    yield chunk.row(number)
+                    yield _packed(chunk.row(number))
                     number, chunk = number + 1, _Chunk()
     if chunk.n:
-        yield chunk.row(number)
+        yield _packed(chunk.row(number))
 
 
 def _mixed(history: np.ndarray, word: np.ndarray) -> np.ndarray:
@@ -130,12 +168,8 @@ def _mixed(history: np.ndarray, word: np.ndarray) -> np.ndarray:
     return (state ^ state >> np.uint64(31)).view(np.int64)
 
 
-def _places(hashes: np.ndarray) -> np.ndarray:
-    """The upper 31 bits of each hash, by which it is dealt."""
-    return (hashes.view(np.uint64) >> np.uint64(33)).astype(np.int32)
-
-
 def _bucket(places: np.ndarray, buckets: int) -> np.ndarray:
+    """Words are dealt by the upper 31 bits of their hashes."""
     return places % np.int32(buckets)
 
 
@@ -158,8 +192,10 @@ class ChunkWords:
     """Distinct words of one chunk, in the order in which buckets get and return them."""
 
     def __init__(self, row: dict, buckets: Buckets):
-        self.buckets, self.hashes, self.sizes = buckets, row.get("hashes"), row["sizes"]
-        self.places = _places(self.hashes) if "hashes" in row else row["places"]
+        self.buckets, self.sizes = buckets, row["sizes"]
+        self.places = (row["high"] >> np.uint32(1)).astype(np.int32)
+        if "low" in row:
+            self.hashes = np.stack([row["low"], row["high"]], axis=1).view(_LONG)[:, 0]
         self.stream, self.n_words = row["stream"], len(self.places)
         self.ends = np.cumsum(self.sizes)
         self.trained = np.repeat(row["trained"], self.sizes)
@@ -167,9 +203,9 @@ class ChunkWords:
         self.word_order = np.argsort(self.word_bucket, kind="stable")
 
     def sent(self, chunk: int) -> Iterator[tuple]:
-        counts = np.bincount(self.stream[self.trained], minlength=self.n_words).astype(np.int32)
+        counts = np.bincount(self.stream[self.trained], minlength=self.n_words).astype(_LONG)
         for bucket, at in _by_bucket(self.word_bucket, self.word_order):
-            yield chunk, bucket, self.hashes[at], counts[at], [], []
+            yield chunk, bucket, self.hashes[at].tobytes(), counts[at].tobytes(), b"", b""
 
 
 class ChunkPairs(ChunkWords):
@@ -193,7 +229,7 @@ class ChunkPairs(ChunkWords):
             first = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
             runs = np.diff(np.append(first, len(own))).astype(np.int32)
             keys = _mixed(self.hashes[own], self.hashes[self.follower[at]])
-            yield chunk, bucket, keys, counts[at], self.hashes[own[first]], runs
+            yield chunk, bucket, keys.tobytes(), counts[at].tobytes(), self.hashes[own[first]].tobytes(), runs.tobytes()
 
 
 def _by_bucket(buckets: np.ndarray, order: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
@@ -205,39 +241,41 @@ def _by_bucket(buckets: np.ndarray, order: np.ndarray) -> Iterator[tuple[int, np
 
 def _chunk_row(batch, i: int) -> dict:
     """Row ``i`` with its lists as arrays."""
-    row = {"chunk": batch["chunk"][i].as_py()}
-    for name in ("doc_ids", "trained", "sizes", "stream", "hashes", "places"):
-        if name not in batch.schema.names:
-            continue
-        values = batch[name][i].values
-        row[name] = values.to_pylist() if name == "doc_ids" else values.to_numpy(zero_copy_only=False)
+    row = {"chunk": batch["chunk"][i].as_py(), "doc_ids": batch["doc_ids"][i].as_py()}
+    for name in ("trained", "sizes"):
+        row[name] = batch[name][i].values.to_numpy(zero_copy_only=False)
+    for name, kind in _KINDS.items():
+        if name in batch.schema.names:
+            row[name] = np.frombuffer(batch[name][i].as_buffer(), kind)
     return row
 
 
-def _sender(buckets: Buckets, counted: type):
-    kinds = (pa.int64(), pa.int32(), _LONGS, _INTS, _LONGS, _INTS)
-    names = ["chunk", "bucket", "keys", "counts", "histories", "runs"]
+def _sender(buckets: Buckets, counted: type, names: list[str]):
+    kinds = (pa.int64(), pa.int32(), *[pa.binary()] * 4)
+
+    def together(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(zip(*rows), kinds)], names)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                row = _chunk_row(batch, i)
+                row, rows, size = _chunk_row(batch, i), [], 0
                 for sent in counted(row, buckets).sent(row["chunk"]):
-                    yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(sent, kinds)], names)
+                    rows.append(sent)
+                    size += sum(map(len, sent[2:]))
+                    if len(rows) >= _SENT_ROWS or size >= _SENT_BYTES:
+                        yield together(rows)
+                        rows, size = [], 0
+                if rows:
+                    yield together(rows)
 
     return send
 
 
-def _cut(values: np.ndarray, lists: pa.ChunkedArray) -> list[np.ndarray]:
-    """``values`` in pieces as long as ``lists``."""
-    lengths = lists.combine_chunks().value_lengths().to_numpy(zero_copy_only=False)
-    return np.split(values, np.cumsum(lengths)[:-1])
-
-
 def _sum_pairs(table: pa.Table) -> pa.Table:
     """Totals of the bigrams of one bucket; statistics are in the first row."""
-    keys, counts = _flat(table["keys"]), _flat(table["counts"])
-    histories = np.repeat(_flat(table["histories"]), _flat(table["runs"]))
+    keys, counts = _flat(table["keys"], _LONG), _flat(table["counts"], _INT)
+    histories = np.repeat(_flat(table["histories"], _LONG), _flat(table["runs"], _INT))
     distinct, first, place = np.unique(keys, return_index=True, return_inverse=True)
     totals = np.zeros(len(distinct), np.int64)
     np.add.at(totals, place, counts)
@@ -251,7 +289,7 @@ def _sum_pairs(table: pa.Table) -> pa.Table:
         {
             "chunk": table["chunk"],
             "bucket": table["bucket"],
-            "totals": _lists(_cut(back, table["keys"]), _LONGS),
+            "totals": _pieces(back, _lengths(table["keys"])),
             "histories": _lists([owners, *[none] * rest], _LONGS),
             "masses": _lists([mass, *[none] * rest], _LONGS),
             "kept": _lists([n_kept, *[none.astype(np.int32)] * rest], _INTS),
@@ -262,19 +300,32 @@ def _sum_pairs(table: pa.Table) -> pa.Table:
 
 
 def _sum_words(table: pa.Table) -> pa.Table:
-    """Totals of the words of one bucket, with the masses of the bigrams they are the history of."""
-    distinct, place = np.unique(_flat(table["keys"]), return_inverse=True)
+    """Totals of the words of one bucket, with the masses of the bigrams they are the history of; nothing sent is zeros."""
+    lengths = _lengths(table["keys"])
+    distinct, place = np.unique(_flat(table["keys"], _LONG), return_inverse=True)
     sums = []
     for name in ("counts", "masses", "kept"):
         total = np.zeros(len(distinct), np.int64)
-        np.add.at(total, place, _flat(table[name]))
+        np.add.at(total, place[np.repeat(_lengths(table[name]) > 0, lengths)], _flat(table[name], _LONG))
         sums.append(total)
-    back = [_lists(_cut(total[place], table["keys"]), _LONGS) for total in sums]
+    back = [_pieces(total[place], lengths) for total in sums]
     known = pa.array([int((sums[0] > 0).sum()), *[0] * (table.num_rows - 1)], pa.int64())
     names = ["chunk", "bucket", "totals", "masses", "kept", "known"]
     return pa.table([table["chunk"], table["bucket"], *back, known], names=names)
 
 
+def _history_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What bigrams say about their histories, as one more sender of words."""
+    for batch in batches:
+        if batch.num_rows:
+            lists = [batch[name] for name in ("keys", "masses", "kept")]
+            lengths = lists[0].value_lengths().to_numpy()
+            keys, masses, kept = (_pieces(v.flatten().to_numpy().astype(_LONG), lengths) for v in lists)
+            none = pa.array([b""] * batch.num_rows, pa.binary())
+            columns = [pa.array([-1] * batch.num_rows, pa.int64()), batch["bucket"], keys, none, masses, kept]
+            yield pa.RecordBatch.from_arrays(columns, _WORD_NAMES)
+
+
 @dataclass
 class Smoothing:
     """The numbers that all chunks share."""
@@ -323,16 +374,18 @@ class BackoffAutomaton:
 def _scorer(buckets: Buckets, smoothing: Smoothing):
     names = ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"]
 
-    def gathered(table: pa.Table, column: str, order: np.ndarray) -> np.ndarray:
-        values = np.zeros(len(order), np.int64)
-        values[order] = _flat(table.sort_by("bucket")[column])
-        return values
+    def gathered(table: pa.Table, order: np.ndarray, *columns: str) -> list[np.ndarray]:
+        table, found = table.sort_by("bucket"), []
+        for column in columns:
+            found.append(np.zeros(len(order), np.int64))
+            found[-1][order] = _flat(table[column], _LONG)
+        return found
 
     def score(chunks: pa.Table, words: pa.Table, pairs: pa.Table) -> pa.Table:
         row = _chunk_row(chunks, 0)
         own = ChunkPairs(row, buckets)
-        counts, masses, kept = (gathered(words, c, own.word_order) for c in ("totals", "masses", "kept"))
-        pair_counts = gathered(pairs, "pair_totals", own.pair_order)
+        counts, masses, kept = gathered(words, own.word_order, "totals", "masses", "kept")
+        (pair_counts,) = gathered(pairs, own.pair_order, "totals")
         automaton = BackoffAutomaton(counts, masses, kept, smoothing)
         arcs = automaton.arcs(own.history, own.follower, pair_counts)
         weights = automaton.read(own.state, own.stream, arcs[own.pair_of])
@@ -357,47 +410,31 @@ def _scorer(buckets: Buckets, smoothing: Smoothing):
 def score_documents(docs: DataFrame) -> DataFrame:
     """``(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score)``, a row per document."""
     narrow = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    chunks = stage(narrow.mapInArrow(_chunked, CHUNKS), "chunks")
+    chunks = stage(narrow.mapInArrow(_chunked, CHUNKS), "chunks", "zstd")
     sizes = chunks.select(F.explode(F.arrays_zip("sizes", "trained")).alias("d"))
     all_tokens, trained = sizes.agg(
         F.coalesce(F.sum("d.sizes"), F.lit(0)), F.coalesce(F.sum(F.when(F.col("d.trained"), F.col("d.sizes"))), F.lit(0))
     ).first()
     buckets = Buckets.of(all_tokens)
-    pairs_sent = chunks.mapInArrow(_sender(buckets, ChunkPairs), SENT)
-    pairs = stage(pairs_sent.groupBy("bucket").applyInArrow(_sum_pairs, PAIRS_BACK), "pair-totals")
+    pairs_sent = chunks.mapInArrow(_sender(buckets, ChunkPairs, _PAIR_NAMES), PAIRS_SENT)
+    pairs = stage(pairs_sent.groupBy("bucket").applyInArrow(_sum_pairs, PAIRS_BACK), "pair-totals", "zstd")
     # What bigrams say about their histories is one more sender of words.
     about = pairs.filter("size(histories) > 0").select(F.explode(F.arrays_zip("histories", "masses", "kept")).alias("h"))
     spread = F.shiftrightunsigned(F.col("h.histories"), 33)
-    words_sent = chunks.mapInArrow(_sender(buckets, ChunkWords), SENT).select(
-        "chunk", "bucket", "keys", F.col("counts").cast("array<bigint>").alias("counts"),
-        F.transform("counts", lambda c: F.lit(0).cast("bigint")).alias("masses"),
-        F.transform("counts", lambda c: F.lit(0).cast("bigint")).alias("kept"),
-    ).unionByName(
+    about = (
         about.select(F.pmod(spread, F.lit(buckets.words)).cast("int").alias("bucket"), "h")
         .groupBy("bucket", F.pmod(F.xxhash64("h.histories"), F.lit(64)).alias("part"))
         .agg(F.collect_list("h").alias("h"))
-        .select(
-            F.lit(-1).cast("bigint").alias("chunk"), "bucket", F.col("h.histories").alias("keys"),
-            F.transform("h", lambda h: F.lit(0).cast("bigint")).alias("counts"),
-            F.col("h.masses").alias("masses"), F.col("h.kept").cast("array<bigint>").alias("kept"),
-        )
-    )
-    words = stage(words_sent.groupBy("bucket").applyInArrow(_sum_words, WORDS_BACK), "word-totals")
+        .select("bucket", F.col("h.histories").alias("keys"), F.col("h.masses").alias("masses"), F.col("h.kept").alias("kept"))
+    )
+    words_sent = chunks.mapInArrow(_sender(buckets, ChunkWords, _WORD_NAMES), WORDS_SENT).unionByName(about.mapInArrow(_history_rows, WORDS_SENT))
+    words = stage(words_sent.groupBy("bucket").applyInArrow(_sum_words, WORDS_BACK), "word-totals", "zstd")
     once, twice = pairs.agg(F.coalesce(F.sum("once"), F.lit(0)), F.coalesce(F.sum("twice"), F.lit(0))).first()
     known = words.agg(F.coalesce(F.sum("known"), F.lit(0))).first()[0]
     smoothing = Smoothing(int(trained), int(known), int(once), int(twice))
-    back = words.filter("chunk >= 0").select(
-        "chunk", F.lit(0).alias("kind"), "bucket", "totals", "masses", "kept", F.lit(None).cast("array<int>").alias("pair_totals")
-    )
-    none = F.lit(None).cast("array<bigint>")
-    back = back.unionByName(
-        pairs.select(
-            "chunk", F.lit(1).alias("kind"), "bucket", none.alias("totals"), none.alias("masses"), none.alias("kept"),
-            F.col("totals").alias("pair_totals"),
-        )
-    )
-    # Scoring needs where words were dealt to, not their hashes.
-    places = F.transform("hashes", lambda h: F.shiftrightunsigned(h, 33).cast("int")).alias("places")
-    read = chunks.select("chunk", "doc_ids", "trained", "sizes", "stream", places)
+    back = words.filter("chunk >= 0").select("chunk", F.lit(0).alias("kind"), "bucket", "totals", "masses", "kept")
+    none = F.lit(None).cast("binary")
+    back = back.unionByName(pairs.select("chunk", F.lit(1).alias("kind"), "bucket", "totals", none.alias("masses"), none.alias("kept")))
+    read = chunks.drop("low")
     scored = read.groupBy("chunk").cogroup(back.groupBy("chunk")).applyInArrow(_scorer(buckets, smoothing), SCORES)
     return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(int(trained)).cast("bigint").alias("train_tokens"), "base_score", "score")

@@ -36,15 +36,15 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/quire/{application}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once and return the written table."""
+def stage(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
+    """Write ``df`` once and return the written table; ``compression`` is for columns of bytes that Spark's own does not shrink."""
     spark = df.sparkSession
     path = fresh_path(spark, name)
     # What the write has shuffled is of no use once the table is there; else it stays on the executors' disks.
     before = spark.conf.get(_CLEAN_UP, "false")
     spark.conf.set(_CLEAN_UP, "true")
     try:
-        df.write.parquet(path)
+        df.write.parquet(path, compression=compression)
     finally:
         spark.conf.set(_CLEAN_UP, before)
     table = spark.read.schema(df.schema).parquet(path)
